@@ -20,6 +20,7 @@ DAY = "cast(l_shipdate as date)"
 OLI = "case when l_orderkey % 97 <> 0 then l_orderkey end"
 TEST_CODE = """case l_partkey % 7 when 0 then 'GL' when 1 then 'GLD' when 2 then 'GLC' when 3 then 'MMR'
   when 4 then 'GLP' when 5 then 'UNK' else 'ARV7' end"""
+SUPP = "cast(l_suppkey as varchar(20))"
 ADJ = "l_returnflag in ('N', 'R')"
 
 LENS = {
@@ -34,15 +35,15 @@ select {OLI} as oli_id, l_orderkey * 10 + l_linenumber as ticket_no, l_partkey a
     when l_partkey % 5 = 2 then 'Due from Patient' when l_partkey % 5 = 3 then 'Appeals'
     else 'Claim In Process' end as case_status_sum2,
   case when l_linestatus = 'F' then 'Paid!' else 'Open' end as case_status,
-  case when l_returnflag = 'R' then l_suppkey end as rerouted_plan_vendor,
-  case when l_returnflag <> 'A' then l_suppkey + 1 end as rerouted_plan_house,
+  case when l_returnflag = 'R' then case when l_suppkey % 23 = 0 then 'ROST' else {SUPP} end end as rerouted_plan_vendor,
+  case when l_returnflag <> 'A' then {SUPP} end as rerouted_plan_house,
   case when l_suppkey % 9 <> 0 then 'C' || cast(l_suppkey as varchar(20)) end as rerouted_plan_name,
-  l_suppkey - l_suppkey % 2 as primary_plan_vendor, l_suppkey - l_suppkey % 3 as primary_plan_house,
+  cast(l_suppkey - l_suppkey % 2 as varchar(20)) as primary_plan_vendor,
+  cast(l_suppkey - l_suppkey % 3 as varchar(20)) as primary_plan_house,
   'P' || cast(l_suppkey as varchar(20)) as primary_plan_name,
   {DAY} as init_bill_dt,
   case when l_quantity >= 5 then cast({DAY} + l_linenumber * 9 as date) end as init_payment_dt,
-  case when l_quantity >= 10 then cast({DAY} + l_linenumber * 9 + 20 as date) end as last_payment_dt,
-  l_suppkey as plan
+  case when l_quantity >= 10 then cast({DAY} + l_linenumber * 9 + 20 as date) end as last_payment_dt
 from {{lineitem}}""",
     "payment": f"""
 select {OLI} as oli_id, l_orderkey * 10 + l_linenumber as ticket_no, {TEST_CODE} as test,
@@ -83,7 +84,7 @@ select l_orderkey as oli_id, l_orderkey * 10 + l_linenumber as ticket_no, {MONTH
   case when l_partkey % 11 = 0 then 'Unknown' when l_partkey % 37 = 0 then 'T9'
     else 'T' || cast(l_orderkey % 7 as varchar(20)) end as test,
   case when l_quantity >= 48 then '1' else '0' end as recon_flag,
-  l_suppkey as plan, {DAY} as delivered_dt,
+  {SUPP} as plan, {DAY} as delivered_dt,
   case when l_linestatus = 'F' then 'Yes' else 'No' end as in_coverage,
   case when l_returnflag = 'A' then 'Accrual' else 'Cash' end as revenue_status,
   'Group ' || cast(l_suppkey % 5 as varchar(20)) || ' (G' || cast(l_suppkey % 5 as varchar(20)) || ')' as tier1_payor,
@@ -120,7 +121,7 @@ select o_orderkey as oli_id, o_custkey as order_id,
   case when o_orderkey % 2 = 0 then 'Paid!' else 'Open' end as case_status,
   case when c_nationkey < 15 then 'Domestic' else 'International' end as business_unit,
   c_nationkey as territory,
-  o_custkey % 100 as plan,
+  cast(o_custkey % 100 as varchar(20)) as plan,
   case when o_orderkey % 9 <> 0 then 'Group ' || cast(o_custkey % 5 as varchar(20)) || ' (G'
     || cast(o_custkey % 5 as varchar(20)) || ')' end as tier1_payor,
   'Group ' || cast(o_custkey % 5 as varchar(20)) as tier1_payor_name, 'G' || cast(o_custkey % 5 as varchar(20)) as tier1_payor_id,
@@ -130,13 +131,13 @@ select o_orderkey as oli_id, o_custkey as order_id,
   'Plan ' || cast(o_custkey % 100 as varchar(20)) as tier4_payor_name, cast(o_custkey % 100 as varchar(20)) as tier4_payor_id
 from {orders} join {customer} on o_custkey = c_custkey""",
     "payor": """
-select s_suppkey as tier4_payor_id, s_name as tier4_payor_name, n_nationkey as tier2_payor_id,
+select cast(s_suppkey as varchar(20)) as tier4_payor_id, s_name as tier4_payor_name, n_nationkey as tier2_payor_id,
   n_name as tier2_payor_name, r_regionkey as tier1_payor_id, r_name as tier1_payor_name,
   case when s_suppkey % 6 <> 0 then 'FC' || cast(s_suppkey % 4 as varchar(20)) end as financial_category,
   case when s_acctbal > 0 then 'Medical' else 'Pharmacy' end as line_of_benefit
 from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
     "ins_codes": """
-select s_suppkey as tier4_payor_id, 'V' || cast(s_suppkey % 3 as varchar(20)) as vendor_fc
+select cast(s_suppkey as varchar(20)) as tier4_payor_id, 'V' || cast(s_suppkey % 3 as varchar(20)) as vendor_fc
 from {supplier} where s_suppkey % 5 <> 0""",
     "appeal_case": """
 select distinct user_id * 10 + event_id % 3 as case_no, user_id * 100 + event_id % 3 as ticket_no,

@@ -98,13 +98,14 @@ def standardise_bill(bill: DataFrame) -> DataFrame:
         "txn_type": F.lit("CL"),
         "case_status_sum2": F.when(status == "Claim In Process", "Claim in Process").otherwise(status),
     })
-    return resolve_ticket_payor(out)
+    return resolve_ticket_payor(out, [f for f in PAYOR_FIELDS if f"primary_{f}" in bill.columns])
 
 
 def standardise_payment(payment: DataFrame, adjustment_code: DataFrame) -> DataFrame:
     """The whole payment clean-up, in the order the rules depend on each other."""
     out = payment_insurer_from_code(translate_test_code(payment))
-    out = flag_primary_payment(fill_ticket_payor(out))
+    fields = [f for f in PAYMENT_FALLBACK_FIELDS if f"primary_{f}" in payment.columns]
+    out = flag_primary_payment(fill_ticket_payor(out, fields))
     return patch_adjustment_codes(out, adjustment_code)
 
 
