@@ -25,6 +25,7 @@ LEVEL_FIELDS = {
     "ins_code": "ins_code",
     "den_reason": "den_reason",
 }
+DENIAL_ORDER = ("denial_dt", "entry_dt", "level_code")
 DEFAULT_ORDER = ("entry_dt", "denial_dt", "report_dt")
 
 
@@ -86,7 +87,7 @@ def levels_wide(journal: DataFrame, levels: Sequence[str] = rules.APPEAL_LEVELS,
         *[F.col(f"{lv}_{name}").alias(f"{lv.lower()}_{name}") for name in fields for lv in levels])
 
 
-def last_denial(journal: DataFrame, order: Sequence = ("denial_dt", "entry_dt", "level_code")) -> DataFrame:
+def last_denial(journal: DataFrame, order: Sequence = DENIAL_ORDER) -> DataFrame:
     """Row of the latest denial per order line, with level count and first entry."""
     columns = ["appeal_case_no", "appeal_ticket_no", "ins_code", "level_code", "den_reason",
                "den_reason_desc", "entry_dt", "denial_dt", "campaign_code"]
@@ -116,7 +117,8 @@ def prepare_complete(complete: DataFrame) -> DataFrame:
 
 def appeal_wide(journal: DataFrame, case: DataFrame, complete: DataFrame,
                 levels: Sequence[str] = rules.APPEAL_LEVELS,
-                order: Sequence = DEFAULT_ORDER) -> DataFrame:
+                order: Sequence = DEFAULT_ORDER,
+                denial_order: Sequence = DENIAL_ORDER) -> DataFrame:
     """Flat appeal history per ticket with the last denial and the final outcome.
 
     Reason and insurer come from the completed appeal, else from the last denial.
@@ -124,7 +126,7 @@ def appeal_wide(journal: DataFrame, case: DataFrame, complete: DataFrame,
     ref = (case.filter(F.col("case_no").isNotNull() & F.col("ticket_no").isNotNull())
            .select(F.col("case_no").alias("appeal_case_no"),
                    F.col("ticket_no").alias("appeal_ticket_no"), "accession"))
-    denial = last_denial(journal).drop(*CASE_KEYS)
+    denial = last_denial(journal, denial_order).drop(*CASE_KEYS)
     out = (levels_wide(journal, levels, order=order)
            .join(ref, CASE_KEYS, "left")
            .join(denial, "accession", "left")
