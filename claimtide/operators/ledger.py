@@ -22,7 +22,7 @@ ADJUSTMENT_KEYS = ("oli_id", "currency", "vendor_adj_code", "adj_desc", "house_a
 def unpivot_amounts(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
                     name: str = "txn_type", value: str = "txn_amount") -> DataFrame:
     """Metric columns to rows; missing and zero amounts drop out."""
-    typed = df.select(*ids, *[F.col(m).cast("decimal(28,4)").alias(m) for m in metrics])
+    typed = df.select(*ids, *[F.col(m).cast("decimal(38,8)").alias(m) for m in metrics])
     return (typed.unpivot(list(ids), list(metrics), name, value)
             .filter(F.col(value).isNotNull() & (F.col(value) != 0)))
 
@@ -30,7 +30,7 @@ def unpivot_amounts(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
 def adjustment_totals(payment: DataFrame, keys: Sequence[str] = ADJUSTMENT_KEYS) -> DataFrame:
     """Adjustments (normalised sign) summed by order line, currency and code."""
     return (payment.filter(is_adjustment() & all_present(keys)).groupBy(*keys)
-            .agg(F.sum("txn_amount").cast("decimal(28,4)").alias("txn_amount"))
+            .agg(F.sum("txn_amount").alias("txn_amount"))
             .withColumn("txn_type", F.concat("house_adj_code", F.lit(":"), "category_desc")))
 
 
