@@ -140,7 +140,7 @@ from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_re
 select cast(s_suppkey as varchar(20)) as tier4_payor_id, 'V' || cast(s_suppkey % 3 as varchar(20)) as vendor_fc
 from {supplier} where s_suppkey % 5 <> 0""",
     "appeal_case": """
-select distinct user_id * 10 + event_id % 3 as case_no, user_id * 100 + event_id % 3 as ticket_no,
+select distinct user_id * 10 + event_id % 3 as case_no, user_id * 10 + event_id % 3 + 1 as ticket_no,
   user_id as accession
 from {events} where user_id % 10 <> 0""",
     "appeal": """
@@ -156,7 +156,7 @@ select event_id, user_id * 10 + event_id % 3 as appeal_case_no,
   case when event_id % 17 = 0 then 'uhclnp' else 'STD' end as campaign_code
 from {events}""",
     "complete_appeal": """
-select user_id * 10 + event_id % 3 as appeal_case_no, user_id * 100 + event_id % 3 as appeal_ticket_no,
+select user_id * 10 + event_id % 3 as appeal_case_no, user_id * 10 + event_id % 3 + 1 as appeal_ticket_no,
   user_id as accession, case when min(event_id) % 2 = 0 then '1' else '0' end as appeal_success,
   case when min(event_id) % 5 <> 0 then cast(min(event_id) % 7 as varchar(20)) end as appeal_den_reason,
   case when min(event_id) % 5 <> 0 then 'Final ' || cast(min(event_id) % 7 as varchar(20)) end as appeal_den_reason_desc,
@@ -222,6 +222,19 @@ from {lineitem}""",
     "view_set": """
 select * from (values ('set_region', 1), ('set_region', 3), ('set_nation', 2), ('set_nation', 5),
   ('set_nation', 7), ('set_west', 4), ('set_west', 5)) as t(set_name, payor_id)""",
+    "prior_auth": """
+select p_partkey as prior_auth_case_no, case when p_size % 4 = 0 then 'Denied' else 'Approved' end as prior_auth_result,
+  case when p_size % 4 = 0 then 'Closed' else 'Open' end as prior_auth_category,
+  'A' || cast(p_partkey as varchar(20)) as prior_auth_number,
+  case when p_size % 4 = 0 then 'Failure' when p_size % 4 = 1 then 'PA Denied' else 'Non Failure' end as pre_claim_failure
+from {part} where p_partkey % 3 <> 0""",
+    "specimen": """
+select o_orderkey as oli_id, case when o_custkey % 2 = 0 then 'Biopsy' else 'Non-Biopsy' end as procedure_type,
+  o_custkey % 1200 as specimen_age, case when o_orderkey % 4 = 0 then 'Yes' else 'No' end as adjuvant_chemo_candidate
+from {orders} where o_orderkey % 2 = 0""",
+    "somn": """
+select o_orderkey as oli_id, case when o_custkey % 2 = 0 then 'Signed' else 'Sent' end as somn_status
+from {orders} where o_orderkey % 3 = 1""",
     "extract_case": """
 select user_id as order_id, event_id % 10 as owner_id, event_id as case_id,
   case event_type when 'error' then 'Missing Data' when 'purchase' then 'Pre-Billing' else 'Other' end as case_type

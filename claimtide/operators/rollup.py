@@ -58,12 +58,14 @@ def sum_or_zero(name: str) -> Column:
 
 def receipt_rollup(bill: DataFrame, payment: DataFrame,
                    groups: Sequence[str] = rules.ADJUSTMENT_GROUPS,
-                   categories: Sequence[str] = (), key: str = "oli_id") -> DataFrame:
+                   categories: Sequence[str] = (), key: str = "oli_id",
+                   with_allowed: bool = False) -> DataFrame:
     """Charge, receipts, adjustments and balance per order line.
 
     Takes rows with valid keys and vendor signs.  Adjustments are laid out by
     group and, where asked for, by category.  Billed, payment and adjustment
-    totals are net of charges in error and refunds.
+    totals are net of charges in error and refunds.  ``with_allowed`` adds the
+    greatest allowed amount of the insurer payments in the same pass.
     """
     bill = normalise_bill_sign(bill)
     payment = normalise_payment_sign(payment)
@@ -71,11 +73,12 @@ def receipt_rollup(bill: DataFrame, payment: DataFrame,
         key, F.col("txn_amount").alias("charge"), F.col("amt_received").alias("received"),
         F.col("amt_adjusted").alias("claim_adjusted"), F.col("ticket_balance").alias("outstanding"))
     measures = payment_measures(groups, categories)
-    receipts = payment.select(key, *[c.alias(n) for n, c in measures.items()])
+    extra = {"allowed_amt": F.when(is_allowed(flipped=True), F.col("allowed_amt"))} if with_allowed else {}
+    receipts = payment.select(key, *[c.alias(n) for n, c in {**measures, **extra}.items()])
     names = ["charge", "received", "claim_adjusted", "outstanding", *measures]
     out = (charges.unionByName(receipts, allowMissingColumns=True)
            .filter(F.col(key).isNotNull())
-           .groupBy(key).agg(*[sum_or_zero(n) for n in names]))
+           .groupBy(key).agg(*[sum_or_zero(n) for n in names], *[F.max(n).alias(n) for n in extra]))
     by_group = group_columns(groups)
     error, refund = F.col(by_group[rules.CHARGED_IN_ERROR]), F.col(by_group[rules.REFUND])
     return out.withColumns({
@@ -106,14 +109,18 @@ def fill_list_price(oli: DataFrame, prices: DataFrame) -> DataFrame:
             .drop("std_list_price"))
 
 
+def is_allowed(flipped: bool) -> Column:
+    """Insurer payments proper: take-backs have the other sign."""
+    paid = F.col("txn_amount") > 0 if flipped else F.col("txn_amount") < 0
+    return (F.col("txn_type") == rules.INSURER_PAID) & paid
+
+
 def allowed_amount(payment: DataFrame, flipped: bool = True) -> DataFrame:
     """Greatest allowed amount of the insurer payments per order line.
 
     ``flipped`` tells whether paid amounts are positive already.
     """
-    paid = F.col("txn_amount") > 0 if flipped else F.col("txn_amount") < 0
-    return (payment.filter((F.col("txn_type") == rules.INSURER_PAID) & paid
-                           & F.col("oli_id").isNotNull())
+    return (payment.filter(is_allowed(flipped) & F.col("oli_id").isNotNull())
             .groupBy("oli_id").agg(F.max("allowed_amt").alias("allowed_amt")))
 
 
