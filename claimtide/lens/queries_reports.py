@@ -123,9 +123,9 @@ select primary_tier1_payor_id, primary_tier2_payor_id, primary_tier4_payor_id, p
   appeal_result as "Appeal Result", appeal_den_reason_desc as "Appeal Den Reason Desc", delivered_dt,
   case_status_sum2 as "Billing Case", current_case_no as "Case Number", oli_id as "Oliid", a1_status_desc as "A1",
   cast(appeal_amt_applied as double) as "Appeal Amt Apl Rec"
-from c2r where test = 'IBC' and business_unit = 'Domestic' and appeal_result is not null""", **C2R_SQL)
+from c2r where test = 'Prostate' and business_unit = 'Domestic' and appeal_result is not null""", **C2R_SQL)
 def appeals_detail(t):
-    out = reports.appeals_detail(reports.claim_to_revenue(claim_tables(t)), "IBC")
+    out = reports.appeals_detail(reports.claim_to_revenue(claim_tables(t)), "Prostate")
     levels = [lv for lv in rules.APPEAL_LEVELS if lv != "A1"]
     return out.drop(*levels, *[f"primary_tier{n}_payor_name" for n in (1, 2, 4)])
 

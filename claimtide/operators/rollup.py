@@ -1,7 +1,8 @@
 """Amounts rolled up to the order line.
 
-Ledgers of different sources meet in a union followed by one aggregation, not
-in a chain of outer joins: one exchange, combined on the map side.
+Every source is summed over its own few columns first.  The sums, one row per
+key and source, meet in a union that keeps their common partitioning, so the
+rows of a key are merged where they are: no wide exchange, no outer join.
 """
 
 from __future__ import annotations
@@ -56,6 +57,21 @@ def sum_or_zero(name: str) -> Column:
     return null_to_zero(F.sum(name)).alias(name)
 
 
+def merge_rollups(parts: Sequence[DataFrame], keys: Sequence[str],
+                  keep_null: Sequence[str] = ()) -> DataFrame:
+    """One row per key from rollups of the same keys with different measures.
+
+    Equals the full outer join of the parts with missing amounts as 0, except
+    for ``keep_null`` columns.
+    """
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    names = [c for c in rows.columns if c not in keys]
+    merged = rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
+    return merged.withColumns({n: null_to_zero(n) for n in names if n not in keep_null})
+
+
 def receipt_rollup(bill: DataFrame, payment: DataFrame,
                    groups: Sequence[str] = rules.ADJUSTMENT_GROUPS,
                    categories: Sequence[str] = (), key: str = "oli_id",
@@ -67,18 +83,16 @@ def receipt_rollup(bill: DataFrame, payment: DataFrame,
     totals are net of charges in error and refunds.  ``with_allowed`` adds the
     greatest allowed amount of the insurer payments in the same pass.
     """
-    bill = normalise_bill_sign(bill)
-    payment = normalise_payment_sign(payment)
-    charges = bill.select(
-        key, F.col("txn_amount").alias("charge"), F.col("amt_received").alias("received"),
-        F.col("amt_adjusted").alias("claim_adjusted"), F.col("ticket_balance").alias("outstanding"))
-    measures = payment_measures(groups, categories)
-    extra = {"allowed_amt": F.when(is_allowed(flipped=True), F.col("allowed_amt"))} if with_allowed else {}
-    receipts = payment.select(key, *[c.alias(n) for n, c in {**measures, **extra}.items()])
-    names = ["charge", "received", "claim_adjusted", "outstanding", *measures]
-    out = (charges.unionByName(receipts, allowMissingColumns=True)
-           .filter(F.col(key).isNotNull())
-           .groupBy(key).agg(*[sum_or_zero(n) for n in names], *[F.max(n).alias(n) for n in extra]))
+    bill = normalise_bill_sign(bill).filter(F.col(key).isNotNull())
+    payment = normalise_payment_sign(payment).filter(F.col(key).isNotNull())
+    charges = bill.groupBy(key).agg(
+        F.sum("txn_amount").alias("charge"), F.sum("amt_received").alias("received"),
+        F.sum("amt_adjusted").alias("claim_adjusted"), F.sum("ticket_balance").alias("outstanding"))
+    allowed = F.max(F.when(is_allowed(flipped=True), F.col("allowed_amt"))).alias("allowed_amt")
+    receipts = payment.groupBy(key).agg(
+        *[F.sum(c).alias(n) for n, c in payment_measures(groups, categories).items()],
+        *([allowed] if with_allowed else []))
+    out = merge_rollups([charges, receipts], [key], keep_null=["allowed_amt"])
     by_group = group_columns(groups)
     error, refund = F.col(by_group[rules.CHARGED_IN_ERROR]), F.col(by_group[rules.REFUND])
     return out.withColumns({
