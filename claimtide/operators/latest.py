@@ -74,6 +74,8 @@ def first_and_last(df: DataFrame, keys: Sequence[str], order: Sequence,
     )
 
 
-def numeric_text_order(c: str) -> list[Column]:
-    """Order for ids kept as text: by number where they are one, then by text."""
-    return [F.col(c).cast("string").try_cast("bigint"), F.col(c).cast("string")]
+def id_order(df: DataFrame, c: str) -> list[Column]:
+    """Order for an id column; ids kept as text go by number first, then by text."""
+    if dict(df.dtypes)[c] != "string":
+        return [F.col(c)]
+    return [F.col(c).try_cast("bigint"), F.col(c)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimtide import rules
 from claimtide.functions import differs, label, translate
-from claimtide.operators.latest import latest_row, numeric_text_order, pick_greatest
+from claimtide.operators.latest import id_order, latest_row, pick_greatest
 
 TICKET_COLUMNS = ("case_status_sum1", "case_status_sum2", "case_status_code", "case_status",
                   "ticket_plan_vendor", "ticket_plan_house", "primary_plan_vendor",
@@ -26,7 +26,7 @@ def latest_case_per_ticket(bill: DataFrame, columns: Sequence[str] | None = None
     columns = list(columns or [c for c in bill.columns if c not in ("oli_id", "ticket_no")])
     if "case_no" not in columns:
         columns.insert(0, "case_no")
-    return latest_row(bill, ["oli_id", "ticket_no"], numeric_text_order("case_no"), columns)
+    return latest_row(bill, ["oli_id", "ticket_no"], id_order(bill, "case_no"), columns)
 
 
 def ticket_counts(bill: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def current_ticket(bill: DataFrame, columns: Sequence[str] = TICKET_COLUMNS) ->
     """
     payload = ["case_no", *[c for c in columns if c in bill.columns]]
     tickets = (bill.filter(F.col("oli_id").isNotNull()).groupBy("oli_id", "ticket_no")
-               .agg(pick_greatest(numeric_text_order("case_no"), payload).alias("_case"))
+               .agg(pick_greatest(id_order(bill, "case_no"), payload).alias("_case"))
                .select("oli_id", "ticket_no", "_case.row.*"))
     chosen = ["ticket_no", *payload]
     order = [F.when(F.col("ticket_no").isNotNull(), F.col("txn_date")), "ticket_no"]
@@ -59,7 +59,7 @@ def current_case(case: DataFrame) -> DataFrame:
     """Latest added case per order line, with the number of distinct cases."""
     cases = (case.filter(F.col("accession").isNotNull()).groupBy("accession", "case_no")
              .agg(F.max("added_ts").alias("added_ts")))
-    order = ["added_ts", *numeric_text_order("case_no")]
+    order = ["added_ts", *id_order(case, "case_no")]
     return (cases.groupBy(F.col("accession").alias("oli_id"))
             .agg(F.count(F.lit(1)).alias("case_cnt"), pick_greatest(order, ["case_no"]).alias("_pick"))
             .select("oli_id", F.col("_pick.row.case_no").alias("max_case_no"), "case_cnt"))
