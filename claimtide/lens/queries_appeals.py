@@ -187,9 +187,9 @@ from bill b left join hierarchy a on b.rerouted_plan_house = a.tier4_payor_id
 left join hierarchy p on b.primary_plan_house = p.tier4_payor_id""", hierarchy=HIERARCHY)
 def view_sets(t):
     tiers = hierarchy(t).select("tier1_payor_id", "tier2_payor_id", "tier4_payor_id")
+    payors = views.payor_view_sets(tiers, t.view_set, SETS)
     rows = t.bill.select("oli_id", "ticket_no", "rerouted_plan_house", "primary_plan_house")
-    rows = attach_payor_hierarchies(rows, tiers, ticket_plan="rerouted_plan_house")
-    out = views.payor_view_sets_with_primary(rows, t.view_set, SETS)
+    out = attach_payor_hierarchies(rows, payors, ticket_plan="rerouted_plan_house")
     return out.drop("rerouted_plan_house", "primary_plan_house", "tier4_payor_id", "primary_tier4_payor_id")
 
 
@@ -417,3 +417,16 @@ def case_extract(t):
     groups = t.base("nation").select(F.col("n_nationkey").cast("bigint").alias("owner_id"),
                                      F.col("n_name").alias("owner_name"))
     return order_case_extract(items, orders, accounts, t.extract_case, groups, "1996-01-07", "1997-04-10").drop("owner_id")
+
+
+@register("q_view_sets_rows", "oli view_set", f"""
+select oli_id, territory, mod as group_id, {_set_sql('set_nation', 'territory', 'set_nation')},
+  {_set_sql('set_region', 'mod', 'set_region')}, {_set_sql('set_nation', 'mod', 'primary_set_nation')},
+  {_set_sql('set_region', 'territory', 'primary_set_region')}
+from (select oli_id, territory, cast(order_id % 5 as integer) as mod from oli)""")
+def view_sets_rows(t):
+    rows = t.oli.select("oli_id", "territory", (F.col("order_id") % 5).cast("int").alias("group_id"))
+    sets = {"set_nation": "territory", "set_region": "group_id"}
+    out = views.payor_view_sets(rows, t.view_set, sets)
+    return views.payor_view_sets(out, t.view_set, sets, prefix="primary_",
+                                 column_of={"territory": "group_id", "group_id": "territory"})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimtide import rules
 from claimtide.functions import differs, label, translate
 from claimtide.operators.latest import id_order, latest_row, pick_greatest
+from claimtide.operators.lookup import as_lookup
 
 TICKET_COLUMNS = ("case_status_sum1", "case_status_sum2", "case_status_code", "case_status",
                   "ticket_plan_vendor", "ticket_plan_house", "primary_plan_vendor",
@@ -108,16 +109,18 @@ def attach_payor_hierarchies(oli: DataFrame, payors: DataFrame,
                              ticket_plan: str = "ticket_plan_house",
                              primary_plan: str = "primary_plan_house",
                              retired: Mapping[str, str] = rules.RETIRED_PLANS) -> DataFrame:
-    """Join the current hierarchy twice: for the ticket's plan and the primary plan."""
+    """Join the current hierarchy twice: for the ticket's plan and the primary plan.
+
+    Every column of ``payors`` comes along, the second time prefixed.
+    """
     keys = {}
     for plan in (ticket_plan, primary_plan):
         if dict(oli.dtypes)[plan] == "string" and retired:
             keys[plan] = translate(plan, retired)
     out = oli.withColumns(keys) if keys else oli
-    columns = [c for c in payors.columns if c in HIERARCHY_COLUMNS]
     payors = payors.filter(F.col("tier4_payor_id").isNotNull())
-    ticket = payors.select(*columns)
-    primary = payors.select(*[F.col(c).alias(f"primary_{c}") for c in columns])
+    ticket = as_lookup(payors)
+    primary = as_lookup(payors.select(*[F.col(c).alias(f"primary_{c}") for c in payors.columns]))
     return (out.join(ticket, out[ticket_plan] == ticket["tier4_payor_id"], "left")
             .join(primary, F.col(primary_plan) == F.col("primary_tier4_payor_id"), "left"))
 

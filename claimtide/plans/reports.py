@@ -43,11 +43,13 @@ def project(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in dict.fromkeys(wanted) if c in have])
 
 
-def with_view_sets(df: DataFrame, t: ClaimTables, primary: bool = False) -> DataFrame:
-    if t.view_members is None:
-        return df
-    add = views.payor_view_sets_with_primary if primary else views.payor_view_sets
-    return add(df, t.view_members, t.view_sets)
+def with_view_sets(df: DataFrame, t: ClaimTables) -> DataFrame:
+    return df if t.view_members is None else views.payor_view_sets(df, t.view_members, t.view_sets)
+
+
+def flagged_payors(t: ClaimTables) -> DataFrame:
+    """The payor table with its view sets: facts get the flags with their payor."""
+    return with_view_sets(t.payors, t)
 
 
 def view_columns(t: ClaimTables, prefix: str = "") -> list[str]:
@@ -81,7 +83,7 @@ def claim_to_revenue(t: ClaimTables) -> DataFrame:
     out = _left(_left(out, t.specimen, "oli_id"), t.somn, "oli_id")
     if t.prices is not None:
         out = rollup.fill_list_price(out, t.prices)
-    out = reference.attach_payor_hierarchies(reference.claim_flags(out), t.payors)
+    out = reference.attach_payor_hierarchies(reference.claim_flags(out), flagged_payors(t))
     out = status.order_status(reference.reroute_flags(out))
     if t.appeal_wide is not None:
         wide = t.appeal_wide.filter(F.col("appeal_ticket_no").isNotNull()).withColumnsRenamed(
@@ -90,15 +92,14 @@ def claim_to_revenue(t: ClaimTables) -> DataFrame:
     out = status.partial_paid(status.contract_accrual_flags(out))
     if t.prior_auth is not None:
         out = out.join(t.prior_auth, F.col("current_case_no") == F.col("prior_auth_case_no"), "left")
-    return with_view_sets(out, t, primary=True)
+    return out
 
 
 def oli_transactions(claim: DataFrame, t: ClaimTables) -> DataFrame:
     """Ledger at order-line grain with attributes and payor view sets."""
     payment = rollup.normalise_payment_sign(quality.split_valid_keys(t.payment).kept)
-    attributes = [c for c in C.LEDGER_ATTRIBUTES if c in claim.columns]
-    out = ledger.transaction_detail(claim, payment, attributes)
-    return with_view_sets(out, t, primary=True)
+    wanted = [*C.LEDGER_ATTRIBUTES, *view_columns(t), *view_columns(t, "primary_")]
+    return ledger.transaction_detail(claim, payment, [c for c in wanted if c in claim.columns])
 
 
 def managed_care(claim: DataFrame, t: ClaimTables) -> DataFrame:
@@ -132,9 +133,8 @@ def appeals_detail(claim: DataFrame, test: str, business_unit: str = "Domestic")
 def accounting_period(t: ClaimTables, oli_columns: Sequence[str] = (), flip_after: bool = False) -> DataFrame:
     """Payor monthly report.  ``flip_after`` gives the criteria layout."""
     revenue = quality.reconciled(t.revenue)
-    out = period.period_report(t.bill, t.payment, revenue, t.oli, t.payors, oli_columns=oli_columns,
-                               flip_after=flip_after)
-    return with_view_sets(out, t)
+    return period.period_report(t.bill, t.payment, revenue, t.oli, flagged_payors(t), oli_columns=oli_columns,
+                                flip_after=flip_after)
 
 
 def ticket_journal(t: ClaimTables, version: int = 2, oli_columns: Sequence[str] = (), agg: str = "sum") -> DataFrame:
@@ -143,12 +143,11 @@ def ticket_journal(t: ClaimTables, version: int = 2, oli_columns: Sequence[str]
     revenue = quality.reconciled(t.revenue)
     signed = rollup.normalise_payment_sign(t.payment)
     rows = ledger.ticket_journal(t.bill, signed, revenue, period.latest_period(t.bill, t.payment, revenue), agg)
-    out = period.attributed_journal(rows, t.bill, revenue, t.oli, t.payors,
+    out = period.attributed_journal(rows, t.bill, revenue, t.oli, flagged_payors(t) if version == 2 else t.payors,
                                     payor_of="revenue" if version == 2 else "claim", oli_columns=oli_columns)
     if version == 2:
         if t.prior_auth is not None:
             out = out.join(t.prior_auth, F.col("case_no") == F.col("prior_auth_case_no"), "left")
-        out = with_view_sets(out, t)
     return out
 
 
