@@ -274,16 +274,12 @@ def latency(t):
         "oli_id", "ticket_no", "init_bill_dt", "days_to_init_payment", "days_to_last_payment")
 
 
-PRICES = "select test, billed_currency, max(list_price) as std_list_price from oli group by all"
-
-
-@register("q_list_price", "oli", f"""
+@register("q_list_price", "oli price", """
 select o.oli_id, o.test, o.billed_currency, cast(coalesce(list_price, std_list_price) as double) as list_price
-from oli o left join prices p on o.test = p.test and o.billed_currency = p.billed_currency""", prices=PRICES)
+from oli o left join price p on o.test = p.test and o.billed_currency = p.billed_currency""")
 def list_price(t):
-    prices = t.oli.groupBy("test", "billed_currency").agg(F.max("list_price").alias("std_list_price"))
     lines = t.oli.select("oli_id", "test", "billed_currency", "list_price")
-    return rollup.fill_list_price(lines, prices)
+    return rollup.fill_list_price(lines, t.price)
 
 
 @register("q_allowed", "payment adjustment_code", """

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from claimtide import rules
 from claimtide.lens.queries_appeals import PAYOR, SETS, VIEWS, WIDE, _set_sql, journal, wide
-from claimtide.lens.queries_claims import CONFLICTS, PAY, PRICES, REF, SINGLE, bill_std, hierarchy, pay_std
+from claimtide.lens.queries_claims import CONFLICTS, PAY, REF, SINGLE, bill_std, hierarchy, pay_std
 from claimtide.lens.registry import (
     GROUPS, HIERARCHY, PAY_STD, RECEIPT, RECEIPT_AMOUNTS, REVENUE_AMOUNTS, REVENUE_ROLLUP, Tables, doubles,
     register)
@@ -13,15 +13,14 @@ from claimtide.plans import reports
 
 
 def claim_tables(t: Tables) -> reports.ClaimTables:
-    prices = t.oli.groupBy("test", "billed_currency").agg(F.max("list_price").alias("std_list_price"))
     return reports.ClaimTables(
         bill=bill_std(t), payment=pay_std(t), claim_case=t.claim_case, oli=t.oli, revenue=t.revenue,
         payors=hierarchy(t), appeal=appeals.appeal_journal(journal(t), t.complete_appeal), appeal_wide=wide(t),
-        prior_auth=t.prior_auth, specimen=t.specimen, somn=t.somn, prices=prices, view_members=t.view_set,
+        prior_auth=t.prior_auth, specimen=t.specimen, somn=t.somn, prices=t.price, view_members=t.view_set,
         view_sets=SETS)
 
 
-C2R_VIEWS = f"bill payment adjustment_code claim_case oli revenue payor ins_codes prior_auth specimen somn view_set {VIEWS}"
+C2R_VIEWS = f"price bill payment adjustment_code claim_case oli revenue payor ins_codes prior_auth specimen somn view_set {VIEWS}"
 DONE = "('Completed', 'Final Review', 'Due from Patient')"
 C2R_JOINED = f"""
 select o.oli_id, o.order_id, o.test, o.order_start_dt, o.business_unit, o.territory, o.billed_currency, o.contracted_price,
@@ -43,7 +42,7 @@ select o.oli_id, o.order_id, o.test, o.order_start_dt, o.business_unit, o.territ
   w.appeal_amt_applied, w.a1_status_desc, w.er_status, p.prior_auth_case_no, p.prior_auth_result, p.prior_auth_category,
   p.prior_auth_number, p.pre_claim_failure
 from oli o left join current_reference r on o.oli_id = r.oli_id
-left join prices pr on o.test = pr.test and o.billed_currency = pr.billed_currency
+left join price pr on o.test = pr.test and o.billed_currency = pr.billed_currency
 left join hierarchy a on r.ticket_plan_house = a.tier4_payor_id
 left join hierarchy b on r.primary_plan_house = b.tier4_payor_id
 left join receipt k on o.oli_id = k.oli_id left join revenue_rollup v on o.oli_id = v.oli_id
@@ -79,7 +78,7 @@ select *, case when test_delivered = 1 then 'Delivered' when failure_message is
   case when appeal_result in ('Success', 'Failed') and vendor_sum2 not in {DONE} then 'Final Review'
     when vendor_status = 'Paid!' and grp_revenue_impact_adjustment > 0 then 'Partial Paid' else vendor_status end as case_status
 from c2r_status"""
-C2R_SQL = {**PAY, **REF, "receipt": RECEIPT, "revenue_rollup": REVENUE_ROLLUP, "hierarchy": HIERARCHY, "prices": PRICES, **WIDE,
+C2R_SQL = {**PAY, **REF, "receipt": RECEIPT, "revenue_rollup": REVENUE_ROLLUP, "hierarchy": HIERARCHY, **WIDE,
            "c2r_joined": C2R_JOINED, "c2r_status": C2R_STATUS, "c2r": C2R}
 
 C2R_AMOUNTS = ["list_price", "contracted_price", *RECEIPT_AMOUNTS, *REVENUE_AMOUNTS, "allowed_amt", "appeal_amt_applied"]

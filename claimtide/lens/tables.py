@@ -130,6 +130,12 @@ select o_orderkey as oli_id, o_custkey as order_id,
   'Plan ' || cast(o_custkey % 100 as varchar(20)) || ' (' || cast(o_custkey % 100 as varchar(20)) || ')' as tier4_payor,
   'Plan ' || cast(o_custkey % 100 as varchar(20)) as tier4_payor_name, cast(o_custkey % 100 as varchar(20)) as tier4_payor_id
 from {orders} join {customer} on o_custkey = c_custkey""",
+    "price": """
+select case p_partkey % 5 when 0 then 'IBC' when 1 then 'Prostate' when 2 then 'DCIS' when 3 then 'Colon'
+    else 'Unknown' end as test,
+  case when p_size % 2 = 0 then 'EUR' else 'USD' end as billed_currency,
+  cast(max(p_retailprice) as decimal(12,2)) as std_list_price
+from {part} where p_partkey % 5 <> 3 group by p_partkey % 5, p_size % 2""",
     "payor": """
 select cast(s_suppkey as varchar(20)) as tier4_payor_id, s_name as tier4_payor_name, n_nationkey as tier2_payor_id,
   n_name as tier2_payor_name, r_regionkey as tier1_payor_id, r_name as tier1_payor_name,

@@ -20,19 +20,18 @@ def revenue_summary(revenue: DataFrame, measures: Sequence[str] = USD_MEASURES,
                     columns: Sequence[str] = EDGE_COLUMNS) -> DataFrame:
     """Sums, ticket and period counts, first and last attributes per order line.
 
-    Rows reduce to one per (order line, ticket) before they meet per order
-    line, so the distinct ticket count needs no separate pass.
+    Tickets are counted on narrow distinct pairs and joined on the partitioning
+    the summary has anyway; the wide rows are exchanged once.
     """
     columns = [c for c in columns if c in revenue.columns]
     rows = revenue.filter(F.col("oli_id").isNotNull())
-    # Tickets break ties between rows of the same period.
-    tickets = rows.groupBy("oli_id", "ticket_no").agg(
-        *[F.sum(m).alias(m) for m in measures], F.count("period").alias("period_cnt"),
+    tickets = (rows.filter(F.col("ticket_no").isNotNull()).select("oli_id", "ticket_no").distinct()
+               .groupBy("oli_id").agg(F.count(F.lit(1)).alias("ticket_cnt")))
+    lines = rows.groupBy("oli_id").agg(
+        *[null_to_zero(F.sum(m)).alias(m) for m in measures], F.count("period").alias("period_cnt"),
         pick_least(["period"], columns).alias("_first"), pick_greatest(["period"], columns).alias("_last"))
-    lines = tickets.groupBy("oli_id").agg(
-        *[null_to_zero(F.sum(m)).alias(m) for m in measures],
-        F.sum("period_cnt").alias("period_cnt"), F.count("ticket_no").alias("ticket_cnt"),
-        F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    lines = (lines.join(tickets, "oli_id", "left")
+             .withColumn("ticket_cnt", F.coalesce("ticket_cnt", F.lit(0).cast("bigint"))))
     return lines.select("oli_id", *measures, "period_cnt", "ticket_cnt",
                         *[F.col(f"_first.row.{c}").alias(f"{c}_init") for c in columns],
                         *[F.col(f"_last.row.{c}").alias(f"{c}_last") for c in columns])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from claimtide import rules
 from claimtide.functions import flip_sign, half_even, null_to_zero, snake, true_only
 from claimtide.operators.latest import all_present, pick_greatest
+from claimtide.operators.lookup import as_lookup
 from claimtide.operators.quality import REVENUE_MEASURES
 
 def is_adjustment() -> Column:
@@ -118,7 +119,7 @@ def revenue_rollup(revenue: DataFrame, keys: Sequence[str] = ("oli_id",),
 def fill_list_price(oli: DataFrame, prices: DataFrame) -> DataFrame:
     """Standard price where the order line has none.  ``prices``: test,
     billed_currency, std_list_price, one row per pair."""
-    return (oli.join(prices, ["test", "billed_currency"], "left")
+    return (oli.join(as_lookup(prices), ["test", "billed_currency"], "left")
             .withColumn("list_price", F.coalesce("list_price", "std_list_price"))
             .drop("std_list_price"))
 
