@@ -19,6 +19,10 @@ SESSION_CONFS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # The JVM never compiles methods above 8000 bytes of bytecode.  Stages with
+    # many case expressions exceed that and would be interpreted; below this
+    # limit Spark splits them into smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
