@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimtide.llm import sharding
+from claimtide.llm import mixing, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register("op7_jump_shards")
 def op7(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
+
+
+@register("op3_length_buckets")
+def op3(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op4_mix_sources")
+def op4(spark, sf_dir):
+    """What every document gives to the mix: one share of its words for each shard that drew it."""
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target",
+                       (F.size("shards") * F.col("size")).cast("long").alias("taken"))
