@@ -31,6 +31,11 @@ def fold(doc_id: Column | str, parts: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % parts
 
 
+def row_key(*columns: str) -> Column:
+    """md5 of the columns' texts; NULL counts as empty.  Rows alike in these columns, and only they, share it."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import free_name, repeat_rows, replace_columns, running_total, staged, word_count
+from claimtide.llm.common import free_name, repeat_rows, replace_columns, row_key, running_total, staged, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -27,6 +27,7 @@ MAX_SOURCES = 100_000
 MAX_BLOCKS = 10 ** 9
 # Single documents that may follow the last one that fits, to come nearer to the target.
 EXTRA = 3
+KEY = ("doc_id", "source", "text")
 
 
 def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, most: int = MAX_REPEAT) -> list[Fraction]:
@@ -74,11 +75,6 @@ def _sources(rows: DataFrame) -> list:
     return sorted(found, key=lambda r: (r.source is None, r.source or ""))
 
 
-def _row_key():
-    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                             F.coalesce(F.col("source"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))))
-
-
 def _nearest_documents(beyond: DataFrame, short: dict) -> dict[str | None, list[tuple[int, int]]]:
     """Up to ``EXTRA`` documents (position, size) of each source, each the nearest in size to what is then missing.
 
@@ -106,13 +102,13 @@ def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: in
 
     ``shards`` has one shard for each time the document is taken, at most ``most``.  A source takes whole passes over
     its documents, then documents in hash order as long as they fit, then up to three further documents, each nearest in size to what is
-    still missing, if that brings it nearer.  ``row_key`` is the md5 of id and text.
+    still missing, if that brings it nearer.  ``row_key`` is the md5 of id, source and text.
 
     NULL texts and texts without words have size 0; NULL is a source of its own, last in order.  Rows equal in id,
     source and text are separate documents of the stream.  A NULL id takes part like any other.  A source without
     words has target 0.  An empty table gives an empty plan.
     """
-    rows = staged(docs.select("doc_id", "source", word_count("text").alias("size"), _row_key().alias("row_key")))
+    rows = staged(docs.select("doc_id", "source", word_count("text").alias("size"), row_key(*KEY).alias("row_key")))
     sources = _sources(rows)
     wanted = targets([r.total for r in sources], weights, most)
     info = []
@@ -174,7 +170,7 @@ def mix_documents(docs: DataFrame, shards: int = 8, **options) -> DataFrame:
     counts = plan.select("row_key", F.explode("shards").alias("shard"), "size").groupBy("row_key", "shard").agg(
         F.count(F.lit(1)).alias(rows))
     by_key = counts.select(F.col("row_key").alias(key), F.col("shard").alias(drawn), rows)
-    single = docs.withColumn(key, _row_key())
+    single = docs.withColumn(key, row_key(*KEY))
     first = single.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).filter(F.col(nth) == 1)
     mixed = repeat_rows(first.join(by_key, key), rows, when)
     order = F.md5(F.concat_ws("|", F.col(key), F.col(drawn).cast("string"), F.col(when).cast("string")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import mixing, packing, sharding
+from claimtide.llm import mixing, packing, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,9 @@ def op4(spark, sf_dir):
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target",
                        (F.size("shards") * F.col("size")).cast("long").alias("taken"))
+
+
+@register("op6_simhash_groups")
+def op6(spark, sf_dir):
+    groups = simhash.group_near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
