@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import mixing, packing, sharding, simhash
+from claimtide.llm import kdtree, mixing, packing, quantized, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,42 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     groups = simhash.group_near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (cast('0x' || substr(x, cast(1 + 5 * (i // 4) as int), 5) as int) // [32768, 1024, 32, 1][1 + i % 4]) % 32, 1)), '')"""
+
+
+@register("op10_warc_round_trip", f"""
+select page_id, strlen(body) as payload_bytes, {BASE32} as payload_digest,
+  case when page_id is distinct from head then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from head then head end as refers_to
+from (select page_id, body, sha1(body) as x, max(page_id) over (partition by body) as head
+  from (select page_id, coalesce(html, '') as body from pages))""")
+def op10(spark, sf_dir):
+    folder, manifest = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, folder, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+VALID = """select vec_id, min(v) as v from (select vec_id, {vector} as v from embeddings) where vec_id is not null and len(v) > 0
+  and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0 group by vec_id"""
+TOP = """with e as ({valid})
+select query_id, cast(rank as int) as rank, vec_id, score from (
+  select q.vec_id as query_id, c.vec_id, {score} as score,
+    row_number() over (partition by q.vec_id order by {score} desc, c.vec_id) as rank
+  from e q join e c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)) where rank <= 5"""
+
+
+@register("op2_kdtree_top_k", TOP.format(
+    valid=VALID.format(vector="list_transform(embedding, lambda x: floor(cast(x as double) * 256))"),
+    score="cast(list_dot_product(q.v, c.v) as bigint)"))
+def op2(spark, sf_dir):
+    return kdtree.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+@register("op8_int8_block_join", TOP.format(
+    valid=VALID.format(vector="cast(embedding as double[])") + " having list_max(list_transform(min(v), lambda x: abs(x))) > 0",
+    score="list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v)))"))
+def op8(spark, sf_dir):
+    return quantized.nearest_by_cosine(table(spark, sf_dir, "embeddings"))
