@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import kdtree, mixing, packing, quantized, sharding, simhash, warc
+from claimtide.llm import kdtree, language, mixing, packing, quantized, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,9 @@ def op2(spark, sf_dir):
     score="list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v)))"))
 def op8(spark, sf_dir):
     return quantized.nearest_by_cosine(table(spark, sf_dir, "embeddings"))
+
+
+@register("op9_language_kernel")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
