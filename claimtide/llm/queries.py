@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import kdtree, language, mixing, packing, quantized, sharding, simhash, warc
+from claimtide.llm import kdtree, language, mixing, packing, quantized, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,3 +94,9 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op5_toxicity_ngrams")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
