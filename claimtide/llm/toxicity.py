@@ -22,8 +22,8 @@ from claimtide.llm.language import mark
 ORDERS = range(4, 8)
 BITS = 20
 # Bounds of what is fitted: labelled rows, and places in the regression.
-FIT_ROWS, FEATURES = 24_000, 3_072
-SMOOTH, RIDGE, ROUNDS = 1.0, 1.0, 50
+FIT_ROWS, FEATURES = 24_000, 2_048
+SMOOTH, RIDGE, ROUNDS = 1.0, 0.1, 100
 # A place must be in this many toxic or other texts to be a feature.
 LEAST_TEXTS = 3
 
