@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import kdtree, language, mixing, packing, quantized, sharding, simhash, toxicity, warc
+from claimtide.llm import kdtree, language, lattice, mixing, packing, quantized, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,3 +100,10 @@ def op9(spark, sf_dir):
 def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@register("op1_subword_lattice")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lattice.score_corpus(docs).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
