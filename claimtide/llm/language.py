@@ -162,15 +162,15 @@ def fit_on(docs: DataFrame, texts: int = FIT_TEXTS, landmarks: int = LANDMARKS)
 
 # Scoring -------------------------------------------------------------------------------------------------------------
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of ``docs`` but the text, with ``lang_pred`` and ``score``.
+def predict(docs: DataFrame, model: Model, name: str = "lang_pred", value: str = "score") -> DataFrame:
+    """The columns of ``docs`` but the text, with ``lang_pred`` and ``score``, or as they are named.
 
     ``score`` is the regression value of the predicted language, cut to 0 and 1.  Texts that are NULL or have no letter
     are ``und`` with score 0, and so is every text if there was nothing to learn from.  Ties go to the language that
     is first in order.  Texts of any length are read whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = replace_columns(docs, lang_pred=F.col("text"), score=F.lit(0.0)).drop("text")
+    kept = replace_columns(docs, **{name: F.col("text"), value: F.lit(0.0)}).drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value

@@ -156,8 +156,9 @@ def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: in
     return planned.select("doc_id", "source", "size", "row_key", "source_size", "target", draws.alias("shards"))
 
 
-def mix_documents(docs: DataFrame, shards: int = 8, **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, repeated as often as taken, with ``shard`` and ``mix_order``.
+def mix_documents(docs: DataFrame, shards: int = 8, names: tuple[str, str] = ("shard", "mix_order"),
+                  **options) -> DataFrame:
+    """The mix itself: rows of ``docs``, repeated as often as taken, with ``shard`` and ``mix_order`` (or as named).
 
     Rows are arranged by shard and, inside a shard, by a hash of document and repeat; a large shard covers several
     partitions.  Input columns with the names of added ones are replaced.  Rows alike in id, source and text share the
@@ -174,5 +175,5 @@ def mix_documents(docs: DataFrame, shards: int = 8, **options) -> DataFrame:
     first = single.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).filter(F.col(nth) == 1)
     mixed = repeat_rows(first.join(by_key, key), rows, when)
     order = F.md5(F.concat_ws("|", F.col(key), F.col(drawn).cast("string"), F.col(when).cast("string")))
-    named = replace_columns(mixed, shard=F.col(drawn), mix_order=order).drop(key, rows, drawn, nth, when)
-    return named.repartitionByRange("shard", "mix_order").sortWithinPartitions("shard", "mix_order")
+    named = replace_columns(mixed, **dict(zip(names, (F.col(drawn), order)))).drop(key, rows, drawn, nth, when)
+    return named.repartitionByRange(*names).sortWithinPartitions(*names)

@@ -174,18 +174,18 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, features: i
     return Model(places, weight * ratio, bias)
 
 
-def score_texts(docs: DataFrame, model: Model) -> DataFrame:
+def score_texts(docs: DataFrame, model: Model, score: str = "score", predicted: str = "predicted") -> DataFrame:
     """The columns of ``docs`` but the text, with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = replace_columns(docs, score=F.col("text")).drop("text")
+    kept = replace_columns(docs, **{score: F.col("text")}).drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shared.value.score(t.as_py()) for t in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names=batch.schema.names)
 
-    scored = kept.mapInArrow(run, kept.drop("score").schema.add("score", "double"))
-    return replace_columns(scored, predicted=F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    scored = kept.mapInArrow(run, kept.drop(score).schema.add(score, "double"))
+    return replace_columns(scored, **{predicted: F.when(F.col(score) >= 0.5, 1).otherwise(0)})
 
 
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0, **options) -> DataFrame:
