@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimtide.llm.common import staged
@@ -130,5 +130,6 @@ def exact_top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int =
         return first
     floors = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
     others = sharded.filter("shard > 0").withColumn("shard", F.col("shard") - 1)
-    rest = top_of_grid(others, asked.join(floors, "vec_id", "left"), k, search, "long", shards - 1, blocks)
+    bounded = staged(asked.join(floors, "vec_id", "left"))
+    rest = top_of_grid(others, bounded, k, search, "long", shards - 1, blocks)
     return ranked(first.drop("rank").unionByName(rest.drop("rank")), k)

@@ -54,18 +54,20 @@ def top_of_grid(vectors: DataFrame, queries: DataFrame, k: int,
     least have, or NULL.  ``search(ids, matrix, query_ids, query_matrix, floors, k)`` returns row numbers of queries,
     ids and scores.  Only vectors of a query's own dimension are compared with it.
     """
-    wide = vectors.select(F.size("vec").alias("dim"), "shard", "vec_id", "vec").withColumn(
+    wide = vectors.select(F.size("vec").alias("dim"), "shard", F.col("vec_id").alias("id"), F.col("vec").alias("point")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = queries.select(F.size("vec").alias("dim"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
-                           "vec_id", "vec", "floor").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")
+    asked = queries.select(F.size("vec").alias("dim"), block.alias("block"), F.col("vec_id").alias("query_id"),
+                           F.col("vec").alias("query"), "floor").withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         dim = key[0].as_py()
-        ids, query_ids = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
+        ids, query_ids = left["id"].to_numpy(), right["query_id"].to_numpy()
         floors = right["floor"].to_numpy().astype(np.float64)
         found = ([], [], [])
         if len(ids) and len(query_ids):
-            found = search(ids, matrix(left["vec"], dim), query_ids, matrix(right["vec"], dim), floors, k)
+            found = search(ids, matrix(left["point"], dim), query_ids, matrix(right["query"], dim), floors, k)
         kind = pa.int64() if score == "long" else pa.float64()
         return pa.table({"query_id": pa.array(query_ids[np.asarray(found[0], dtype=np.int64)], pa.int64()),
                          "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], kind)})
