@@ -76,8 +76,8 @@ def search(ids, points, query_ids, queries, floors, k):
                 start, end = tree.range[node]
                 score = points[start:end] @ queries[at]
                 keep = np.flatnonzero(score >= best.bar())
-                if len(keep) > k:  # more than k can't matter, but ties at the kth score go by id
-                    bar = -np.partition(-score[keep], k - 1)[k - 1]
+                if len(keep) > k + 1:  # the query itself and k others; ties at the last score go by id
+                    bar = -np.partition(-score[keep], k)[k]
                     keep = keep[score[keep] >= bar]
                 for j in keep.tolist():
                     item = (float(score[j]), -int(ids[start + j]))
@@ -117,8 +117,7 @@ def exact_top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int =
     Vectors are compared with those of their own dimension.  Ties go to the smaller id; a query with fewer than k
     others has them all, one without any has no row.  Scores must fit a long.
     """
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    vectors = staged(valid_vectors(embeddings, scaled))
+    vectors = staged(valid_vectors(embeddings, "embedding", lambda x: F.floor(x * scale).cast("double")))
     asked = vectors.filter(F.col("vec_id") % every == 0)
     parallelism = embeddings.sparkSession.sparkContext.defaultParallelism
     shards = shards_for(vectors.count(), parallelism, shard_rows)

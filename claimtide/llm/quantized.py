@@ -93,7 +93,7 @@ def nearest_by_cosine(embeddings: DataFrame, k: int = 5, every: int = 50, shard_
     are compared with those of their own dimension.  Ties go to the smaller id; a query with fewer than k others has
     them all, one without any has no row.
     """
-    vectors = staged(valid_vectors(embeddings, F.col("embedding"), keep_zero=False))
+    vectors = staged(valid_vectors(embeddings, "embedding", keep_zero=False))
     asked = vectors.filter(F.col("vec_id") % every == 0).withColumn("floor", F.lit(None).cast("double"))
     parallelism = embeddings.sparkSession.sparkContext.defaultParallelism
     shards = shards_for(vectors.count(), parallelism, shard_rows)

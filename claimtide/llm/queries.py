@@ -67,8 +67,8 @@ def op10(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-VALID = """select vec_id, min(v) as v from (select vec_id, {vector} as v from embeddings) where vec_id is not null and len(v) > 0
-  and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0 group by vec_id"""
+VALID = """select vec_id, min({vector}) as v from embeddings where vec_id is not null and len(embedding) > 0
+  and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 group by vec_id"""
 TOP = """with e as ({valid})
 select query_id, cast(rank as int) as rank, vec_id, score from (
   select q.vec_id as query_id, c.vec_id, {score} as score,
@@ -84,7 +84,7 @@ def op2(spark, sf_dir):
 
 
 @register("op8_int8_block_join", TOP.format(
-    valid=VALID.format(vector="cast(embedding as double[])") + " having list_max(list_transform(min(v), lambda x: abs(x))) > 0",
+    valid=VALID.format(vector="cast(embedding as double[])") + " having list_max(list_transform(min(cast(embedding as double[])), lambda x: abs(x))) > 0",
     score="list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v)))"))
 def op8(spark, sf_dir):
     return quantized.nearest_by_cosine(table(spark, sf_dir, "embeddings"))

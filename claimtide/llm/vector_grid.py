@@ -22,14 +22,17 @@ SHARD_ROWS, BLOCK_ROWS = 65_536, 8_192
 LEAST_ROWS = 1_024
 
 
-def valid_vectors(df: DataFrame, vector: Column, keep_zero: bool = True) -> DataFrame:
+def valid_vectors(df: DataFrame, vector: str, change: Callable[[Column], Column] | None = None,
+                  keep_zero: bool = True) -> DataFrame:
     """``vec_id, vec`` (doubles): one row per id, without vectors that are NULL or hold NULL or non-finite components.
 
-    Of rows that share an id the least vector stands for it.  Empty vectors, and zero ones unless kept, take no part.
+    ``change`` is then applied to every component.  Of rows that share an id the least vector stands for it.  Empty
+    vectors, and zero ones unless kept, take no part.
     """
-    doubles = vector.cast("array<double>")
+    doubles = F.col(vector).cast("array<double>")
     finite = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = df.select("vec_id", doubles.alias("vec")).filter(F.col("vec_id").isNotNull() & (F.size("vec") > 0) & finite)
+    rows = df.filter(F.col("vec_id").isNotNull() & (F.size(vector) > 0) & finite).select(
+        "vec_id", (doubles if change is None else F.transform(doubles, change)).alias("vec"))
     if not keep_zero:
         rows = rows.filter(F.exists("vec", lambda x: x != 0))
     return rows.groupBy("vec_id").agg(F.min("vec").alias("vec"))
