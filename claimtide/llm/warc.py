@@ -279,8 +279,12 @@ def mark_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def sample_dictionary(pages: DataFrame, sample: int = SAMPLE_PAGES, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary of the pages that come first in hash order: ``sample`` of them, ``SAMPLE_BYTES`` of each at most."""
+    at = F.xxhash64("page_id", "url")
+    # Hashes alone are ranked; only the pages chosen by them give their text.
+    last = pages.select(at.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     start = F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES)
-    first = pages.select(F.xxhash64("page_id", "url").alias("h"), start.alias("start")).orderBy("h", "start").limit(sample)
+    near = pages.select(at.alias("h"), start.alias("start")).filter(F.col("h") <= F.lit(last))
+    first = near.distinct().orderBy("h", "start").limit(sample)
     return train_dictionary([r.start.encode("utf-8", "surrogatepass") for r in first.collect()], size)
 
 
