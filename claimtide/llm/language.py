@@ -92,9 +92,10 @@ class Model:
     def __init__(self, languages: list[str], places: np.ndarray, weights: np.ndarray, bias: np.ndarray):
         self.languages, self.places, self.weights, self.bias = languages, places, weights, bias
 
-    def values(self, rows: list[np.ndarray]) -> np.ndarray:
-        """Regression values of texts given by their places: one row a text, one column a language."""
-        out = np.zeros((len(rows), len(self.languages)))
+    def values(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Regression values of texts given by their places, one row a text, one column a language, and the shares of
+        their places that any landmark has."""
+        out, share = np.zeros((len(rows), len(self.languages))), np.zeros(len(rows))
         step = max(1, BATCH_CELLS // max(1, len(self.places)))
         for first in range(0, len(rows), step):
             part = rows[first:first + step]
@@ -107,7 +108,8 @@ class Model:
                     dense[i] = seen[self.places]
                     norm[i] = np.sqrt(len(present))
             out[first:first + step] = (dense @ self.weights) / norm[:, None] + self.bias
-        return out
+            share[first:first + step] = dense.sum(axis=1) / norm ** 2
+        return out, share
 
 
 def fit(texts: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
@@ -165,7 +167,8 @@ def fit_on(docs: DataFrame, texts: int = FIT_TEXTS, landmarks: int = LANDMARKS)
 def predict(docs: DataFrame, model: Model, name: str = "lang_pred", value: str = "score") -> DataFrame:
     """The columns of ``docs`` but the text, with ``lang_pred`` and ``score``, or as they are named.
 
-    ``score`` is the regression value of the predicted language, cut to 0 and 1.  Texts that are NULL or have no letter
+    ``score`` is the regression value of the predicted language, cut to 0 and 1, times the share of the text's n-grams
+    that any landmark has: a text in an unknown script scores low.  Texts that are NULL or have no letter
     are ``und`` with score 0, and so is every text if there was nothing to learn from.  Ties go to the language that
     is first in order.  Texts of any length are read whole.
     """
@@ -180,11 +183,11 @@ def predict(docs: DataFrame, model: Model, name: str = "lang_pred", value: str =
             for first in range(0, len(texts), 256):
                 part = [t.as_py() for t in texts.slice(first, 256)]
                 asked = [i for i, t in enumerate(part) if known.languages and has_letter(t)]
-                found = known.values([presence(part[i]) for i in asked])
+                found, share = known.values([presence(part[i]) for i in asked])
                 names, values = [UNKNOWN] * len(part), [0.0] * len(part)
-                for i, row in zip(asked, found):
+                for i, row, seen in zip(asked, found, share):
                     at = int(np.argmax(row))
-                    names[i], values[i] = known.languages[at], float(min(1.0, max(0.0, row[at])))
+                    names[i], values[i] = known.languages[at], float(min(1.0, max(0.0, row[at])) * seen)
                 languages += names
                 scores += values
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(languages, pa.string()), pa.array(scores)],
