@@ -14,7 +14,7 @@ from claimtide.llm import language, mixing, packing, simhash, toxicity
 from claimtide.llm.common import fold, free_name, staged
 
 # A text whose best language has less than this value looks like none of the learned languages.
-LEAST_LANGUAGE = 0.3
+LEAST_LANGUAGE = 0.2
 
 # The rows can't be stated in SQL: three stages apply models that are fitted here, and one draws blocks at random.
 ORACLE_SQL = None
