@@ -41,14 +41,15 @@ def txn_detail(t):
 
 # period report -------------------------------------------------------------
 
-PERIOD_AMOUNTS = ["charge", "payor_paid", "patient_paid", *GROUPS, "total_revenue", "accrual_revenue", "cash_revenue",
+PERIOD_AMOUNTS = ["charge", "payor_paid", "patient_paid", *GROUPS, "grp_other", "total_revenue", "accrual_revenue", "cash_revenue",
                   "total_usd_revenue", "accrual_usd_revenue", "cash_usd_revenue", "outstanding"]
 KEYS = "oli_id, ticket_no, acct_period"
 PERIOD_PARTS = {
     "p_claim": f"select {KEYS}, sum(txn_amount) as charge from bill where oli_id is not null group by all",
     "p_pay": f"""select {KEYS}, sum(txn_amount) filter (where txn_type = 'RI') as payor_paid,
   sum(txn_amount) filter (where txn_type = 'RP') as patient_paid,
-  {', '.join(f"sum(txn_amount) filter (where adj_group = '{g}') as {n}" for n, g in GROUPS.items())}
+  {', '.join(f"sum(txn_amount) filter (where adj_group = '{g}') as {n}" for n, g in GROUPS.items())},
+  sum(txn_amount) filter (where adj_group not in ({', '.join(f"'{g}'" for g in GROUPS.values())})) as grp_other
 from pay_signed where oli_id is not null and (txn_type in ('RI', 'RP') or adj_group is not null) group by all""",
     "p_rev": """select oli_id, ticket_no, period as acct_period, sum(total) as total_revenue, sum(accrual) as accrual_revenue,
   sum(cash) as cash_revenue, sum(total_usd) as total_usd_revenue, sum(accrual_usd) as accrual_usd_revenue,
@@ -61,7 +62,7 @@ from bill where oli_id is not null group by all having sum(ticket_balance) <> 0"
 from p_claim full join p_pay using ({KEYS}) full join p_rev using ({KEYS}) full join p_open using ({KEYS})""",
 }
 PERIOD_TOTALS = """payor_paid + patient_paid + grp_refund_refund_reversal as payment, charge + grp_charged_in_error as billed,
-  grp_all_other_adjustment + grp_house_adjustment + grp_insurance_adjustment + grp_revenue_impact_adjustment as adjustment,
+  grp_all_other_adjustment + grp_house_adjustment + grp_insurance_adjustment + grp_revenue_impact_adjustment + grp_other as adjustment,
   case when charge + grp_charged_in_error > 0 then 1 else 0 end as new_claim"""
 
 
@@ -98,7 +99,7 @@ PERIOD_REPORT_COLUMNS = ["oli_id", "ticket_no", "acct_period", "charge", "paymen
 select a.oli_id, a.ticket_no, a.acct_period, {doubles('charge', source='a')},
   cast(payor_paid + patient_paid + grp_refund_refund_reversal as double) as payment,
   cast(charge + grp_charged_in_error as double) as billed,
-  cast(grp_all_other_adjustment + grp_house_adjustment + grp_insurance_adjustment + grp_revenue_impact_adjustment as double) as adjustment,
+  cast(grp_all_other_adjustment + grp_house_adjustment + grp_insurance_adjustment + grp_revenue_impact_adjustment + grp_other as double) as adjustment,
   {doubles('outstanding', source='a')}, case when charge + grp_charged_in_error > 0 then 1 else 0 end as new_claim,
   k.case_no, k.claim_entry_dt, coalesce(k.currency, r.currency) as currency,
   case when coalesce(k.test, r.test, o.test) = 'Unknown' then o.test else coalesce(k.test, r.test, o.test) end as test,
@@ -116,10 +117,10 @@ def period_report(t):
 
 
 @register("q_period_criteria", "bill payment adjustment_code revenue", f"""
-select {KEYS}, {doubles('payor_paid', 'patient_paid', *GROUPS)} from p_all""", **PAY, **PERIOD_PARTS)
+select {KEYS}, {doubles('payor_paid', 'patient_paid', *GROUPS, 'grp_other')} from p_all""", **PAY, **PERIOD_PARTS)
 def period_criteria(t):
     out = period.accounting_period_amounts(*period_inputs(t), flip_after=True)
-    return out.select("oli_id", "ticket_no", "acct_period", "payor_paid", "patient_paid", *GROUPS)
+    return out.select("oli_id", "ticket_no", "acct_period", "payor_paid", "patient_paid", *GROUPS, "grp_other")
 
 
 # journals ------------------------------------------------------------------

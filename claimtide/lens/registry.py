@@ -146,7 +146,8 @@ select tier1_payor_name || ' (' || tier1_payor_id || ')' as tier1_payor, tier1_p
   tier2_payor_name || ' (' || tier2_payor_id || ')' as tier2_payor, tier2_payor_name, tier2_payor_id,
   tier4_payor_name || ' (' || p.tier4_payor_id || ')' as tier4_payor, tier4_payor_name, p.tier4_payor_id,
   coalesce(financial_category, vendor_fc) as financial_category, line_of_benefit
-from payor p left join ins_codes i on p.tier4_payor_id = i.tier4_payor_id"""
+from payor p left join (select tier4_payor_id, max(vendor_fc) as vendor_fc from ins_codes group by tier4_payor_id) i
+  on p.tier4_payor_id = i.tier4_payor_id"""
 REVENUE_AMOUNTS = ["total_revenue", "accrual_revenue", "cash_revenue", "total_usd_revenue", "accrual_usd_revenue",
                    "cash_usd_revenue"]
 REVENUE_ROLLUP = """

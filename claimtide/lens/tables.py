@@ -52,7 +52,8 @@ select {OLI} as oli_id, l_orderkey * 10 + l_linenumber as ticket_no, {TEST_CODE}
   case when l_returnflag = 'N' then 'AC' when l_returnflag = 'R' then 'AD'
     when l_linestatus = 'F' then 'RI' else 'RP' end as txn_type,
   case when {ADJ} then case l_linenumber when 1 then 'C6' when 2 then 'D4' when 3 then 'PRAC' when 4 then 'NAC'
-      when 5 then 'CF' when 6 then 'BAO' else 'CCD' end
+      when 5 then 'CF' when 6 then case l_suppkey % 10 when 3 then 'NEWC' when 4 then 'NOGR' else 'BAO' end
+      else 'CCD' end
     when l_partkey % 4 = 0 then cast(l_suppkey + 1 as varchar(20))
     when l_partkey % 4 <> 1 then cast(l_suppkey - l_suppkey % 2 as varchar(20)) end as vendor_adj_code,
   case when {ADJ} then 'GH0' || cast(l_linenumber as varchar(20)) end as house_adj_code,
@@ -70,7 +71,8 @@ select * from (values ('C6', 'Charge error', 'Charged in Error', 'Charged in Err
   ('CF', 'Refund reversal', 'Refund', 'Refund & Refund Reversal'),
   ('PRAC', 'Assistance', 'Financial Assistance', 'House Adjustment'),
   ('NAC', 'Appeal abandoned', 'Abandoned', 'Revenue Impact Adjustment'),
-  ('BAO', 'Contract write-off', 'Contractual', 'Insurance Adjustment')
+  ('BAO', 'Contract write-off', 'Contractual', 'Insurance Adjustment'),
+  ('NEWC', 'New adjustment', 'New', 'New Group'), ('NOGR', 'Adjustment without a group', 'None', null)
 ) as t(vendor_adj_code, adj_desc, category_desc, adj_group)""",
     "revenue": f"""
 select l_orderkey as oli_id, l_orderkey * 10 + l_linenumber as ticket_no, {MONTH} as period,
@@ -92,9 +94,9 @@ select l_orderkey as oli_id, l_orderkey * 10 + l_linenumber as ticket_no, {MONTH
   'Plan ' || cast(l_suppkey as varchar(20)) || ' (' || cast(l_suppkey as varchar(20)) || ')' as tier4_payor
 from {{lineitem}}""",
     "claim_case": f"""
-select l_orderkey as accession, l_partkey as case_no, l_orderkey * 10 + l_linenumber as ticket_no,
-  l_shipdate as added_ts
-from {{lineitem}} where l_linenumber <= 5""",
+select case when l_linenumber <= 5 then l_orderkey end as accession, l_partkey as case_no,
+  l_orderkey * 10 + l_linenumber as ticket_no, l_shipdate as added_ts
+from {{lineitem}}""",
     "oli": """
 select o_orderkey as oli_id, o_custkey as order_id,
   case o_orderkey % 5 when 0 then 'IBC' when 1 then 'Prostate' when 2 then 'DCIS' when 3 then 'Colon'
@@ -131,11 +133,11 @@ select o_orderkey as oli_id, o_custkey as order_id,
   'Plan ' || cast(o_custkey % 100 as varchar(20)) as tier4_payor_name, cast(o_custkey % 100 as varchar(20)) as tier4_payor_id
 from {orders} join {customer} on o_custkey = c_custkey""",
     "price": """
-select case p_partkey % 5 when 0 then 'IBC' when 1 then 'Prostate' when 2 then 'DCIS' when 3 then 'Colon'
+select case p_partkey % 5 when 0 then 'IBC' when 1 then 'Prostate' when 2 then 'DCIS' when 3 then 'Colon (old)'
     else 'Unknown' end as test,
   case when p_size % 2 = 0 then 'EUR' else 'USD' end as billed_currency,
   cast(max(p_retailprice) as decimal(12,2)) as std_list_price
-from {part} where p_partkey % 5 <> 3 group by p_partkey % 5, p_size % 2""",
+from {part} group by p_partkey % 5, p_size % 2""",
     "payor": """
 select cast(s_suppkey as varchar(20)) as tier4_payor_id, s_name as tier4_payor_name, n_nationkey as tier2_payor_id,
   n_name as tier2_payor_name, r_regionkey as tier1_payor_id, r_name as tier1_payor_name,
@@ -143,16 +145,19 @@ select cast(s_suppkey as varchar(20)) as tier4_payor_id, s_name as tier4_payor_n
   case when s_acctbal > 0 then 'Medical' else 'Pharmacy' end as line_of_benefit
 from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
     "ins_codes": """
-select cast(s_suppkey as varchar(20)) as tier4_payor_id, 'V' || cast(s_suppkey % 3 as varchar(20)) as vendor_fc
-from {supplier} where s_suppkey % 5 <> 0""",
+select case when s_suppkey % 5 <> 0 then cast(s_suppkey as varchar(20)) else 'X' || cast(s_suppkey as varchar(20)) end
+    as tier4_payor_id, 'V' || cast(s_suppkey % 3 as varchar(20)) as vendor_fc
+from {supplier}
+union all
+select cast(s_suppkey - s_suppkey % 12 as varchar(20)), 'V' || cast(s_suppkey % 5 as varchar(20)) from {supplier}""",
     "appeal_case": """
-select distinct user_id * 10 + event_id % 3 as case_no, user_id * 10 + event_id % 3 + 1 as ticket_no,
-  user_id as accession
-from {events} where user_id % 10 <> 0""",
+select distinct case when user_id % 10 <> 0 then user_id * 10 + event_id % 3 else -1 - user_id * 10 - event_id % 3 end as case_no,
+  user_id * 10 + event_id % 3 + 1 as ticket_no, user_id as accession
+from {events}""",
     "appeal": """
 select event_id, user_id * 10 + event_id % 3 as appeal_case_no,
-  case event_type when 'view' then 'A1' when 'click' then 'A2' when 'signup' then 'A3'
-    when 'error' then 'ER' else 'L1' end as level_code,
+  case when event_id % 19 = 0 then null when event_id % 23 = 0 then 'B7' else case event_type when 'view' then 'A1'
+    when 'click' then 'A2' when 'signup' then 'A3' when 'error' then 'ER' else 'L1' end end as level_code,
   cast(event_id % 4 as varchar(20)) as appeal_status, 'Status ' || cast(event_id % 4 as varchar(20)) as appeal_status_desc,
   cast(ts as date) as denial_dt, case when event_id % 11 <> 0 then cast(ts as date) end as entry_dt,
   case when event_id % 4 <> 0 then cast(cast(ts as date) + 7 as date) end as report_dt,
@@ -162,14 +167,14 @@ select event_id, user_id * 10 + event_id % 3 as appeal_case_no,
   case when event_id % 17 = 0 then 'uhclnp' else 'STD' end as campaign_code
 from {events}""",
     "complete_appeal": """
-select user_id * 10 + event_id % 3 as appeal_case_no, user_id * 10 + event_id % 3 + 1 as appeal_ticket_no,
+select case when user_id % 3 <> 0 and event_type = 'purchase' then user_id * 10 + event_id % 3
+    else -1 - user_id * 10 - event_id % 3 end as appeal_case_no, user_id * 10 + event_id % 3 + 1 as appeal_ticket_no,
   user_id as accession, case when min(event_id) % 2 = 0 then '1' else '0' end as appeal_success,
   case when min(event_id) % 5 <> 0 then cast(min(event_id) % 7 as varchar(20)) end as appeal_den_reason,
   case when min(event_id) % 5 <> 0 then 'Final ' || cast(min(event_id) % 7 as varchar(20)) end as appeal_den_reason_desc,
   'V' || cast(min(event_id) % 8 as varchar(20)) as appeal_ins_code,
   cast(-sum(cast(value as decimal(12,2))) as decimal(18,2)) as appeal_amt_applied
-from {events} where event_type = 'purchase' and user_id % 3 <> 0
-group by user_id, event_id % 3""",
+from {events} group by user_id, event_id % 3, event_type""",
     "worklist": """
 select event_id, user_id as ticket_no, case when event_type = 'error' then 'HS7X' else 'ZZ1' end as worklist_code,
   case when event_id % 5 = 0 then '  ' when event_id % 7 = 0 then null
@@ -187,12 +192,13 @@ select 'P' || cast(p_partkey as varchar(20)) as name, p_partkey as tier4_payor_i
   case when p_size % 10 = 0 or p_size % 7 = 0 then null else p_type || ';PROMO' end as type_field
 from {part}""",
     "validation": """
-select 'V' || cast(p_partkey as varchar(20)) as name, p_partkey as tier4_payor_id,
+select 'V' || cast(p_partkey as varchar(20)) as name,
+  case when p_partkey % 5 <> 0 then p_partkey else -p_partkey - 1 end as tier4_payor_id,
   case when p_partkey % 3 = 0 then 'Prostate' else 'IBC' end as test,
   case when p_size % 10 = 0 then '' when p_size % 4 = 0 then 'Pre-DOS;SOMN' when p_size % 4 = 1 then 'Post-DOS'
     when p_size % 4 = 2 then 'Lab initiates PA;Online or Telephonic;SOMN' else 'No CVP (no PA)' end as prior_authorization,
   p_size % 2 as pa_required
-from {part} where p_partkey % 5 <> 0""",
+from {part}""",
     "patient": """
 select l_orderkey as oli_id, l_linenumber as line_no, l_suppkey as tier4_payor_id,
   case when l_partkey % 3 = 0 then 'Prostate' else 'IBC' end as test,
@@ -229,22 +235,24 @@ from {lineitem}""",
 select * from (values ('set_region', 1), ('set_region', 3), ('set_nation', 2), ('set_nation', 5),
   ('set_nation', 7), ('set_west', 4), ('set_west', 5)) as t(set_name, payor_id)""",
     "prior_auth": """
-select p_partkey as prior_auth_case_no, case when p_size % 4 = 0 then 'Denied' else 'Approved' end as prior_auth_result,
+select case when p_partkey % 3 <> 0 then p_partkey else -p_partkey - 1 end as prior_auth_case_no, case when p_size % 4 = 0 then 'Denied' else 'Approved' end as prior_auth_result,
   case when p_size % 4 = 0 then 'Closed' else 'Open' end as prior_auth_category,
   'A' || cast(p_partkey as varchar(20)) as prior_auth_number,
   case when p_size % 4 = 0 then 'Failure' when p_size % 4 = 1 then 'PA Denied' else 'Non Failure' end as pre_claim_failure
-from {part} where p_partkey % 3 <> 0""",
+from {part}""",
     "specimen": """
-select o_orderkey as oli_id, case when o_custkey % 2 = 0 then 'Biopsy' else 'Non-Biopsy' end as procedure_type,
+select case when o_orderkey % 2 = 0 then o_orderkey else -o_orderkey - 1 end as oli_id,
+  case when o_custkey % 2 = 0 then 'Biopsy' else 'Non-Biopsy' end as procedure_type,
   o_custkey % 1200 as specimen_age, case when o_orderkey % 4 = 0 then 'Yes' else 'No' end as adjuvant_chemo_candidate
-from {orders} where o_orderkey % 2 = 0""",
+from {orders}""",
     "somn": """
-select o_orderkey as oli_id, case when o_custkey % 2 = 0 then 'Signed' else 'Sent' end as somn_status
-from {orders} where o_orderkey % 3 = 1""",
+select case when o_orderkey % 3 = 1 then o_orderkey else -o_orderkey - 1 end as oli_id,
+  case when o_custkey % 2 = 0 then 'Signed' else 'Sent' end as somn_status
+from {orders}""",
     "extract_case": """
-select user_id as order_id, event_id % 10 as owner_id, event_id as case_id,
+select case when user_id % 2 = 0 then user_id else -user_id - 1 end as order_id, event_id % 10 as owner_id, event_id as case_id,
   case event_type when 'error' then 'Missing Data' when 'purchase' then 'Pre-Billing' else 'Other' end as case_type
-from {events} where user_id % 2 = 0""",
+from {events}""",
 }
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")

@@ -74,17 +74,17 @@ def levels_wide(journal: DataFrame, levels: Sequence[str] = rules.APPEAL_LEVELS,
                 order: Sequence = DEFAULT_ORDER) -> DataFrame:
     """One row per case and ticket with the fields of every level side by side.
 
-    The level list is fixed, so no pass over the data looks for it.  The pivot
-    reduces rows to (case, ticket, level) first and only then spreads them.
+    The level list is fixed, so no pass over the data looks for it.  Rows of other levels, and of none, have no fields
+    here but count in ``case_level_cnt``.
     """
     rows = journal.filter(F.col("appeal_case_no").isNotNull() & F.col("appeal_ticket_no").isNotNull())
-    wide = (rows.groupBy(*CASE_KEYS).pivot("level_code", list(levels))
-            .agg(*[first_value_by(src, order).alias(name) for name, src in fields.items()],
-                 F.count(F.lit(1)).alias("rows")))
-    total = sum((F.coalesce(F.col(f"{lv}_rows"), F.lit(0)) for lv in levels), F.lit(0).cast("bigint"))
-    return wide.select(
-        *CASE_KEYS, total.alias("case_level_cnt"),
-        *[F.col(f"{lv}_{name}").alias(f"{lv.lower()}_{name}") for name in fields for lv in levels])
+    # Values of a level first meet in one struct per (case, ticket, level), which keeps the aggregate narrow.
+    firsts = F.struct(*[first_value_by(src, order).alias(name) for name, src in fields.items()])
+    by_level = rows.groupBy(*CASE_KEYS, "level_code").agg(firsts.alias("first"), F.count(F.lit(1)).alias("rows"))
+    at = {lv: F.max(F.when(F.col("level_code") == lv, F.col("first"))).alias(lv) for lv in levels}
+    wide = by_level.groupBy(*CASE_KEYS).agg(F.sum("rows").alias("case_level_cnt"), *at.values())
+    return wide.select(*CASE_KEYS, "case_level_cnt", *[
+        F.col(f"{lv}.{name}").alias(f"{lv.lower()}_{name}") for name in fields for lv in levels])
 
 
 def last_denial(journal: DataFrame, order: Sequence = DENIAL_ORDER) -> DataFrame:

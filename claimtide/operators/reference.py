@@ -93,12 +93,14 @@ def claim_flags(oli: DataFrame) -> DataFrame:
 def payor_hierarchy(payors: DataFrame, ins_codes: DataFrame | None = None) -> DataFrame:
     """Labels for the three tiers; financial category from the vendor when missing.
 
-    ``ins_codes``: tier4_payor_id, vendor_fc.
+    ``ins_codes``: tier4_payor_id, vendor_fc; of several rows for a plan the greatest code holds.
     """
     out = payors.withColumns({
         f"tier{t}_payor": label(f"tier{t}_payor_name", f"tier{t}_payor_id") for t in (1, 2, 4)})
     if ins_codes is not None:
-        codes = ins_codes.filter(F.col("tier4_payor_id").isNotNull()).select("tier4_payor_id", "vendor_fc")
+        # One row per plan: the join adds no rows, and the hierarchy is as small as its payors.
+        codes = (ins_codes.filter(F.col("tier4_payor_id").isNotNull()).groupBy("tier4_payor_id")
+                 .agg(F.max("vendor_fc").alias("vendor_fc")))
         out = (out.join(codes, "tier4_payor_id", "left")
                .withColumn("financial_category", F.coalesce("financial_category", "vendor_fc"))
                .drop("vendor_fc"))

@@ -284,22 +284,52 @@ def coverage(data: DataFrame, t: ClaimTables, plan: CoveragePlan) -> DataFrame:
 
 # writing -------------------------------------------------------------------
 
+def write_reports(reports: Mapping[str, DataFrame], folder: str, delimited: bool = False) -> None:
+    """Each report as a table, or as delimited text, under its name."""
+    write = write_delimited if delimited else write_table
+    for name, df in reports.items():
+        write(df, f"{folder}/{name}")
+
+
 def write_claim_reports(t: ClaimTables, folder: str, delimited: bool = False,
                         tests: Sequence[str] = ("Prostate", "IBC"), staging: str | None = None) -> DataFrame:
     """Compute the order-line report once and write every table derived from it.
 
-    The report is staged as a table in the shared folder: a lost executor costs
-    a re-read, and each extract reads only its columns.
+    The extracts read their columns from the written report; where it is written as text, from a staged table.
     """
-    claim = stage(claim_to_revenue(t), "claim_to_revenue", staging)
-    outputs = {"claim_to_revenue": claim, "oli_transactions": oli_transactions(claim, t),
-               "managed_care": managed_care(claim, t), "payment_risk": payment_risk(claim),
-               "domestic_billing": domestic_billing(claim)}
+    report, path = claim_to_revenue(t), f"{folder}/claim_to_revenue"
+    if delimited:
+        claim = stage(report, "claim_to_revenue", staging)
+        write_delimited(claim, path)
+    else:
+        write_table(report, path)
+        claim = report.sparkSession.read.parquet(path)
+    outputs = {"oli_transactions": oli_transactions(claim, t), "managed_care": managed_care(claim, t),
+               "payment_risk": payment_risk(claim), "domestic_billing": domestic_billing(claim)}
     for test in tests:
         outputs[f"appeal_extract_{test.lower()}"] = appeal_extract(claim, t, test)
         outputs[f"appeals_detail_{test.lower()}"] = appeals_detail(claim, test)
-    write = write_delimited if delimited else write_table
-    for name, df in outputs.items():
-        write(df, f"{folder}/{name}")
+    write_reports(outputs, folder, delimited)
     return claim
 
+
+def write_period_reports(t: ClaimTables, folder: str, oli_columns: Sequence[str] = (), delimited: bool = False) -> None:
+    """Payor monthly report with zeros shown as blanks, its criteria layout, and the three ticket journals."""
+    monthly = accounting_period(t, oli_columns)
+    shown = period.blank_zeros(monthly, [c for c in C.PERIOD_DISPLAY if c in monthly.columns])
+    write_reports({
+        "accounting_period": shown, "accounting_period_criteria": accounting_period(t, oli_columns, flip_after=True),
+        "ticket_journal_v1": ticket_journal(t, 1, oli_columns), "ticket_journal_v2": ticket_journal(t, 2, oli_columns),
+        "ticket_journal_criteria": ticket_journal_criteria(t)}, folder, delimited)
+
+
+def write_named(reports: NamedTuple, folder: str, prefix: str = "", delimited: bool = False) -> None:
+    """Every table of a report bundle, error tables included: appeals, revenue lines, tickets, payments."""
+    write_reports({f"{prefix}{name}": df for name, df in reports._asdict().items()}, folder, delimited)
+
+
+def write_policy_reports(data: DataFrame, t: ClaimTables, plan: CoveragePlan, folder: str, delimited: bool = False) -> None:
+    """Policy gap and coverage of one test."""
+    test = plan.test.lower()
+    write_reports({f"policy_gap_{test}": policy_gap(data, t), f"coverage_{test}": coverage(data, t, plan)}, folder,
+                  delimited)

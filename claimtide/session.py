@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,18 +36,12 @@ def build_session(app_name: str = "claimtide", master: str | None = None,
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """A folder that all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset.
 
-    A machine-local folder is used only in local mode with the setting absent;
-    on a cluster the folder must be shared, because an executor that is lost
-    takes its local files with it.
+    Never a machine-local one: an executor that is lost takes its local files with it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="claimtide-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 from claimtide.sources.dictionary import apply_dictionary  # noqa: F401
 from claimtide.sources.readers import (  # noqa: F401
-    load_snapshot, order_case_extract, read_delimited, read_jdbc, read_reference, read_since)
+    jdbc_options, load_snapshot, order_case_extract, read_delimited, read_jdbc, read_reference, read_since,
+    split_delimited)
 from claimtide.sources.writers import refresh_log, write_delimited, write_table  # noqa: F401

@@ -6,23 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from claimtide.operators.quality import Split
 
 BOM = "﻿"
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str | None = None,
-              bounds: tuple | None = None, partitions: int = 1, **options: str) -> DataFrame:
-    """A database query as a DataFrame, read in ranges of ``partition_column``."""
-    reader = spark.read.format("jdbc").option("url", url).options(**options)
-    if partition_column is None:
-        return reader.option("query", query).load()
+def jdbc_options(url: str, query: str, partition_column: str | None = None, bounds: tuple | None = None,
+                 partitions: int = 0, single_task: bool = False, fetch_size: int = 10_000, **options: str) -> dict[str, str]:
+    """Options of a database read: ranges of ``partition_column``, or one task where that is asked for."""
+    found = {"url": url, "fetchsize": str(fetch_size), **options}
+    if single_task:
+        return found | {"query": query}
+    if partition_column is None or bounds is None or partitions < 1:
+        raise ValueError("name a partition column with bounds and a number of partitions, or ask for a single task")
     # Range reads need a table expression in place of a query.
-    low, high = bounds
-    return (reader.option("dbtable", f"({query}) q")
-            .option("partitionColumn", partition_column)
-            .option("lowerBound", str(low)).option("upperBound", str(high))
-            .option("numPartitions", str(partitions)).load())
+    return found | {"dbtable": f"({query}) q", "partitionColumn": partition_column, "lowerBound": str(bounds[0]),
+                    "upperBound": str(bounds[1]), "numPartitions": str(partitions)}
+
+
+def read_jdbc(spark: SparkSession, url: str, query: str, **options) -> DataFrame:
+    """A database query as a DataFrame; see ``jdbc_options``."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, query, **options)).load()
 
 
 def load_snapshot(spark: SparkSession, path: str, pull: Callable[[], DataFrame] | None = None,
@@ -40,25 +46,41 @@ def load_snapshot(spark: SparkSession, path: str, pull: Callable[[], DataFrame]
     return reader.parquet(path)
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = "|",
-                   encoding: str = "ISO-8859-1", quoted: bool = True) -> DataFrame:
-    """Delimited text with a header; broken lines drop out.
+def split_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = "|",
+                    encoding: str = "ISO-8859-1", quoted: bool = True) -> Split:
+    """Delimited text with a header: its rows, and the lines that have too many fields.
 
-    Without a schema every column is text.  ``quoted=False`` reads quote marks as
-    data.  A byte order mark before the first header is removed.
+    A line has too many fields if one behind the last column holds a value; a separator at its end does no harm.
+    Lines with too few fields are padded with NULL, empty fields are NULL, and so is a value that its type in
+    ``schema`` can't hold.  Without a schema every column is text.  ``quoted=False`` reads quote marks as data.  A byte
+    order mark before the first header is removed.  All fields are read as text, with one more behind the last, so
+    what is kept does not depend on the columns that are asked for.
     """
-    reader = (spark.read.option("sep", sep).option("header", True).option("encoding", encoding)
-              .option("mode", "DROPMALFORMED").option("enforceSchema", True))
+    reader = spark.read.option("sep", sep).option("encoding", encoding).option("header", True)
     if not quoted:
         reader = reader.option("quote", "")
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    df = reader.csv(path)
-    marks = (BOM, BOM.encode("utf-8").decode("ISO-8859-1"))
-    names = [c.strip() for c in df.columns]
-    for mark in marks:
-        names[0] = names[0].removeprefix(mark)
-    return df.toDF(*names)
+    if schema is None:
+        names = [c.strip() for c in reader.csv(path).columns]
+        for mark in (BOM, BOM.encode("utf-8").decode("ISO-8859-1")):
+            names[0] = names[0].removeprefix(mark)
+    else:
+        names = schema.names
+    fields = [f"c{i}" for i in range(len(names))]
+    text = StructType([StructField(f, StringType()) for f in (*fields, "more")])
+    lines = (reader.option("mode", "PERMISSIVE").option("enforceSchema", True)
+             .schema(text).csv(path))
+    value = {f: F.when(F.col(f) != "", F.col(f)) for f in fields}
+    kinds = [f.dataType for f in schema] if schema is not None else [StringType()] * len(names)
+    kept = lines.filter(F.col("more").isNull()).select(
+        *[value[f].try_cast(kind).alias(n) for f, kind, n in zip(fields, kinds, names)])
+    rejected = lines.filter(F.col("more").isNotNull()).select(*[value[f].alias(n) for f, n in zip(fields, names)], "more")
+    return Split(kept, rejected)
+
+
+def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = "|",
+                   encoding: str = "ISO-8859-1", quoted: bool = True) -> DataFrame:
+    """The rows of ``split_delimited``."""
+    return split_delimited(spark, path, schema, sep, encoding, quoted).kept
 
 
 def read_reference(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

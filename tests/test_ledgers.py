@@ -55,6 +55,19 @@ def test_period_amounts(frame):
     assert values(flipped) == values(out.select(*flipped.columns))
 
 
+def test_adjustments_of_unlisted_groups_count(frame):
+    bill, pay, rev = inputs(frame)
+    extra = pay.filter("txn_type in ('AC', 'AD')").limit(1)
+    for group, amount in (("New Group", -5), ("Insurance Adjustment", -7), (None, -100)):
+        row = extra.withColumns({
+            "oli_id": F.lit("N"), "ticket_no": F.lit(9).cast(dict(pay.dtypes)["ticket_no"]), "acct_period": F.lit(MAR),
+            "vendor_adj_code": F.lit("ZZ"), "txn_amount": F.lit(amount).cast(dict(pay.dtypes)["txn_amount"]),
+            "adj_group": F.lit(group).cast("string")})
+        pay = pay.unionByName(row)
+    got = period.accounting_period_amounts(bill, pay, rev).filter("oli_id = 'N'").collect()
+    assert [(float(r.adjustment), float(r.grp_other)) for r in got] == [(12.0, 5.0)]
+
+
 def test_journal_reconciles_with_the_period_report(frame):
     bill, pay, rev = inputs(frame)
     last = period.latest_period(bill, pay, rev)
@@ -96,20 +109,22 @@ def journal(frame):
                  (2, 10, 1, "A", "A1", "S2", "y", d2, None, d2, "i2", "r2", "R2", "c"),     # second row of a level
                  (3, 10, 1, "A", "L1", "S3", "z", None, d2, None, "i3", "r3", "R3", "c"),
                  (4, 11, 2, "A", "ER", "S4", "z", d1, None, d2, "i4", "r4", "R4", "c"),
+                 (6, 11, 2, "A", "B7", "S6", "z", None, None, None, "i6", "r6", "R6", "c"),  # a level without columns
+                 (7, 11, 2, "A", None, "S7", "z", None, None, None, "i7", "r7", "R7", "c"),
                  (5, 12, None, "B", "A1", "S5", "z", d1, None, None, "i5", "r5", "R5", "c"))
 
 
 def test_levels_wide_takes_first_values(frame):
     wide = appeals.levels_wide(journal(frame))
     assert values(wide, "appeal_case_no", "case_level_cnt", "a1_status", "a1_status_desc", "a1_ins_code", "l1_status", "a2_status",
-                  "er_entry_dt") == [(10, 3, "S2", "x", "i1", "S3", None, None), (11, 1, None, None, None, None, None, D(2017, 2, 1))]
+                  "er_entry_dt") == [(10, 3, "S2", "x", "i1", "S3", None, None), (11, 3, None, None, None, None, None, D(2017, 2, 1))]
 
 
 def test_last_denial_and_outcome(frame):
     rows = journal(frame)
     last = appeals.last_denial(rows)
     assert values(last, "accession", "last_level", "last_den_reason", "oli_level_cnt", "first_entry_dt") == [
-        ("A", "A1", "r2", 4, D(2017, 1, 1)), ("B", "A1", "r5", 1, None)]
+        ("A", "A1", "r2", 6, D(2017, 1, 1)), ("B", "A1", "r5", 1, None)]
     assert values(appeals.first_entry(rows)) == [("A", D(2017, 1, 1)), ("B", None)]
     case = frame("case_no int, ticket_no int, accession string", (10, 1, "A"), (11, 2, "A"))
     done = frame("appeal_case_no int, appeal_ticket_no int, accession string, appeal_success string, appeal_den_reason string,"

@@ -80,3 +80,20 @@ def test_written_reports(spark, tmp_path):
     lines = spark.read.parquet(str(tmp_path / "claim_to_revenue"))
     assert lines.count() == lines.select("oli_id").distinct().count() == 1500
     assert set(spark.read.parquet(str(tmp_path / "payment_risk")).columns) <= set(lines.columns)
+
+
+def test_written_bundles(spark, tmp_path):
+    from claimtide.lens.queries_reports import claim_tables
+    from claimtide.lens.registry import Tables
+    from claimtide.plans import reports
+    t = claim_tables(Tables(spark, SF))
+    reports.write_period_reports(t, str(tmp_path), ("territory",))
+    revenue = reports.oli_revenue(t.oli, t.revenue, ["oli_id", "test"])
+    reports.write_named(revenue, str(tmp_path), "revenue_")
+    names = {p.name for p in tmp_path.iterdir()}
+    assert names == {"accounting_period", "accounting_period_criteria", "ticket_journal_v1", "ticket_journal_v2",
+                     "ticket_journal_criteria", "revenue_processed", "revenue_errors", "revenue_lines", "revenue_ledger",
+                     "revenue_subset"}
+    shown = spark.read.parquet(str(tmp_path / "accounting_period"))
+    assert shown.filter("payment = '0' or payment = '0.00'").count() == 0 and shown.filter("payment = ''").count() > 0
+    assert spark.read.parquet(str(tmp_path / "revenue_errors")).count() == revenue.errors.count() > 0

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
@@ -17,12 +18,29 @@ def test_delimited_round_trip(spark, tmp_path, frame):
     assert values(back) == values(df)
 
 
-def test_broken_lines_drop_out_and_text_by_default(spark, tmp_path):
+def test_kept_lines_do_not_depend_on_the_columns_read(spark, tmp_path):
     path = tmp_path / "in.txt"
-    path.write_bytes("id|n|d\nx|1|2017-01-01\ny|oops|2017-01-01\ncaf\xe9|2|2017-01-02\n".encode("ISO-8859-1"))
-    typed = sources.read_delimited(spark, str(path), SCHEMA)
-    assert values(typed, "id", "n") == [("café", 2), ("x", 1)]
-    assert {t for _, t in sources.read_delimited(spark, str(path)).dtypes} == {"string"}
+    path.write_bytes("id|n|d\nx|1|2017-01-01\ny|oops|2017-01-01\nshort|7\nlong|3|2017-01-01|4\nend|3|2017-01-01|\n"
+                     "\"a|b\"|5|\ncaf\xe9|2|2017-01-02\n".encode("ISO-8859-1"))
+    kept, rejected = sources.split_delimited(spark, str(path), SCHEMA)
+    d = dt.date(2017, 1, 1)
+    want = [("a|b", 5, None), ("café", 2, dt.date(2017, 1, 2)), ("end", 3, d), ("short", 7, None), ("x", 1, d), ("y", None, d)]
+    assert values(kept) == sorted(want, key=repr) and kept.count() == len(want)
+    for i, c in enumerate(kept.columns):
+        assert values(kept, c) == sorted(((w[i],) for w in want), key=repr) and kept.select(c).count() == len(want)
+    assert values(rejected, "id", "more") == [("long", "4")] and rejected.count() == 1
+    assert values(sources.read_delimited(spark, str(path), SCHEMA)) == values(kept)
+    untyped = sources.read_delimited(spark, str(path))
+    assert {t for _, t in untyped.dtypes} == {"string"} and ("y", "oops") in values(untyped, "id", "n")
+
+
+def test_database_reads_are_split(spark):
+    options = sources.jdbc_options("jdbc:x", "select 1", partition_column="id", bounds=(1, 9), partitions=4, user="u")
+    assert options == {"url": "jdbc:x", "fetchsize": "10000", "user": "u", "dbtable": "(select 1) q", "partitionColumn": "id",
+                       "lowerBound": "1", "upperBound": "9", "numPartitions": "4"}
+    assert sources.jdbc_options("jdbc:x", "select 1", single_task=True)["query"] == "select 1"
+    with pytest.raises(ValueError):
+        sources.jdbc_options("jdbc:x", "select 1")
 
 
 def test_unquoted_read_with_byte_order_mark(spark, tmp_path):
