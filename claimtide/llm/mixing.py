@@ -28,6 +28,8 @@ MAX_BLOCKS = 10 ** 9
 # Single documents that may follow the last one that fits, to come nearer to the target.
 EXTRA = 3
 KEY = ("doc_id", "source", "text")
+# Facts of all sources up to this size go to every executor.
+BROADCAST_BYTES = 16 << 20
 
 
 def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, most: int = MAX_REPEAT) -> list[Fraction]:
@@ -75,19 +77,30 @@ def _sources(rows: DataFrame) -> list:
     return sorted(found, key=lambda r: (r.source is None, r.source or ""))
 
 
+def _by_source(rows: DataFrame, facts: list[tuple], schema: str) -> DataFrame:
+    """``rows`` with the facts of their source; the first field of a fact is the source's name.
+
+    The facts, one row per source, are broadcast if their size, known here, is small: then a source with a third of
+    all rows isn't brought to one task.
+    """
+    size = sum(64 + len(str(f[0] or "")) + sum(8 * len(x) for x in f if isinstance(x, list)) for f in facts)
+    frame = rows.sparkSession.createDataFrame(facts, f"_name string, {schema}")
+    frame = F.broadcast(frame) if size <= BROADCAST_BYTES else frame
+    return rows.join(frame, F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
+
+
 def _nearest_documents(beyond: DataFrame, short: dict) -> dict[str | None, list[tuple[int, int]]]:
     """Up to ``EXTRA`` documents (position, size) of each source, each the nearest in size to what is then missing.
 
     A document is taken only where it brings the source nearer to its target, and none is taken twice.
     """
-    spark, found = beyond.sparkSession, {s: [] for s in short}
+    found = {s: [] for s in short}
     for _ in range(EXTRA):
         open_ = [(s, float(n), [pos for pos, _ in found[s]]) for s, n in short.items() if n > 0]
         if not open_:
             break
-        needs = spark.createDataFrame(open_, "name string, short double, had array<long>")
         off = F.abs(F.col("size") - F.col("short"))
-        best = (beyond.join(needs, F.col("source").eqNullSafe(F.col("name")))
+        best = (_by_source(beyond, open_, "short double, had array<long>")
                 .filter((off < F.col("short")) & ~F.array_contains("had", F.col("pos")))
                 .groupBy("source").agg(F.min(F.struct(off.alias("off"), "pos", "size")).alias("best")).collect())
         short = {s: 0 for s in short} | {r.source: short[r.source] - r.best.size for r in best}
@@ -115,16 +128,12 @@ def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: in
     for r, target in zip(sources, wanted):
         full = int(target // r.total) if r.total else 0
         info.append((r.source, r.total, float(target), full, float(target - full * r.total)))
-    spark = docs.sparkSession
-    frame = spark.createDataFrame(info, "name string, source_size long, target double, passes long, missing double")
-    placed = staged(running_total(rows, ["source"], "row_key", "size", "pos", ("doc_id",))
-                    .join(frame, F.col("source").eqNullSafe(F.col("name"))).drop("name"))
+    placed = staged(_by_source(running_total(rows, ["source"], "row_key", "size", "pos", ("doc_id",)), info,
+                               "source_size long, target double, passes long, missing double"))
 
     fits = F.col("pos") + F.col("size") <= F.col("missing")
     end = {r.source: r.filled or 0 for r in placed.groupBy("source").agg(
         F.max(F.when(fits, F.col("pos") + F.col("size"))).alias("filled")).collect()}
-    ends = spark.createDataFrame([(s, end.get(s, 0)) for s, *_ in info], "name string, filled long")
-    placed = placed.join(ends, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     extra = _nearest_documents(placed.filter(~fits & (F.col("size") > 0)),
                                {s: missing - end.get(s, 0) for s, _, _, _, missing in info})
 
@@ -138,9 +147,8 @@ def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: in
         step = max(1, blocks[i] * 618 // 1000)
         while gcd(step, blocks[i]) != 1:
             step += 1
-        drawn.append((name, blocks[i], step, [int(row[i]) for row in upto], [pos for pos, _ in extra[name]]))
-    quotas = spark.createDataFrame(drawn, "name string, blocks long, step long, upto array<long>, extra array<long>")
-    planned = placed.join(quotas, F.col("source").eqNullSafe(F.col("name")))
+        drawn.append((name, end.get(name, 0), blocks[i], step, [int(row[i]) for row in upto], [p for p, _ in extra[name]]))
+    planned = _by_source(placed, drawn, "filled long, blocks long, step long, upto array<long>, extra array<long>")
     once_more = fits | ((F.col("size") > 0) & F.array_contains("extra", F.col("pos")))
 
     def shard(time):
