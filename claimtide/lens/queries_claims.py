@@ -7,6 +7,7 @@ from claimtide.lens.registry import (
     RECEIPT_AMOUNTS, REVENUE_AMOUNTS, REVENUE_ROLLUP, Tables, doubles, register)
 from claimtide.operators import quality, reference, rollup, standardise, status
 from claimtide.operators.latest import first_and_last
+from claimtide.sources import loaders
 
 PAY = {"pay_std": PAY_STD, "pay_signed": PAY_SIGNED}
 REF = {"bill_std": BILL_STD, "current_ticket": CURRENT_TICKET, "current_case": CURRENT_CASE,
@@ -386,3 +387,39 @@ select ticket_no, count(distinct trim(condition)) as condition_cnt from worklist
 where worklist_code = 'HS7X' and trim(condition) <> '' group by ticket_no having count(distinct trim(condition)) > 1""")
 def ambiguous(t):
     return standardise.ambiguous_conditions(standardise.worklist_conditions(t.worklist, t.condition_code))
+
+
+# base tables from raw extracts ---------------------------------------------
+
+@register("q_load_order_line", "raw_order_line", """
+select oli_id, test, cast(nullif(try_cast(billed_amount as decimal(18,2)), 0) as double) as billed_amount,
+  cast(try_strptime(case when delivered_dt like '%.0' then replace(delivered_dt, '.0', '') end, '%Y%m%d') as date) as delivered_dt,
+  cast(try_strptime(order_start_dt, '%Y%m%d') as date) as order_start_dt,
+  nullif(cast(cast(current_ticket_no as bigint) as varchar), '0') as current_ticket_no, tier4_payor_name, tier4_payor_id,
+  tier4_payor_name || ' (' || tier4_payor_id || ')' as tier4_payor, coalesce(risk_group, 'Unknown') as risk_group,
+  coalesce(gleason, '') as gleason, case when test = 'Prostate-AR-V7' then 'ARV7'
+    when reporting_group = 'Node Positive (Micromet)' then nodal_status else reporting_group end as reporting_group, nodal_status
+from raw_order_line""")
+def load_order_line(t):
+    return loaders.load_order_line(t.raw_order_line)
+
+
+@register("q_load_revenue", "raw_revenue ins_codes", """
+select coalesce(cast(oli_id as varchar), 'NONE') as oli_id, nullif(cast(cast(ticket_no as bigint) as varchar), '0') as ticket_no,
+  try_cast(left(period, 10) as date) as period, try_cast(case when len(claim_period) >= 10 then left(claim_period, 10) end as date) as claim_period,
+  cast(total as double) as total, tier4_payor_name, r.tier4_payor_id, tier4_payor_name || ' (' || r.tier4_payor_id || ')' as tier4_payor,
+  vendor_fc
+from raw_revenue r left join (select tier4_payor_id, max(vendor_fc) as vendor_fc from ins_codes group by tier4_payor_id) i
+  on r.tier4_payor_id = i.tier4_payor_id""")
+def load_revenue(t):
+    return loaders.load_revenue(t.raw_revenue, t.ins_codes)
+
+
+@register("q_load_case", "raw_case", """
+select accession, cast(cast(case_no as bigint) as varchar) as case_no, cast(cast(ticket_no as bigint) as varchar) as ticket_no,
+  cast(strptime(cast(cast(entry_month as bigint) as varchar), '%Y%m') as date) as entry_month,
+  cast(try_strptime(update_dt, '%Y%m%d') as date) as update_dt,
+  try_strptime(added_date || ' ' || added_time, '%Y%m%d %H:%M:%S') as added_ts
+from raw_case""")
+def load_case(t):
+    return loaders.load_case(t.raw_case)

@@ -231,6 +231,37 @@ select l_orderkey as oli_id, l_partkey, l_suppkey, l_linenumber as line_no,
   case l_linenumber when 1 then 1 when 2 then null else 0 end as multiple_primaries,
   case l_suppkey % 4 when 0 then 'Oncologist' when 1 then 'Radiation Oncologist' when 2 then 'Surgeon' end as specialty
 from {lineitem}""",
+    "raw_order_line": """
+select o_orderkey as oli_id, case when o_orderkey % 3 = 0 then 'Prostate-AR-V7' else 'IBC' end as test,
+  case when o_orderkey % 4 = 0 then '0.0' when o_orderkey % 9 = 0 then null when o_orderkey % 31 = 0 then 'n/a'
+    else cast(cast(o_totalprice as decimal(12,2)) as varchar(20)) end as billed_amount,
+  case when o_orderkey % 5 = 0 then null when o_orderkey % 7 = 0 then 'nan'
+    else cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) as varchar(20)) || '.0' end as delivered_dt,
+  case when o_orderkey % 11 = 0 then '20179999'
+    else cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) as varchar(20)) end as order_start_dt,
+  case when o_orderkey % 5 = 0 then null when o_orderkey % 7 = 0 then cast(0 as double)
+    else cast(o_orderkey * 10 + 1 as double) end as current_ticket_no,
+  c_name as tier4_payor_name, case when o_custkey % 6 <> 0 then cast(o_custkey as varchar(20)) end as tier4_payor_id,
+  case when o_orderkey % 2 = 0 then c_mktsegment end as risk_group, case when o_orderkey % 2 = 1 then '3+3' end as gleason,
+  case when o_custkey % 4 = 0 then 'Node Positive (Micromet)' else 'Group' end as reporting_group,
+  case when o_custkey % 8 <> 0 then 'Micromets' end as nodal_status
+from {orders} join {customer} on o_custkey = c_custkey""",
+    "raw_revenue": f"""
+select case when l_orderkey % 97 <> 0 then l_orderkey end as oli_id,
+  case when l_linenumber = 6 then null when l_linenumber = 5 then cast(0 as double)
+    else cast(l_orderkey * 10 + l_linenumber as double) end as ticket_no,
+  cast({DAY} as varchar(20)) as period, case when l_partkey % 3 <> 0 then cast({DAY} as varchar(20)) || ' 00:00:00'
+    when l_partkey % 5 = 0 then '2017-1' end as claim_period,
+  {PRICE} as total, 'Plan ' || {SUPP} as tier4_payor_name, {SUPP} as tier4_payor_id
+from {{lineitem}}""",
+    "raw_case": f"""
+select l_orderkey as accession, cast(l_partkey as double) as case_no, cast(l_orderkey * 10 + l_linenumber as double) as ticket_no,
+  cast(year(l_shipdate) * 100 + month(l_shipdate) as double) as entry_month,
+  case when l_linenumber = 3 then null when l_linenumber = 4 then 'none'
+    else cast(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) as varchar(20)) end as update_dt,
+  cast(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) as varchar(20)) as added_date,
+  case when l_quantity < 10 then '07:08:09' when l_quantity < 12 then 'late' else '23:59:59' end as added_time
+from {{lineitem}}""",
     "view_set": """
 select * from (values ('set_region', 1), ('set_region', 3), ('set_nation', 2), ('set_nation', 5),
   ('set_nation', 7), ('set_west', 4), ('set_west', 5)) as t(set_name, payor_id)""",

@@ -1,4 +1,5 @@
 from claimtide.sources.dictionary import apply_dictionary  # noqa: F401
+from claimtide.sources.loaders import load_case, load_order_line, load_revenue  # noqa: F401
 from claimtide.sources.readers import (  # noqa: F401
     jdbc_options, load_snapshot, order_case_extract, read_delimited, read_jdbc, read_reference, read_since,
     split_delimited)
