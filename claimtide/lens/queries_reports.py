@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from claimtide import rules
 from claimtide.lens.queries_appeals import PAYOR, SETS, VIEWS, WIDE, _set_sql, journal, wide
 from claimtide.lens.queries_claims import CONFLICTS, PAY, REF, SINGLE, bill_std, hierarchy, pay_std
+from claimtide.lens.queries_ledgers import HEADS, JOURNAL_SQL, PERIOD_PARTS
 from claimtide.lens.registry import (
     GROUPS, HIERARCHY, PAY_STD, RECEIPT, RECEIPT_AMOUNTS, REVENUE_AMOUNTS, REVENUE_ROLLUP, Tables, doubles,
     register)
-from claimtide.operators import appeals, quality
+from claimtide.operators import appeals, ledger, quality
 from claimtide.plans import reports
 
 
@@ -117,6 +118,46 @@ def payment_risk(t):
     return out.drop("tier1_payor_name", "tier2_payor_name", "tier4_payor_name")
 
 
+LEDGER_ROWS = f"""
+select oli_id, currency, txn_type, txn_amount, vendor_adj_code, adj_desc, house_adj_code, category_desc, adj_group,
+  case when txn_type in ('accrual_usd_revenue', 'cash_usd_revenue') then 'USDRevenue'
+    when txn_type in ('accrual_revenue', 'cash_revenue') then 'Revenue'
+    when txn_type in ('charge', 'GH04:Charged in Error') then 'Billing' else 'Receipts' end as txn_category
+from ({' union all '.join(f"""
+  select oli_id, billed_currency as currency, '{'Outstanding' if m == 'outstanding' else m}' as txn_type, cast({m} as double) as txn_amount,
+    null as vendor_adj_code, null as adj_desc, null as house_adj_code, null as category_desc, null as adj_group
+  from c2r where current_ticket_no is not null and billed_currency is not null and {m} <> 0""" for m in ledger.DETAIL_METRICS)}
+  union all
+  select oli_id, currency, house_adj_code || ':' || category_desc, cast(sum(txn_amount) as double), vendor_adj_code, adj_desc,
+    house_adj_code, category_desc, adj_group
+  from pay_signed where txn_type in ('AC', 'AD') and oli_id is not null and vendor_adj_code is not null
+    and adj_desc is not null and house_adj_code is not null and category_desc is not null and adj_group is not null
+  group by all having sum(txn_amount) <> 0)"""
+BILLING_PLAIN = ["oli_id", "order_id", "test", "order_start_dt", "status", "case_status_sum2", "case_status", "billed_currency",
+                 "tier1_payor", "tier2_payor", "tier4_payor", "financial_category", "primary_tier2_payor", "business_unit",
+                 "territory", "last_level", "first_entry_dt", "a1_status_desc", "appeal_den_reason",
+                 "appeal_den_reason_desc", "appeal_success", "appeal_result", "prior_auth_result", "prior_auth_category"]
+BILLING_AMOUNTS = ["list_price", "contracted_price", "outstanding", "total_billed", "charge", "total_payment", "payor_paid",
+                   "patient_paid", "total_adjustment", *GROUPS, "allowed_amt", *REVENUE_AMOUNTS]
+
+
+@register("q_domestic_billing", C2R_VIEWS, f"""
+select {', '.join(BILLING_PLAIN)}, {doubles(*BILLING_AMOUNTS)} from c2r where business_unit = 'Domestic'""", **C2R_SQL)
+def domestic_billing(t):
+    out = reports.domestic_billing(reports.claim_to_revenue(claim_tables(t)))
+    return out.select(*BILLING_PLAIN, *BILLING_AMOUNTS)
+
+
+@register("q_oli_transactions", C2R_VIEWS, f"""
+select l.*, c.test, {', '.join(f'c.{n}' for n in SETS)} from ({LEDGER_ROWS}) l
+left join c2r c on l.oli_id = c.oli_id""", **C2R_SQL)
+def oli_transactions(t):
+    tables = claim_tables(t)
+    out = reports.oli_transactions(reports.claim_to_revenue(tables), tables)
+    return out.select("oli_id", "currency", "txn_type", "txn_amount", "vendor_adj_code", "adj_desc", "house_adj_code",
+                      "category_desc", "adj_group", "txn_category", "test", *SETS)
+
+
 @register("q_appeals_detail", C2R_VIEWS, """
 select primary_tier1_payor_id, primary_tier2_payor_id, primary_tier4_payor_id, primary_financial_category,
   appeal_result as "Appeal Result", appeal_den_reason_desc as "Appeal Den Reason Desc", delivered_dt,
@@ -234,3 +275,36 @@ def payor_subset(t):
     lines = t.oli.filter(F.col("tier1_payor").isNotNull())
     subset = reports.oli_revenue(lines, t.revenue, ["oli_id"], payor="YOR 1").subset
     return subset.select("oli_id", "test", "tier2_payor_name", "total_usd")
+
+
+# ticket and period -----------------------------------------------------------
+
+@register("q_accounting_period", "bill payment adjustment_code revenue oli payor ins_codes view_set", f"""
+select p.*, {', '.join(_set_sql(n, c, n) for n, c in SETS.items())} from (
+select a.oli_id, a.ticket_no, a.acct_period, {doubles('charge', 'grp_other', 'outstanding', source='a')},
+  cast(grp_all_other_adjustment + grp_house_adjustment + grp_insurance_adjustment + grp_revenue_impact_adjustment + grp_other
+    as double) as adjustment, o.territory, c.ticket_cnt, h.tier1_payor_id, h.tier2_payor_id, h.tier4_payor_id, h.tier4_payor
+from p_all a left join ticket_head k on a.oli_id = k.oli_id and a.ticket_no = k.ticket_no
+left join revenue_head r on a.oli_id = r.oli_id and a.ticket_no = r.ticket_no
+left join oli o on a.oli_id = o.oli_id
+left join (select oli_id, count(distinct ticket_no) as ticket_cnt from bill group by oli_id) c on a.oli_id = c.oli_id
+left join hierarchy h on coalesce(k.plan, r.plan) = h.tier4_payor_id) p""", **PAY, **PERIOD_PARTS, **HEADS)
+def accounting_period(t):
+    out = reports.accounting_period(claim_tables(t), ("territory",))
+    return out.select("oli_id", "ticket_no", "acct_period", "charge", "grp_other", "outstanding", "adjustment", "territory",
+                      "ticket_cnt", "tier1_payor_id", "tier2_payor_id", "tier4_payor_id", "tier4_payor", *SETS)
+
+
+@register("q_ticket_journal_v2", "bill payment adjustment_code revenue oli payor ins_codes prior_auth view_set", f"""
+select x.*, {', '.join(_set_sql(n, c, n) for n, c in SETS.items())} from (
+select j.* replace (case when txn_category = 'Revenue' then r.currency else j.currency end as currency),
+  k.case_no, c.ticket_cnt, h.tier1_payor_id, h.tier2_payor_id, h.tier4_payor_id, a.prior_auth_result, a.prior_auth_number
+from journal j left join ticket_head k on j.oli_id = k.oli_id and j.ticket_no = k.ticket_no
+left join revenue_head r on j.oli_id = r.oli_id and j.ticket_no = r.ticket_no
+left join (select oli_id, count(distinct ticket_no) as ticket_cnt from bill group by oli_id) c on j.oli_id = c.oli_id
+left join hierarchy h on r.plan = h.tier4_payor_id
+left join prior_auth a on k.case_no = a.prior_auth_case_no) x""", **JOURNAL_SQL, **{k: v for k, v in HEADS.items() if k != "bill_std"})
+def ticket_journal_v2(t):
+    out = reports.ticket_journal(claim_tables(t), 2)
+    return out.select(*ledger.JOURNAL_COLUMNS, "case_no", "ticket_cnt", "tier1_payor_id", "tier2_payor_id", "tier4_payor_id",
+                      "prior_auth_result", "prior_auth_number", *SETS)
