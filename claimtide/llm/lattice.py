@@ -33,6 +33,8 @@ HEAD_WORDS, HEAD_BYTES = 100_000, 64
 GATHERED = 200_000
 # Expected counts are summed as whole multiples of 1/1024: the sum doesn't depend on its order.
 UNIT = 1024
+# Words of at most so many bytes have probabilities far above the smallest double.
+SHORT = 24
 LN10 = log(10)
 
 
@@ -85,24 +87,26 @@ def log_sum(values: list[float]) -> float:
 def forward(word: bytes, table: dict[bytes, float | None]) -> float:
     """Natural log of the probability of a word, led by a space, over all its segmentations."""
     surface = b" " + word
-    n, longest = len(surface), LONGEST_PIECE
-    # The last ``longest`` positions are all that later ones need.
-    incoming: list[list[float] | None] = [None] * (n + 1)
-    incoming[0] = [0.0]
-    get, reached = table.get, 0.0
+    n, get, reached = len(surface), table.get, 0.0
+    # What arrives at a position: later ones need no more than the longest piece of them.
+    incoming: list[list[float] | None] = [[] for _ in range(min(n, LONGEST_PIECE) + 1)]
+    ring = len(incoming)
+    incoming[0].append(0.0)
     for i in range(n):
-        reached = log_sum(incoming[i])
-        incoming[i] = None
-        for j in range(i + 1, min(n, i + longest) + 1):
+        values = incoming[i % ring]
+        if len(values) == 1:
+            reached = values[0]
+        else:
+            top = max(values)
+            reached = top + log(sum([exp(v - top) for v in values]))
+        incoming[i % ring] = []
+        for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
             score = get(surface[i:j], False)
             if score is False:
                 break
             if score is not None:
-                if incoming[j] is None:
-                    incoming[j] = [reached + score]
-                else:
-                    incoming[j].append(reached + score)
-    return log_sum(incoming[n])
+                incoming[j % ring].append(reached + score)
+    return log_sum(incoming[n % ring])
 
 
 def expected(word: bytes, table: dict[bytes, float | None]) -> dict[bytes, float]:
@@ -133,6 +137,32 @@ def expected(word: bytes, table: dict[bytes, float | None]) -> dict[bytes, float
     return counts
 
 
+def add_expected(word: bytes, count: int, pieces: dict[bytes, tuple | None], sums: list[int]) -> None:
+    """Add the expected pieces of a short word, ``count`` times, to ``sums``: as ``expected``, but in probabilities.
+
+    ``pieces`` has the probability and number of every piece and None for every other beginning of one.
+    """
+    surface = b" " + word
+    n, get, found = len(surface), pieces.get, []
+    alpha = [0.0] * (n + 1)
+    alpha[0] = 1.0
+    for i in range(n):
+        reached = alpha[i]
+        for j in range(i + 1, n + 1):
+            piece = get(surface[i:j], False)
+            if piece is False:
+                break
+            if piece is not None:
+                alpha[j] += reached * piece[0]
+                found.append((i, j, piece))
+    beta = [0.0] * (n + 1)
+    beta[n] = count * UNIT / alpha[n]
+    for i, j, (chance, number) in reversed(found):
+        onward = chance * beta[j]
+        beta[i] += onward
+        sums[number] += round(alpha[i] * onward)
+
+
 # Corpus counts -------------------------------------------------------------------------------------------------------
 
 def word_table(docs: DataFrame) -> DataFrame:
@@ -181,13 +211,17 @@ def fit_scores(words: DataFrame, pieces: list[bytes], ends: int, rounds: int = R
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table, numbers = with_prefixes(shared.value[0]), shared.value[1]
-            sums: dict[int, int] = {}
+            chances = {p: None if x is None else (exp(x), numbers[p]) for p, x in table.items()}
+            sums = [0] * len(numbers)
             for batch in batches:
                 for word, count in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    for piece, share in expected(word, table).items():
-                        at = numbers[piece]
-                        sums[at] = sums.get(at, 0) + round(share * count * UNIT)
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())],
+                    if len(word) <= SHORT:
+                        add_expected(word, count, chances, sums)
+                    else:
+                        for piece, share in expected(word, table).items():
+                            sums[numbers[piece]] += round(share * count * UNIT)
+            some = [i for i, units in enumerate(sums) if units]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([sums[i] for i in some], pa.int64())],
                                              names=["piece", "units"])
 
         found = trained.mapInArrow(run, "piece long, units long").groupBy("piece").agg(F.sum("units").alias("units")).collect()

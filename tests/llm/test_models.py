@@ -150,6 +150,10 @@ def test_forward_sums_all_segmentations():
         assert abs(lattice.forward(word, table) - math.log(all_ways(b" " + word, scores))) < 1e-9
         counts = lattice.expected(word, table)
         assert abs(sum(len(p) * n for p, n in counts.items()) - len(word) - 1) < 1e-9
+        numbers = {p: i for i, p in enumerate(pieces)}
+        sums = [0] * len(pieces)
+        lattice.add_expected(word, 1000, {p: x and (math.exp(x), numbers[p]) for p, x in table.items()}, sums)
+        assert all(abs(sums[numbers[p]] / lattice.UNIT / 1000 - n) < 1e-5 for p, n in counts.items())
     assert lattice.forward(b"qz" * 30_000, table) < -10_000
 
 
