@@ -27,12 +27,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@register("op7_jump_shards")
+# The jump as a recursion over (state, last shard, next jump); the CRC by a table made from its rule, byte after byte.
+CRC_TABLE = """select list(crc order by n) as crcs from (
+  with recursive t(n, c, k) as (select range, range, 0 from range(256)
+    union all select n, xor(c >> 1, 3988292384 * (c & 1)), k + 1 from t where k < 8)
+  select n, c as crc from t where k = 8)"""
+
+
+@register("op7_jump_shards", f"""
+with recursive keys as (select distinct coalesce(doc_id, 0) as k from documents),
+walk(k, s, b, j) as (
+  select k, cast(k as hugeint) + case when k < 0 then 18446744073709551616 else 0 end, cast(-1 as bigint), cast(0 as bigint) from keys
+  union all
+  select k, n, j, cast(floor(cast(j + 1 as double) * (2147483648.0::double / cast(n // 8589934592 + 1 as double))) as bigint)
+  from (select k, j, (s * 2862933555777941757 + 1) % 18446744073709551616 as n from walk where j < 9)),
+first as (select k, n as state from (select k, (case when k < 0 then cast(k as hugeint) + 18446744073709551616 else k end
+    * 2862933555777941757::hugeint + 1) % 18446744073709551616 as n from keys)),
+shards as (select k, cast(max(b) filter (where b < 8) as int) as shard, cast(max(b) as int) as grown_shard from walk group by k),
+crcs as ({CRC_TABLE}),
+sized as (select doc_id, strlen(coalesce(text, '')) + 1 as size, xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda b: cast(('0x' || b) as bigint))),
+    lambda c, x: xor(c >> 8, crcs[1 + cast(xor(c, x) & 255 as int)])), 4294967295) as text_crc32
+  from documents, crcs)
+select doc_id, size, text_crc32, 'key' as law, shard, row_number() over (partition by shard order by state, doc_id, size, text_crc32) - 1
+  as slot, grown_shard
+from sized join shards on coalesce(doc_id, 0) = shards.k join first on first.k = shards.k""")
 def op7(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
-@register("op3_length_buckets")
+# The dynamic programme of op3 step by step: costs of all bounds but the last come from the step before.  The tables that
+# this runs on have more than 16 lengths, all of them below the width where cells hold several.
+STEPS = "\n".join(f"""
+d{k} as materialized (select c.j, min({{'cost': p.best.cost + c.longest * (c.docs - q.docs) - (c.words - q.words), 'i': p.j}}) as best
+  from c join d{k - 1} p on p.j < c.j and p.j >= {k - 1} join c q on q.j = p.j group by c.j),""" for k in range(2, 17))
+BACK = ",\n".join(f"b{k} as (select best.i as j from d{k + 1} join b{k + 1} using (j))" for k in range(15, 0, -1))
+
+
+@register("op3_length_buckets", f"""
+with l as (select doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as length from documents),
+h as (select length as longest, count(*) as n, sum(length) as w from l group by length),
+c as materialized (select longest, row_number() over (order by longest) as j, cast(sum(n) over (order by longest) as bigint) as docs,
+  cast(sum(w) over (order by longest) as bigint) as words from h),
+d1 as materialized (select j, {{'cost': longest * docs - words, 'i': cast(0 as bigint)}} as best from c),{STEPS}
+b16 as (select max(j) as j from c),
+{BACK},
+bounds as (select list(longest order by longest) as bs from c where j in ({' union all '.join(f'select j from b{k}' for k in range(1, 17))})),
+placed as (select doc_id, length, len(list_filter(bs, lambda x: x < length)) as bucket, bs from l, bounds),
+slots as (select doc_id, length, bucket, bs[cast(bucket as int) + 1] as bound, row_number() over (partition by bucket
+  order by md5(coalesce(cast(doc_id as varchar), '') || '|' || length), doc_id) - 1 as slot from placed)
+select doc_id, length, cast(bucket as int) as bucket, bound, slot // holds as batch, cast(slot % holds as int) as place,
+  bound - length as padding
+from (select *, greatest(1, 65536 // greatest(bound, 1)) as holds from slots)""")
 def op3(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
