@@ -84,7 +84,41 @@ def op3(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-@register("op4_mix_sources")
+# Capping, reshared by weight, and single documents nearest to what is missing: a round each.
+SHARES = "\n".join(f"""
+t{k} as (select * replace (case when not capped and unit * weight > 3 * source_size then true else capped end as capped)
+  from (select source, source_size, weight, capped, (total - coalesce(sum(3 * source_size) filter (where capped) over (), 0))
+    / coalesce(sum(weight) filter (where not capped) over (), 1) as unit,
+    (total - coalesce(sum(3 * source_size) filter (where capped) over (), 0)) as rest,
+    coalesce(sum(weight) filter (where not capped) over (), 1) as shared, total
+  from t{k - 1})),""" for k in range(1, 5))
+NEAREST = "\n".join(f"""
+e{k} as (select s.source, min({{'off': abs(p.size - s.short), 'pos': p.pos, 'size': p.size}}) as best from placed p join s{k - 1} s
+  on p.source is not distinct from s.source where s.short > 0 and p.size > 0 and p.pos + p.size > p.missing
+  and abs(p.size - s.short) < s.short and not list_contains(s.had, p.pos) group by s.source),
+s{k} as (select s.source, case when e.best is null then 0 else s.short - e.best.size end as short,
+  case when e.best is null then s.had else list_append(s.had, e.best.pos) end as had
+  from s{k - 1} s left join e{k} e on s.source is not distinct from e.source),""" for k in range(1, 4))
+
+
+@register("op4_mix_sources", f"""
+with d as materialized (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
+  md5(coalesce(cast(doc_id as varchar), '') || '|' || coalesce(source, '') || '|' || coalesce(text, '')) as row_key from documents),
+t0 as (select source, cast(sum(size) as bigint) as source_size, false as capped, cast(sum(sum(size)) over () as bigint) as total,
+  [5, 2, 1][1 + cast((row_number() over (order by source nulls last) - 1) % 3 as int)] as weight from d group by source),{SHARES}
+goals as (select source, source_size, target, least(3, case when source_size = 0 then 0 else floor(target / source_size) end) as passes,
+    target - case when source_size = 0 then 0 else floor(target / source_size) end * source_size as missing
+  from (select source, source_size, case when capped then cast(3 * source_size as double)
+    else cast(rest * weight as double) / shared end as target from t4)),
+placed as materialized (select d.*, source_size, target, passes, missing, coalesce(cast(sum(size) over (partition by d.source
+    order by row_key, doc_id rows between unbounded preceding and 1 preceding) as bigint), 0) as pos
+  from d join goals g on d.source is not distinct from g.source),
+s0 as (select source, any_value(missing) - coalesce(max(pos + size) filter (where pos + size <= missing), 0) as short,
+  cast([] as bigint[]) as had from placed group by source),{NEAREST}
+done as (select source, had from s3)
+select doc_id, size, source_size, target, cast(size * (passes + case when passes < 3 and (pos + size <= missing
+  or (size > 0 and list_contains(had, pos))) then 1 else 0 end) as bigint) as taken
+from placed p join done f on p.source is not distinct from f.source""")
 def op4(spark, sf_dir):
     """What every document gives to the mix: one share of its words for each shard that drew it."""
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
