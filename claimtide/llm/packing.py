@@ -1,12 +1,14 @@
 """Packing documents into length buckets of least padding.
 
-Every document is padded to the upper bound of its bucket.  The bounds come from a dynamic programme over the global
-histogram of lengths, so no other choice of as many bounds pads less.  Inside a bucket documents follow each other in
+Every document is padded to the upper bound of its bucket.  The bounds come from a dynamic programme over all distinct
+lengths, so no other choice of as many bounds pads less.  Inside a bucket documents follow each other in
 hash order and are cut into batches that hold the same number of padded tokens, the token budget.
 """
 
 from __future__ import annotations
 
+from array import array
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ from claimtide.llm.common import free_name, repeat_rows, running_total, word_cou
 
 BUCKETS = 16
 BATCH_TOKENS = 65_536
-# Up to here each length is a cell of the histogram; above, cells are 1/128 of a power of two wide, so that the
-# histogram has at most 16,384 + 49 * 128 cells whatever the data, and bounds lie on the longest length of a cell.
+# Up to here each length is a cell of ``histogram_cell``; above, its cells are 1/128 of a power of two wide, at most
+# 16,384 + 49 * 128 whatever the data.  Bounds don't come from these cells, as those on a cell's longest length pad more.
 EXACT_UPTO = 16_384
 
 
@@ -41,10 +43,10 @@ def best_bounds(cells: list[tuple[int, int, int]], buckets: int) -> list[int]:
     if not n:
         return []
     cost = [longest[j - 1] * docs[j] - tokens[j] if j else 0 for j in range(n + 1)]
-    choice = [[0] * (n + 1)]
+    choice = [array("q", [0]) * (n + 1)]
     for k in range(2, buckets + 1):
         hull: list[tuple[int, int, int]] = []
-        at, new, pick = 0, [0] * (n + 1), [0] * (n + 1)
+        at, new, pick = 0, [0] * (n + 1), array("q", [0]) * (n + 1)
         for j in range(k, n + 1):
             i = j - 1
             line = (-docs[i], cost[i] + tokens[i], i)
@@ -72,10 +74,12 @@ def _needless(a, b, c) -> bool:
 
 
 def length_bounds(lengths: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    """Bounds for the column ``length``; only the histogram, of bounded size, reaches the driver."""
-    found = lengths.groupBy(histogram_cell(F.col("length")).alias("cell")).agg(
-        F.max("length").alias("longest"), F.count(F.lit(1)).alias("docs"), F.sum("length").alias("tokens")).collect()
-    return best_bounds(sorted((r.longest, r.docs, r.tokens) for r in found), buckets)
+    """Bounds for the column ``length``; one row per distinct length reaches the driver.
+
+    D distinct lengths need at least D * (D - 1) / 2 words, so they are few: under 100,000 for 5 * 10^9 words.
+    """
+    found = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("docs")).collect()
+    return best_bounds(sorted((r.length, r.docs, r.length * r.docs) for r in found), buckets)
 
 
 def pack_documents(docs: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS,

@@ -58,7 +58,7 @@ def op7(spark, sf_dir):
 
 
 # The dynamic programme of op3 step by step: costs of all bounds but the last come from the step before.  The tables that
-# this runs on have more than 16 lengths, all of them below the width where cells hold several.
+# this runs on have more than 16 lengths.
 STEPS = "\n".join(f"""
 d{k} as materialized (select c.j, min({{'cost': p.best.cost + c.longest * (c.docs - q.docs) - (c.words - q.words), 'i': p.j}}) as best
   from c join d{k - 1} p on p.j < c.j and p.j >= {k - 1} join c q on q.j = p.j group by c.j),""" for k in range(2, 17))

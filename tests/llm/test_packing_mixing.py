@@ -38,6 +38,21 @@ def test_histogram_cells_are_few_and_ordered(spark):
     assert ((wide["max"] - wide["min"]) / wide["max"]).max() < 1 / 120
 
 
+def test_long_lengths_get_exact_bounds(spark):
+    """Six lengths above 16,384 and 16 buckets pad nothing; many long lengths are as good as the exact programme."""
+    few = [n for n, k in ((16_400, 500), (16_500, 500), (33_000, 400), (33_200, 400), (66_000, 300), (66_400, 300))
+           for _ in range(k)]
+    rng = random.Random(1)
+    many = [rng.randint(20_000, 90_000) for _ in range(300)]
+    for lengths in (few, many):
+        docs = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n long")
+        rows = packing.pack_documents(docs, length=F.col("n")).select("bound", "padding").collect()
+        cells = [(n, k, n * k) for n, k in sorted(Counter(lengths).items())]
+        assert sum(r.padding for r in rows) == padding(cells, packing.best_bounds(cells, 16))
+        assert {r.bound for r in rows} == set(packing.best_bounds(cells, 16))
+    assert padding([(n, 1, n) for n in few], packing.best_bounds([(n, k, n * k) for n, k in sorted(Counter(few).items())], 16)) == 0
+
+
 @pytest.mark.parametrize("table", ["ugly", "clashing", "documents"])
 def test_batches(request, table):
     docs = request.getfixturevalue(table)
