@@ -31,6 +31,8 @@ STEP = 1 << 20
 # Presence matrices are built for so many places at a time.
 BATCH_CELLS = 1 << 24
 UNKNOWN = "und"
+# Longest piece, in characters, that ``resemblance`` scores at once; about the length of the texts models are fitted on.
+PIECE = 4096
 # Odd multiplier of the hash: 2^64 over the golden ratio.
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -164,6 +166,43 @@ def fit_on(docs: DataFrame, texts: int = FIT_TEXTS, landmarks: int = LANDMARKS)
 
 # Scoring -------------------------------------------------------------------------------------------------------------
 
+def pieces(text: str, size: int) -> list[str]:
+    """The whole text in as few pieces of almost equal length as hold at most ``size`` characters each."""
+    count = max(1, -(-len(text) // size))
+    cuts = [len(text) * i // count for i in range(count + 1)]
+    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def resemblance(text: str, model: Model, size: int = PIECE) -> float:
+    """Mean over the pieces of a text of the score that ``predict`` gives to a piece; 0 if nothing was learned.
+
+    The score itself falls with the length of a text, as landmarks know a limited number of n-grams; the mean over
+    pieces of bounded length doesn't.  Up to ``size`` characters both are the same.
+    """
+    if not model.languages:
+        return 0.0
+    parts, total = pieces(text, size), 0.0
+    for first in range(0, len(parts), 256):
+        found, share = model.values([presence(p) for p in parts[first:first + 256]])
+        total += float((np.clip(found.max(axis=1), 0.0, 1.0) * share).sum())
+    return total / len(parts)
+
+
+def with_resemblance(docs: DataFrame, model: Model, name: str = "resemblance") -> DataFrame:
+    """The columns of ``docs`` but the text, with the ``resemblance`` of the whole text; 0 without a letter."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kept = replace_columns(docs, **{name: F.col("text")}).drop("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = (t.as_py() for t in batch.column(batch.num_columns - 1))
+            found = [resemblance(t, shared.value) if has_letter(t) else 0.0 for t in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())],
+                                             names=batch.schema.names)
+
+    return kept.mapInArrow(run, kept.drop(name).schema.add(name, "double"))
+
+
 def predict(docs: DataFrame, model: Model, name: str = "lang_pred", value: str = "score") -> DataFrame:
     """The columns of ``docs`` but the text, with ``lang_pred`` and ``score``, or as they are named.
 

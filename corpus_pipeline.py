@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from claimtide.llm import language, mixing, packing, simhash, toxicity
 from claimtide.llm.common import fold, free_name, staged
 
-# A text whose best language has less than this value looks like none of the learned languages.
+# A text whose pieces have less than this value on average looks like none of the learned languages.
 LEAST_LANGUAGE = 0.2
 
 # The rows can't be stated in SQL: three stages apply models that are fitted here, and one draws blocks at random.
@@ -26,11 +26,11 @@ def _documents(df: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those that resemble no learned language."""
-    text, pred, score = (free_name(docs, n) for n in ("text_kept", "lang_found", "lang_value"))
+    """Drops documents without a letter and those that resemble no learned language, however long they are."""
+    text, score = (free_name(docs, n) for n in ("text_kept", "lang_value"))
     model = language.fit_on(docs.filter(fold("doc_id", 4) != 2))
-    judged = language.predict(docs.select("*", F.col("text").alias(text)), model, pred, score)
-    return _documents(judged.filter((F.col(pred) != language.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE)), docs, text)
+    judged = language.with_resemblance(docs.select("*", F.col("text").alias(text)), model, score)
+    return _documents(judged.filter(F.col(score) >= LEAST_LANGUAGE), docs, text)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,9 @@
+import random
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from claimtide.llm import language, mixing, packing, simhash, toxicity
 
@@ -53,6 +57,23 @@ def test_unknown_script_is_rejected(spark):
     assert 10 ** 6 not in kept and len(kept) == docs.count()
 
 
+@pytest.mark.parametrize("share", [0, 0.02])
+def test_very_long_clean_texts_stay(spark, share):
+    """Clean texts of several MB, also with random ids among the words, stay; as long a text in no language goes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rng, signs = random.Random(5), "abcdefghijklmnopqrstuvwxyz0123456789"
+    mixed = []
+    for lang in ("de", "en", "es", "fr"):
+        words = " ".join(r.text for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").collect() if r.text).split()
+        words = words * (3_000_000 // len(" ".join(words)) + 1)
+        mixed.append(" ".join(w + " " + "".join(rng.choices(signs, k=10)) if rng.random() < share else w for w in words))
+    mixed.append("".join(rng.choices(signs, k=3_000_000)))
+    added = spark.createDataFrame([(10 ** 6 + i, t, None) for i, t in enumerate(mixed)], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(added), SF).select("doc_id").collect()
+    assert {r.doc_id for r in kept if r.doc_id >= 10 ** 6} == {10 ** 6 + i for i in range(4)}
+    assert len(kept) == docs.count() + 4
+
+
 def test_run_is_the_chain(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "length", "bucket", "bound", "batch", "place", "padding"] and rows.count() > 100
