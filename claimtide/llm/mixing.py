@@ -15,7 +15,7 @@ from fractions import Fraction
 from math import gcd
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimtide.llm.common import free_name, repeat_rows, replace_columns, row_key, running_total, staged, word_count
@@ -25,7 +25,7 @@ MAX_REPEAT = 3
 MAX_SOURCES = 100_000
 # numpy's hypergeometric draws hold fewer than this many blocks; longer mixes get larger blocks.
 MAX_BLOCKS = 10 ** 9
-# Single documents that may follow the last one that fits, to come nearer to the target.
+# Single documents that may follow the last one that fits; where they leave a source far off, ``_fill`` goes on.
 EXTRA = 3
 KEY = ("doc_id", "source", "text")
 # Facts of all sources up to this size go to every executor.
@@ -109,13 +109,93 @@ def _nearest_documents(beyond: DataFrame, short: dict) -> dict[str | None, list[
     return found
 
 
+def _far_off(beyond: DataFrame, short: dict, extra: dict) -> dict:
+    """What is missing, for sources that ``extra`` leaves further off than a mean document that could have filled it."""
+    off = {s: abs(n - sum(size for _, size in extra[s])) for s, n in short.items()}
+    asked = [(s, float(n)) for s, n in short.items() if n > 0 and off[s] >= 1]
+    if not asked:
+        return {}
+    fit = (_by_source(beyond, asked, "short double").filter(F.col("size") <= F.col("short"))
+           .groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")).collect())
+    return {r.source: short[r.source] for r in fit if off[r.source] * r.docs > r.words}
+
+
+def _fill(beyond: DataFrame, short: dict) -> tuple[dict, dict]:
+    """Fills what each source of ``short`` misses with all documents that still fit, larger size classes first.
+
+    In a class the documents are taken in hash order while they fit, and then the first of the others that does; after
+    it none of the class fits.  At last the smallest document too large for the rest follows, if that comes nearer.
+    ``beyond`` has the words before a document in its class as ``ahead``.  Returns for each source the words by class
+    ``{class: (start, filled)}`` and the single documents ``(position, size, start)``, where ``start`` is the words
+    filled before; and what is missing then.
+    """
+    rest, ranges, single = dict(short), {s: {} for s in short}, {s: [] for s in short}
+    start = {s: 0 for s in short}
+
+    def open_sources():
+        return [(s, float(n)) for s, n in rest.items() if n >= 1]
+
+    found = _by_source(beyond, open_sources(), "short double").filter(F.col("size") <= F.col("short"))
+    for c in sorted((r.kind for r in found.select("kind").distinct().collect()), reverse=True):
+        asked = open_sources()
+        if not asked:
+            break
+        own = _by_source(beyond.filter(F.col("kind") == c), asked, "short double")
+        end = {r.source: r.filled for r in own.filter(F.col("ahead") + F.col("size") <= F.col("short"))
+               .groupBy("source").agg(F.max(F.col("ahead") + F.col("size")).alias("filled")).collect()}
+        for s, n in end.items():
+            ranges[s][c] = (start[s], n)
+            start[s], rest[s] = start[s] + n, rest[s] - n
+        asked = [(s, float(rest[s]), end.get(s, 0)) for s, _ in asked if rest[s] >= 1 << c]
+        if not asked:
+            continue
+        late = _by_source(beyond.filter(F.col("kind") == c), asked, "short double, filled long")
+        for r in late.filter((F.col("ahead") >= F.col("filled")) & (F.col("size") <= F.col("short"))).groupBy(
+                "source").agg(F.min(F.struct("pos", "size")).alias("best")).collect():
+            single[r.source].append((r.best.pos, r.best.size, start[r.source]))
+            start[r.source], rest[r.source] = start[r.source] + r.best.size, rest[r.source] - r.best.size
+    asked = [(s, float(n)) for s, n in rest.items() if n > 0]
+    if asked:
+        had = [(s, n, [pos for pos, *_ in single[s]], [ranges[s].get(c, (0, 0))[1] for c in range(64)]) for s, n in asked]
+        over = _by_source(beyond, had, "short double, had array<long>, filled array<long>").filter(
+            (F.col("size") > F.col("short")) & (F.col("size") < 2 * F.col("short"))
+            & ~F.array_contains("had", F.col("pos")) & (F.col("ahead") >= F.get("filled", F.col("kind"))))
+        for r in over.groupBy("source").agg(F.min(F.struct("size", "pos")).alias("best")).collect():
+            single[r.source].append((r.best.pos, r.best.size, start[r.source]))
+            rest[r.source] -= r.best.size
+    return {s: (ranges[s], single[s]) for s in short}, rest
+
+
+def _with_fills(placed: DataFrame, further: Column, short: dict, extra: dict) -> tuple[DataFrame, dict, dict]:
+    """``placed`` with ``kind`` and ``ahead``, the single documents and the ranges by class that each source takes.
+
+    ``kind`` is the power of two at or below the size of a document that a source's fill may take, -1 for others.
+    """
+    single, ranges = {s: [(pos, n, 0) for pos, n in extra[s]] for s in short}, {s: {} for s in short}
+    far = _far_off(placed.filter(further), short, extra)
+    if not far:
+        return placed.withColumns({"kind": F.lit(-1), "ahead": F.lit(0).cast("long")}), single, ranges
+    marked = _by_source(placed, [(s, s in far) for s in short], "far boolean")
+    kind = F.when(F.col("far") & further, F.length(F.bin("size")) - 1).otherwise(-1)
+    placed = staged(running_total(marked.withColumn("kind", kind).drop("far"), ["source", "kind"], "row_key", "size",
+                                  "ahead", ("doc_id",)))
+    ways, rest = _fill(placed.filter("kind >= 0"), far)
+    for s in far:
+        if abs(rest[s]) < abs(short[s] - sum(n for _, n in extra[s])):
+            ranges[s], single[s] = ways[s]
+    return placed, single, ranges
+
+
 def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: int = 17,
              weights: tuple[int, ...] = WEIGHTS, most: int = MAX_REPEAT) -> DataFrame:
     """Where every document goes: ``doc_id, source, size, row_key, source_size, target, shards``.
 
     ``shards`` has one shard for each time the document is taken, at most ``most``.  A source takes whole passes over
-    its documents, then documents in hash order as long as they fit, then up to three further documents, each nearest in size to what is
-    still missing, if that brings it nearer.  ``row_key`` is the md5 of id, source and text.
+    its documents, then documents in hash order as long as they fit, then up to three further documents, each nearest
+    in size to what is still missing, if that brings it nearer.  If these leave the source further off than the mean
+    of the documents that could have filled the gap, all documents that still fit are taken in their place, larger size
+    classes first and in hash order in a class, and one that overshoots only if it comes nearer; of both ways the
+    nearer one counts.  ``row_key`` is the md5 of id, source and text.
 
     NULL texts and texts without words have size 0; NULL is a source of its own, last in order.  Rows equal in id,
     source and text are separate documents of the stream.  A NULL id takes part like any other.  A source without
@@ -134,10 +214,12 @@ def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: in
     fits = F.col("pos") + F.col("size") <= F.col("missing")
     end = {r.source: r.filled or 0 for r in placed.groupBy("source").agg(
         F.max(F.when(fits, F.col("pos") + F.col("size"))).alias("filled")).collect()}
-    extra = _nearest_documents(placed.filter(~fits & (F.col("size") > 0)),
-                               {s: missing - end.get(s, 0) for s, _, _, _, missing in info})
-
-    taken = [full * total + end.get(s, 0) + sum(n for _, n in extra[s]) for s, total, _, full, _ in info]
+    short = {s: missing - end.get(s, 0) for s, _, _, _, missing in info}
+    further = ~fits & (F.col("size") > 0)
+    extra = _nearest_documents(placed.filter(further), short)
+    placed, extra, ranges = _with_fills(placed, further, short, extra)
+    extra_words = {s: sum(n for _, n, _ in extra[s]) + sum(n for _, n in ranges[s].values()) for s in short}
+    taken = [full * total + end.get(s, 0) + extra_words[s] for s, total, _, full, _ in info]
     while sum(t // block_words + 1 for t in taken) >= MAX_BLOCKS:
         block_words *= 2
     blocks = [t // block_words + 1 for t in taken]
@@ -147,14 +229,23 @@ def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: in
         step = max(1, blocks[i] * 618 // 1000)
         while gcd(step, blocks[i]) != 1:
             step += 1
-        drawn.append((name, end.get(name, 0), blocks[i], step, [int(row[i]) for row in upto], [p for p, _ in extra[name]]))
-    planned = _by_source(placed, drawn, "filled long, blocks long, step long, upto array<long>, extra array<long>")
-    once_more = fits | ((F.col("size") > 0) & F.array_contains("extra", F.col("pos")))
+        last = max(ranges[name], default=-1) + 1
+        drawn.append((name, end.get(name, 0), blocks[i], step, [int(row[i]) for row in upto],
+                      [pos for pos, _, _ in extra[name]], [at for _, _, at in extra[name]],
+                      [ranges[name].get(c, (0, 0))[0] for c in range(last)],
+                      [ranges[name].get(c, (0, 0))[1] for c in range(last)]))
+    planned = _by_source(placed, drawn, "filled long, blocks long, step long, upto array<long>, extra array<long>, "
+                         "extra_at array<long>, range_at array<long>, range_words array<long>")
+    ranged = F.coalesce(F.col("ahead") + F.col("size") <= F.get("range_words", F.col("kind")), F.lit(False))
+    alone = (F.col("size") > 0) & F.array_contains("extra", F.col("pos"))
+    once_more = fits | ranged | alone
+    behind = (F.when(ranged, F.get("range_at", F.col("kind")) + F.col("ahead"))
+              .when(alone, F.get("extra_at", (F.array_position("extra", F.col("pos")) - 1).cast("int"))).otherwise(0))
 
     def shard(time):
         """The shard that drew the block in which this pass over the document begins."""
         start = F.when(time < F.col("passes"), time * F.col("source_size") + F.col("pos")).otherwise(
-            F.col("passes") * F.col("source_size") + F.least("pos", "filled"))
+            F.col("passes") * F.col("source_size") + F.least("pos", "filled") + behind)
         block = (F.floor(start / F.lit(block_words)) * F.col("step")) % F.col("blocks")
         return F.size(F.filter(F.col("upto"), lambda end_of: end_of <= block))
 

@@ -121,6 +121,18 @@ def test_mix(request, table):
     assert Counter(r.shard for r in rows) == Counter(s for r in plan for s in r.shards)
 
 
+@pytest.mark.parametrize("doc_id, long, weights", [(-2, 300_000, (1, 5)), (-1, 100_000, (3, 11))])
+def test_one_document_far_larger_than_the_gap(spark, doc_id, long, weights):
+    """Short documents fill what a very long one would leave open or overshoot, and are dealt over all shards."""
+    rows = [(i, "a " * (50 + i % 100), "big") for i in range(2_000)]
+    rows += [(doc_id, "b " * long, "big"), (-3, "c " * 400_000, "small")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan_mix(docs, shards=5, block_words=64, weights=weights).collect()
+    taken = sum(len(r.shards) * r["size"] for r in plan if r.source == "big")
+    assert abs(taken - next(r.target for r in plan if r.source == "big")) <= 50
+    assert len({s for r in plan if r.source == "big" for s in r.shards}) == 5
+
+
 def _copies(plan, source):
     import hashlib
     drawn = Counter()
