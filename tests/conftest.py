@@ -26,9 +26,3 @@ def frame(spark):
     def build(schema, *rows):
         return spark.createDataFrame([tuple(r) for r in rows], schema)
     return build
-
-
-def values(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*[f"`{c}`" for c in columns]) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimtide.operators import latest, quality, reference, rollup, standardise, status
-from conftest import values
+from helpers import values
 
 D = dt.date
 

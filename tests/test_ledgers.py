@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from claimtide.operators import appeals, ledger, period, revenue_lines, rollup, views
-from conftest import values
+from helpers import values
 
 D = dt.date
 M = Decimal

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimtide import rules
 from claimtide.operators import policy, risk, standardise
 from claimtide.plans import reports
-from conftest import values
+from helpers import values
 
 CRITERIA = (policy.Criterion("node", "Node", ("N0", "N1")), policy.Criterion("er", "ER", ("N0", "+")))
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimtide.operators import quality, reference, revenue_lines, rollup
-from conftest import values
+from helpers import values
 
 N = 30000
 

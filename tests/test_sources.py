@@ -6,7 +6,7 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 
 from claimtide import sources
 from claimtide.session import stage, staging_dir
-from conftest import values
+from helpers import values
 
 SCHEMA = StructType([StructField("id", StringType()), StructField("n", IntegerType()), StructField("d", DateType())])
 
