@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import kdtree, language, lattice, mixing, packing, quantized, sharding, simhash, toxicity, warc
+from claimtide.llm import (kdtree, language, lattice, merkle, mixing, packing, quantized, sharding, simhash, toxicity,
+                           warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -188,3 +189,37 @@ def op1(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lattice.score_corpus(docs).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+FRAMED = "case when {0} is null then '-' else strlen(cast({0} as varchar)) || ':' || {0} end"
+LEAF = "sha256(" + " || ".join(FRAMED.format(f) for f in merkle.FIELDS) + ")"
+SHOWN = "sha256(" + " || ".join(FRAMED.format("(n_chars::hugeint + struck)" if f == "n_chars" else f) for f in merkle.FIELDS) + ")"
+# Levels from the leaves up, and the way of each leaf through them: ``fold`` is made from what is shown.
+LEVELS = """{nodes}(label, lvl, pos, h, n) as (select label, 0, pos, h, n from {leaves}
+  union all select label, lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (n + 1) // 2 from {nodes} where n > 1
+  group by label, lvl, pos // 2, n),
+{walk}(id, label, lvl, pos, n, proof, fold) as (select id, label, 0, pos, n, proof, fold from {starts}
+  union all select w.id, w.label, w.lvl + 1, w.pos // 2, (w.n + 1) // 2, w.proof || coalesce(s.h, ''),
+    sha256(case when s.pos < w.pos then s.h || w.fold else w.fold || coalesce(s.h, '') end)
+  from {walk} w left join {nodes} s on s.label = w.label and s.lvl = w.lvl and s.pos = xor(w.pos, 1) where w.n > 1)"""
+
+
+@register("op11_merkle_manifest", f"""
+with recursive crcs as materialized ({CRC_TABLE}),
+struck as (select *, cast(doc_id is not null and xor(list_reduce(list_prepend(4294967295::bigint,
+    list_transform(regexp_extract_all(hex(encode(coalesce(cast(doc_id as varchar), ''))), '..'), lambda b: cast(('0x' || b) as bigint))),
+    lambda c, x: xor(c >> 8, crcs[1 + cast(xor(c, x) & 255 as int)])), 4294967295) % 7 = 0 as int) as struck from documents, crcs),
+hashed as (select doc_id, case when lang is null then '' else '+' || lang end as label, {LEAF} as h, {SHOWN} as fold from struck),
+leaves as materialized (select *, '' as proof, row_number() over () as id, count(*) over (partition by label) as n,
+  row_number() over (partition by label order by doc_id nulls first, h) - 1 as pos from hashed),
+{LEVELS.format(nodes="nodes", walk="walk", leaves="leaves", starts="leaves")},
+subs as materialized (select '' as label, label as lang, h, row_number() over (order by label) - 1 as pos, count(*) over () as n
+  from nodes where n = 1),
+starts as (select w.id, s.label, s.pos, s.n, w.proof, w.fold from walk w join subs s on s.lang = w.label where w.n = 1),
+{LEVELS.format(nodes="tops", walk="ways", leaves="subs", starts="starts")}
+select doc_id, l.h as leaf, s.h as subroot, r.h as root, sha256(w.proof) as proof_sha256, w.fold as folded_root, w.fold = r.h as verified
+from leaves l join ways w on w.id = l.id and w.n = 1 join subs s on s.lang = l.label join tops r on r.n = 1""")
+def op11(spark, sf_dir):
+    found = merkle.verify_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("steps")), 256).alias("proof_sha256"),
+                        "folded_root", "verified")
