@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import (kdtree, language, lattice, merkle, mixing, packing, quantized, sharding, simhash, toxicity,
-                           warc)
+from claimtide.llm import (bytepair, kdtree, language, lattice, merkle, mixing, packing, quantized, sharding, simhash,
+                           toxicity, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -223,3 +223,11 @@ def op11(spark, sf_dir):
     found = merkle.verify_documents(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("steps")), 256).alias("proof_sha256"),
                         "folded_root", "verified")
+
+
+@register("op13_byte_bpe")
+def op13(spark, sf_dir):
+    encoded = bytepair.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), packed=True)
+    return bytepair.decode_documents(encoded).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
