@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import (bytepair, kdtree, language, lattice, merkle, mixing, packing, quantized, sharding, simhash,
-                           toxicity, warc)
+from claimtide.llm import (bytepair, kdtree, language, lattice, merkle, mixing, packing, phrases, quantized, sharding,
+                           simhash, toxicity, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -231,3 +231,30 @@ def op13(spark, sf_dir):
     return bytepair.decode_documents(encoded).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+CUT = """select p.lang, p.phrase, p.a, {k} as k, h.f as l, t.f as r, (2000000::hugeint * p.a) // (h.f::hugeint + t.f) as score
+  from f p join f h on h.lang = p.lang and h.phrase = array_to_string(p.w[1:{k}], ' ')
+  join f t on t.lang = p.lang and t.phrase = array_to_string(p.w[{k} + 1:], ' ') where len(p.w) > {k}"""
+
+
+@register("op12_phrase_stripes", f"""
+with pieces as materialized (select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as w from documents),
+f as materialized (select lang, w, array_to_string(w, ' ') as phrase, count(*) as f, count(*) as a from (
+    {' union all '.join(f"select lang, unnest(list_transform(range(1, len(w) - {m} + 2), lambda i: w[i:i + {m} - 1])) as w from pieces where len(w) >= {m}" for m in range(1, 5))})
+  group by lang, w having count(*) >= 30),
+total as (select lang, cast(sum(len(w)) as bigint) as n from pieces group by lang),
+longer as (select lang, phrase, max(f) as most from (
+    select lang, array_to_string(w[1:-2], ' ') as phrase, f from f where len(w) > 2
+    union all select lang, array_to_string(w[2:], ' '), f from f where len(w) > 2) group by lang, phrase),
+cuts as ({' union all '.join(CUT.format(k=k) for k in range(1, 4))}),
+scored as (select lang, phrase, any_value(a) as a, min({{'score': score, 'k': k, 'l': l, 'r': r}}) as b from cuts group by lang, phrase),
+ranked as (select s.lang, s.phrase, s.a, s.b.l as l, s.b.r as r, n, cast(s.b.score as bigint) as score,
+    row_number() over (partition by s.lang order by s.b.score desc, s.a desc, s.phrase) as rank
+  from scored s join total using (lang) left join longer g on g.lang = s.lang and g.phrase = s.phrase
+  where 100::hugeint * coalesce(g.most, 0) < 80::hugeint * s.a)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000""")
+def op12(spark, sf_dir):
+    found = phrases.mine_phrases(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
