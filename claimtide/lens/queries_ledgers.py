@@ -152,11 +152,11 @@ from journal_revenue where cash <> 0"""
 JOURNAL_SQL = {**PAY, "bill_std": BILL_STD, **PERIOD_PARTS, "journal_revenue": JOURNAL_REVENUE, "journal": JOURNAL}
 
 
-def journal(t: Tables):
+def journal(t: Tables, base=None):
     bill, payment, revenue = period_inputs(t)
+    base = period.staged_base(bill, payment, revenue, headers=False) if base is None else base
     signed = rollup.normalise_payment_sign(payment)
-    last = period.latest_period(bill, payment, revenue)
-    return ledger.ticket_journal(bill, signed, revenue, last)
+    return ledger.ticket_journal(bill, signed, revenue, period.base_period(base), totals=base)
 
 
 @register("q_journal", "bill payment adjustment_code revenue", "select * from journal", **JOURNAL_SQL)
@@ -178,9 +178,9 @@ left join (select oli_id, count(distinct ticket_no) as ticket_cnt from bill grou
 left join hierarchy h on case when txn_category = 'Revenue' then r.plan else k.plan end = h.tier4_payor_id""",
           **JOURNAL_SQL, **{k: v for k, v in HEADS.items() if k != "bill_std"})
 def journal_v1(t):
-    bill, payment, revenue = period_inputs(t)
+    base = period.staged_base(*period_inputs(t))
     payors = hierarchy(t).select("tier4_payor_id", "tier4_payor", "financial_category")
-    out = period.attributed_journal(journal(t), bill, revenue, t.oli, payors, payor_of="claim")
+    out = period.attributed_journal(journal(t, base), base, t.oli, payors, payor_of="claim")
     return out.drop("tier4_payor_id")
 
 
@@ -195,9 +195,9 @@ left join (select oli_id, count(distinct ticket_no) as ticket_cnt from bill grou
 left join hierarchy h on r.plan = h.tier4_payor_id""",
           **JOURNAL_SQL, **{k: v for k, v in HEADS.items() if k != "bill_std"})
 def journal_v2(t):
-    bill, payment, revenue = period_inputs(t)
+    base = period.staged_base(*period_inputs(t))
     payors = hierarchy(t).select("tier4_payor_id", "tier4_payor", "financial_category")
-    out = period.attributed_journal(journal(t), bill, revenue, t.oli, payors, payor_of="revenue",
+    out = period.attributed_journal(journal(t, base), base, t.oli, payors, payor_of="revenue",
                                     oli_columns=("territory", "business_unit"))
     return out.drop("tier4_payor_id")
 

@@ -85,17 +85,15 @@ JOURNAL_COLUMNS = ("oli_id", "ticket_no", "txn_line", "acct_period", "txn_date",
                    "house_adj_code", "adj_group")
 
 
-def claim_entries(bill: DataFrame) -> DataFrame:
-    return bill.select("oli_id", "ticket_no", F.lit(-1).alias("txn_line"), "acct_period", "txn_date",
-                       "currency", "txn_amount", F.lit("Billing").alias("txn_category"),
-                       F.lit("Charge").alias("txn_type"))
-
-
-def outstanding_entries(bill: DataFrame, period: Column) -> DataFrame:
-    """Open balances, booked on the report period."""
-    return bill.select("oli_id", "ticket_no", F.lit(-2).alias("txn_line"), period.alias("acct_period"),
-                       period.alias("txn_date"), "currency", F.col("ticket_balance").alias("txn_amount"),
-                       F.lit("Outstanding").alias("txn_category"), F.lit("Outstanding").alias("txn_type"))
+def claim_entries(bill: DataFrame, period: Column) -> DataFrame:
+    """Claims, and open balances booked on the report period, in one pass over the claim file."""
+    def entry(line, on, day, amount, kind):
+        return F.struct(F.lit(line).alias("txn_line"), on.alias("acct_period"), day.alias("txn_date"),
+                        F.col(amount).alias("txn_amount"), F.lit(kind[0]).alias("txn_category"),
+                        F.lit(kind[1]).alias("txn_type"))
+    both = F.array(entry(-1, F.col("acct_period"), F.col("txn_date"), "txn_amount", ("Billing", "Charge")),
+                   entry(-2, period, period, "ticket_balance", ("Outstanding", "Outstanding")))
+    return bill.select("oli_id", "ticket_no", "currency", F.inline(both))
 
 
 def payment_entries(payment: DataFrame) -> DataFrame:
@@ -115,6 +113,10 @@ def payment_entries(payment: DataFrame) -> DataFrame:
         "vendor_adj_code", "adj_desc", "house_adj_code", "adj_group")
 
 
+# Type and line number of the journal's revenue rows.
+REVENUE_TYPES = {"accrual": ("AccrualRevenue", -3), "cash": ("CashRevenue", -4)}
+
+
 def revenue_entries(revenue: DataFrame, agg: str = "sum",
                     metrics: Mapping[str, tuple[str, int]] | None = None) -> DataFrame:
     """Recognised revenue per order line, ticket and period as journal rows.
@@ -122,12 +124,17 @@ def revenue_entries(revenue: DataFrame, agg: str = "sum",
     The default sums several rows of a key, so that the journal reconciles with
     the period report; ``agg='mean'`` averages them.
     """
-    metrics = metrics or {"accrual": ("AccrualRevenue", -3), "cash": ("CashRevenue", -4)}
+    metrics = metrics or REVENUE_TYPES
     keys = ["oli_id", "ticket_no", "period"]
     total = {"sum": F.sum, "mean": F.avg}[agg]
     sums = (revenue.filter(all_present(keys)).groupBy(*keys)
             .agg(*[total(m).alias(name) for m, (name, _) in metrics.items()]))
-    long = unpivot_amounts(sums, keys, [name for name, _ in metrics.values()])
+    return revenue_rows(sums, metrics)
+
+
+def revenue_rows(sums: DataFrame, metrics: Mapping[str, tuple[str, int]] = REVENUE_TYPES) -> DataFrame:
+    """Journal rows from revenue per order line, ticket and period, a column for each type."""
+    long = unpivot_amounts(sums, ["oli_id", "ticket_no", "period"], [name for name, _ in metrics.values()])
     line = first_match([(F.col("txn_type") == name, F.lit(no)) for name, no in metrics.values()])
     return long.select("oli_id", "ticket_no", line.alias("txn_line"), F.col("period").alias("acct_period"),
                        F.col("period").alias("txn_date"), "txn_amount",
@@ -143,21 +150,21 @@ def report_period(*periods: DataFrame) -> Column:
     return out.agg(F.max("period")).scalar()
 
 
-def receipt_entries(bill: DataFrame, payment: DataFrame, period: Column) -> DataFrame:
-    """Journal rows of the vendor: claims, payments and open balances.
+def ticket_journal(bill: DataFrame, payment: DataFrame, revenue: DataFrame, period: Column,
+                   agg: str = "sum", totals: DataFrame | None = None) -> DataFrame:
+    """Transaction journal: what happened to a ticket in which period, zeros left out.
 
-    ``payment`` has normalised signs.
+    ``payment`` has normalised signs.  ``totals`` are revenue sums by order line, ticket and ``acct_period``, where they
+    exist already: the revenue file is not read again then.
     """
-    return (claim_entries(bill)
-            .unionByName(payment_entries(payment), allowMissingColumns=True)
-            .unionByName(outstanding_entries(bill, period), allowMissingColumns=True))
-
-
-def ticket_journal(bill: DataFrame, payment: DataFrame, revenue: DataFrame, period: Column,
-                   agg: str = "sum") -> DataFrame:
-    """Transaction journal: what happened to a ticket in which period, zeros left out."""
-    rows = receipt_entries(bill, payment, period)
-    rows = rows.unionByName(revenue_entries(revenue, agg), allowMissingColumns=True)
+    if totals is None or agg != "sum":
+        earned = revenue_entries(revenue, agg)
+    else:
+        earned = revenue_rows(totals.filter(all_present(["oli_id", "ticket_no", "acct_period"])).select(
+            "oli_id", "ticket_no", F.col("acct_period").alias("period"),
+            F.col("accrual_revenue").alias(REVENUE_TYPES["accrual"][0]), F.col("cash_revenue").alias(REVENUE_TYPES["cash"][0])))
+    rows = (claim_entries(bill, period).unionByName(payment_entries(payment), allowMissingColumns=True)
+            .unionByName(earned, allowMissingColumns=True))
     return rows.filter(not_zero("txn_amount")).select(*JOURNAL_COLUMNS)
 
 

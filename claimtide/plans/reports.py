@@ -130,20 +130,27 @@ def appeals_detail(claim: DataFrame, test: str, business_unit: str = "Domestic")
 
 # R8 - R10: ticket and period -----------------------------------------------
 
-def accounting_period(t: ClaimTables, oli_columns: Sequence[str] = (), flip_after: bool = False) -> DataFrame:
-    """Payor monthly report.  ``flip_after`` gives the criteria layout."""
+def period_base(t: ClaimTables) -> DataFrame:
+    """One pass over bills, payments and revenue, written: monthly report and journals share it."""
+    return period.staged_base(t.bill, t.payment, quality.reconciled(t.revenue))
+
+
+def accounting_period(t: ClaimTables, oli_columns: Sequence[str] = (), flip_after: bool = False,
+                      base: DataFrame | None = None) -> DataFrame:
+    """Payor monthly report.  ``flip_after`` gives the criteria layout, which has a base of its own."""
     revenue = quality.reconciled(t.revenue)
     return period.period_report(t.bill, t.payment, revenue, t.oli, flagged_payors(t), oli_columns=oli_columns,
-                                flip_after=flip_after)
+                                flip_after=flip_after, base=None if flip_after else base)
 
 
-def ticket_journal(t: ClaimTables, version: int = 2, oli_columns: Sequence[str] = (), agg: str = "sum") -> DataFrame:
+def ticket_journal(t: ClaimTables, version: int = 2, oli_columns: Sequence[str] = (), agg: str = "sum",
+                   base: DataFrame | None = None) -> DataFrame:
     """Ticket transactions; version 1 by the payor of the claim, 2 by the payor
     of the revenue file, with prior authorisation and payor view sets."""
-    revenue = quality.reconciled(t.revenue)
+    base = period_base(t) if base is None else base
     signed = rollup.normalise_payment_sign(t.payment)
-    rows = ledger.ticket_journal(t.bill, signed, revenue, period.latest_period(t.bill, t.payment, revenue), agg)
-    out = period.attributed_journal(rows, t.bill, revenue, t.oli, flagged_payors(t) if version == 2 else t.payors,
+    rows = ledger.ticket_journal(t.bill, signed, quality.reconciled(t.revenue), period.base_period(base), agg, base)
+    out = period.attributed_journal(rows, base, t.oli, flagged_payors(t) if version == 2 else t.payors,
                                     payor_of="revenue" if version == 2 else "claim", oli_columns=oli_columns)
     if version == 2:
         if t.prior_auth is not None:
@@ -315,11 +322,13 @@ def write_claim_reports(t: ClaimTables, folder: str, delimited: bool = False,
 
 def write_period_reports(t: ClaimTables, folder: str, oli_columns: Sequence[str] = (), delimited: bool = False) -> None:
     """Payor monthly report with zeros shown as blanks, its criteria layout, and the three ticket journals."""
-    monthly = accounting_period(t, oli_columns)
+    base = period_base(t)
+    monthly = accounting_period(t, oli_columns, base=base)
     shown = period.blank_zeros(monthly, [c for c in C.PERIOD_DISPLAY if c in monthly.columns])
     write_reports({
         "accounting_period": shown, "accounting_period_criteria": accounting_period(t, oli_columns, flip_after=True),
-        "ticket_journal_v1": ticket_journal(t, 1, oli_columns), "ticket_journal_v2": ticket_journal(t, 2, oli_columns),
+        "ticket_journal_v1": ticket_journal(t, 1, oli_columns, base=base),
+        "ticket_journal_v2": ticket_journal(t, 2, oli_columns, base=base),
         "ticket_journal_criteria": ticket_journal_criteria(t)}, folder, delimited)
 
 
