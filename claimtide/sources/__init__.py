@@ -1,6 +1,7 @@
 from claimtide.sources.dictionary import apply_dictionary  # noqa: F401
 from claimtide.sources.loaders import load_case, load_order_line, load_revenue  # noqa: F401
 from claimtide.sources.readers import (  # noqa: F401
-    jdbc_options, load_snapshot, order_case_extract, read_delimited, read_jdbc, read_reference, read_since,
-    split_delimited)
-from claimtide.sources.writers import refresh_log, write_delimited, write_table  # noqa: F401
+    Delimited, jdbc_options, load_snapshot, order_case_extract, read_delimited, read_jdbc, read_reference, read_since,
+    snapshot_versions, split_delimited)
+from claimtide.sources.writers import (  # noqa: F401
+    Control, ROWS_PER_FILE, log_controls, refresh_log, write_delimited, write_ordered, write_table)

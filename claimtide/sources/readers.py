@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
-from claimtide.operators.quality import Split
+from pyspark.sql.types import StringType, StructType
 
 BOM = "﻿"
+# Not a character in any text.
+NO_CHARACTER = "\uffff"
 
 
 def jdbc_options(url: str, query: str, partition_column: str | None = None, bounds: tuple | None = None,
@@ -33,28 +36,63 @@ def read_jdbc(spark: SparkSession, url: str, query: str, **options) -> DataFrame
 
 def load_snapshot(spark: SparkSession, path: str, pull: Callable[[], DataFrame] | None = None,
                   refresh: bool = False, schema: StructType | None = None) -> DataFrame:
-    """Refresh the saved Parquet copy first when asked to; always read the copy.
+    """Refresh the saved copy first when asked to; always read the copy.
 
-    Both ways give the same types: those of ``schema`` where given.
+    A refresh writes a new version beside the old ones and then names it in the folder's list of versions, which is the
+    last thing that happens: if the pull or the write fails half-way, the version before holds, and a reader never sees
+    a part of one.  Versions stay until they are deleted by hand.  A folder without a list is a plain copy.  Both ways give
+    the same types: those of ``schema`` where given.
     """
     if refresh:
         df = pull()
         if schema is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-        df.write.mode("overwrite").parquet(path)
+        last = snapshot_versions(spark, path)
+        version = f"v{uuid.uuid4().hex}"
+        df.write.parquet(f"{path}/{version}")
+        _versions(spark, [(last[-1][0] + 1 if last else 1, version)]).write.mode("append").parquet(f"{path}/{VERSIONS}")
+    versions = snapshot_versions(spark, path)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    return reader.parquet(f"{path}/{versions[-1][1]}" if versions else path)
+
+
+VERSIONS = "versions"
+
+
+def _versions(spark: SparkSession, rows: list[tuple[int, str]]) -> DataFrame:
+    return spark.createDataFrame(rows, "number long, version string").coalesce(1)
+
+
+def snapshot_versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Numbers and folders of the complete versions of a snapshot, oldest first; one row per refresh."""
+    try:
+        listed = spark.read.schema("number long, version string").parquet(f"{path}/{VERSIONS}").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted((r.number, r.version) for r in listed)
+
+
+class Delimited(NamedTuple):
+    """Rows of a delimited extract, and the lines that don't fit it."""
+
+    kept: DataFrame
+    rejected: DataFrame
 
 
 def split_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = "|",
-                    encoding: str = "ISO-8859-1", quoted: bool = True) -> Split:
+                    encoding: str = "ISO-8859-1", quoted: bool = True) -> Delimited:
     """Delimited text with a header: its rows, and the lines that have too many fields.
 
-    A line has too many fields if one behind the last column holds a value; a separator at its end does no harm.
-    Lines with too few fields are padded with NULL, empty fields are NULL, and so is a value that its type in
-    ``schema`` can't hold.  Without a schema every column is text.  ``quoted=False`` reads quote marks as data.  A byte
-    order mark before the first header is removed.  All fields are read as text, with one more behind the last, so
-    what is kept does not depend on the columns that are asked for.
+    Lines are read as text and their fields counted, a separator inside quote marks being part of its field.  A line
+    has too many fields if any one behind the last column holds a value; separators at its end do no harm.  Lines with
+    too few fields are padded with NULL, empty fields are NULL, and so is a value that its type in ``schema`` can't
+    hold.  Without a schema every column is text.  ``quoted=False`` reads quote marks as data.  A byte order mark before
+    the first header is removed.  What is kept does not depend on the columns that are asked for.
+
+    ``rejected`` has the columns as text, ``more`` (what stands behind the last one), ``file``, ``record`` (number of
+    the line in its file, from 1, without the header and blank lines), ``reason`` and the ``line``.
     """
     reader = spark.read.option("sep", sep).option("encoding", encoding).option("header", True)
     if not quoted:
@@ -65,16 +103,31 @@ def split_delimited(spark: SparkSession, path: str, schema: StructType | None =
             names[0] = names[0].removeprefix(mark)
     else:
         names = schema.names
-    fields = [f"c{i}" for i in range(len(names))]
-    text = StructType([StructField(f, StringType()) for f in (*fields, "more")])
-    lines = (reader.option("mode", "PERMISSIVE").option("enforceSchema", True)
-             .schema(text).csv(path))
-    value = {f: F.when(F.col(f) != "", F.col(f)) for f in fields}
+    # One column and a separator that no text holds: whole lines, without each file's header and blank lines.
+    lines = (spark.read.option("sep", NO_CHARACTER).option("quote", "").option("header", True)
+             .option("enforceSchema", True).option("encoding", encoding).schema("line string").csv(path)
+             .select("line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("at")))
+    apart = f"\\Q{sep}\\E"
+    field = r'("(?:[^"\\]|\\.|"")*"[^%s]*|[^%s]*)' % (2 * (f"\\Q{sep}\\E",)) if quoted else f"([^{apart}]*)"
+    fields = F.regexp_extract_all(F.concat(F.lit(sep), "line"), F.lit(apart + field), F.lit(1))
+    beyond = F.slice(fields, len(names) + 1, F.greatest(F.size(fields) - len(names), F.lit(0)))
+    options = {"sep": sep, "mode": "PERMISSIVE", **({} if quoted else {"quote": ""})}
+    parsed = lines.select("*", F.from_csv("line", ", ".join(f"c{i} string" for i in range(len(names))), options).alias("v"),
+                          beyond.alias("beyond"))
+    more = F.exists("beyond", lambda x: ~x.isin("", '""'))
+    value = [F.when(F.col(f"v.c{i}") != "", F.col(f"v.c{i}")) for i in range(len(names))]
     kinds = [f.dataType for f in schema] if schema is not None else [StringType()] * len(names)
-    kept = lines.filter(F.col("more").isNull()).select(
-        *[value[f].try_cast(kind).alias(n) for f, kind, n in zip(fields, kinds, names)])
-    rejected = lines.filter(F.col("more").isNotNull()).select(*[value[f].alias(n) for f, n in zip(fields, names)], "more")
-    return Split(kept, rejected)
+    kept = parsed.filter(~more).select(*[v.try_cast(kind).alias(n) for v, kind, n in zip(value, kinds, names)])
+    # Lines are numbered by the blocks that a file is read in; only their counts meet.
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = blocks.select("file", "block", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("start"))
+    reason = F.concat(F.lit("more fields than columns: "), F.size("beyond") + len(names), F.lit(f" for {len(names)}"))
+    rejected = parsed.filter(more).join(starts, ["file", "block"]).select(
+        *[v.alias(n) for v, n in zip(value, names)], F.array_join("beyond", sep).alias("more"), "file",
+        (F.col("at") + F.col("start")).alias("record"), reason.alias("reason"), "line")
+    return Delimited(kept, rejected)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = "|",

@@ -34,6 +34,34 @@ def test_kept_lines_do_not_depend_on_the_columns_read(spark, tmp_path):
     assert {t for _, t in untyped.dtypes} == {"string"} and ("y", "oops") in values(untyped, "id", "n")
 
 
+def test_every_field_behind_the_last_column_counts(spark, tmp_path):
+    path = tmp_path / "in.txt"
+    path.write_text('a|b\n1|2\n3|4||9\n\n5|6|||\n"x|y"|7\n8|"q|r"|\n9|"half|10\n|11\n12|13|"z"\n14|15|""\n')
+    kept, rejected = sources.split_delimited(spark, str(path), encoding="UTF-8")
+    want = [("1", "2"), ("5", "6"), ("x|y", "7"), ("8", "q|r"), (None, "11"), ("14", "15")]
+    assert [r for r in values(kept) if "half" not in str(r)] == sorted(want, key=repr)
+    for i, c in enumerate(kept.columns):
+        assert len(values(kept, c)) == kept.count() == kept.select(c).count()
+    got = {r.record: (r.a, r.more, r.reason, r.line) for r in rejected.collect()}
+    assert got[2] == ("3", "|9", "more fields than columns: 4 for 2", "3|4||9")
+    assert got[8][:2] == ("12", '"z"') and kept.count() + rejected.count() == 9
+    assert {r.file.rsplit("/", 1)[1] for r in rejected.collect()} == {"in.txt"}
+
+
+def test_rejected_lines_keep_their_number_over_blocks_and_files(spark, tmp_path):
+    for name in ("a", "b"):
+        lines = [f"{i}|x|extra" if i % 100 == 0 else f"{i}|x" for i in range(1, 3001)]
+        (tmp_path / f"{name}.txt").write_text("\n".join(["n|t", *lines]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        kept, rejected = sources.split_delimited(spark, str(tmp_path), encoding="UTF-8")
+        rows = rejected.collect()
+        assert len(rows) == 60 and all(r.record == int(r.n) for r in rows) and kept.count() == 5940
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_database_reads_are_split(spark):
     options = sources.jdbc_options("jdbc:x", "select 1", partition_column="id", bounds=(1, 9), partitions=4, user="u")
     assert options == {"url": "jdbc:x", "fetchsize": "10000", "user": "u", "dbtable": "(select 1) q", "partitionColumn": "id",
@@ -78,6 +106,26 @@ def test_snapshot(spark, tmp_path, frame):
     assert fresh.dtypes == saved.dtypes == [("id", "string"), ("n", "int"), ("d", "date")]
 
 
+def test_a_pull_that_fails_leaves_the_snapshot(spark, tmp_path, frame):
+    path = str(tmp_path / "snap")
+    sources.load_snapshot(spark, path, lambda: frame("id int", (1,), (2,)), refresh=True)
+
+    def breaks():
+        return frame("id int", (3,), (4,)).select(F.when(F.col("id") < 4, F.col("id")).otherwise(
+            F.raise_error(F.lit("connection lost")).cast("int")).alias("id"))
+
+    with pytest.raises(Exception, match="connection lost"):
+        sources.load_snapshot(spark, path, breaks, refresh=True)
+    assert values(sources.load_snapshot(spark, path)) == [(1,), (2,)]
+    held = sources.load_snapshot(spark, path)
+    sources.load_snapshot(spark, path, lambda: frame("id int", (5,)), refresh=True)
+    assert values(sources.load_snapshot(spark, path)) == [(5,)] and values(held) == [(1,), (2,)]
+    assert [n for n, _ in sources.snapshot_versions(spark, path)] == [1, 2]
+    plain = str(tmp_path / "plain")
+    frame("id int", (7,)).write.parquet(plain)
+    assert values(sources.load_snapshot(spark, plain)) == [(7,)]
+
+
 def test_dictionary(frame):
     df = frame("A string, B string, C string", ("1.5", "x", "y"))
     entries = [{"source": "A", "name": "amount", "type": "float", "usages": ["claims"]},
@@ -113,6 +161,31 @@ def test_staging_uses_the_configured_folder(spark, frame):
         spark.conf.get("spark.checkpoint.dir").lstrip("/"))
 
 
+def test_reports_are_written_in_order_with_control_totals(spark, tmp_path, frame):
+    import decimal
+    from claimtide.plans import reports
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") * 7919 % 997).cast("string")).alias("oli_id"), (F.col("id") % 13).alias("ticket_no"),
+        (F.col("id") % 5).alias("txn_line"), F.col("id").cast("decimal(12,2)").alias("txn_amount"))
+    none = rows.limit(0)
+    folder = str(tmp_path / "out")
+    found = reports.write_reports({"ticket_journal_v2": rows, "ticket_journal_v1": none}, folder, rows_per_file=300)
+    assert [(c.report, c.rows, c.sums["txn_amount"]) for c in found] == [
+        ("ticket_journal_v2", 2000, decimal.Decimal(1999000)), ("ticket_journal_v1", 0, None)]
+    back = spark.read.parquet(f"{folder}/ticket_journal_v2").withColumn("f", F.col("_metadata.file_name"))
+    files = {}
+    for r in back.withColumn("at", F.monotonically_increasing_id()).orderBy("f", "at").collect():
+        files.setdefault(r.f, []).append((r.oli_id is None, r.oli_id or "", r.ticket_no, -r.txn_line))
+    whole = [key for f in sorted(files) for key in files[f]]
+    assert whole == sorted(whole) and len(whole) == 2000 and max(map(len, files.values())) <= 300
+    log = values(spark.read.parquet(f"{folder}/control"), "report", "column_name", "row_cnt", "total")
+    assert ("ticket_journal_v2", None, 2000, None) in log and len(log) == 4
+    reports.write_reports({"current": rows}, folder, delimited=True)
+    text = sorted((tmp_path / "out" / "current").glob("*.csv"))
+    first = [line.split("|")[:2] for f in text for line in f.read_text().splitlines()[1:]]
+    assert first == sorted(first, key=lambda x: (x[0] in ("", '""'), x[0], int(x[1]))) and len(first) == 2000
+
+
 def test_table_writer(spark, tmp_path, frame):
     df = frame("p string, v int", ("x", 2), ("y", 1))
     sources.write_table(df, str(tmp_path / "t"), sort=["v"], partition_by=["p"])
