@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from claimtide import rules
 from claimtide.functions import blank_to_null, first_match, split_multi, translate, true_only
+from claimtide.operators.lookup import as_lookup
 
 
 @dataclass(frozen=True)
@@ -21,10 +22,11 @@ class Criterion:
     values: tuple[str, ...]
 
 
-def selected_flag(selected: Column, value: str) -> Column:
+def selected_flag(selected: Column, value: str | Column) -> Column:
     """'1' when selected, '0' when not, '' when the field is blank."""
+    value = F.lit(value) if isinstance(value, str) else value
     return (F.when(selected.isNull(), "")
-            .when(F.array_contains(selected, F.lit(value)), "1").otherwise("0"))
+            .when(F.array_contains(selected, value), "1").otherwise("0"))
 
 
 def criteria_wide(policy: DataFrame, criteria: Sequence[Criterion], header: Sequence[str],
@@ -75,6 +77,76 @@ def validation_long(validation: DataFrame, header: Sequence[str], field: str = "
     return _long(validation, [crit], header, ("_field", "pa_requirement", "requirement")).drop("_field")
 
 
+# policies against the enum table -------------------------------------------
+
+# Conditions that a test may list; a table with more is no enum.
+MOST_CONDITIONS = 2_000
+
+
+def selections(rows: DataFrame, fields: Sequence[str]) -> Column:
+    """All multi-select fields of a row as one map: field -> selected values, NULL for a blank field."""
+    return F.map_from_arrays(F.array(*[F.lit(f) for f in fields]), F.array(*[split_multi(F.col(f)) for f in fields]))
+
+
+def _listed(enum: DataFrame, *columns: str) -> list:
+    """Distinct rows of an enum table, sorted; read once while the plan is built."""
+    found = enum.select(*columns).distinct().limit(MOST_CONDITIONS + 1).collect()
+    if len(found) > MOST_CONDITIONS:
+        raise ValueError(f"more than {MOST_CONDITIONS} conditions in the enum table")
+    return sorted(found)
+
+
+def criteria_long_listed(policy: DataFrame, enum: DataFrame, header: Sequence[str]) -> DataFrame:
+    """One row per policy and condition that the enum table lists for its test: ``criteria, condition, coverage``.
+
+    ``enum``: test, field, label, value.  The conditions of a test are one array, so each policy meets its own in a
+    lookup by test and is expanded where it was read.  Fields that the policies don't have are left out, as are
+    policies of tests without conditions.
+    """
+    known = enum.filter(F.col("field").isin(*policy.columns) & F.col("value").isNotNull() & F.col("test").isNotNull())
+    fields = sorted({r.field for r in _listed(known, "field")})
+    if not fields:
+        return policy.limit(0).select(*header, *[F.lit("").alias(c) for c in ("criteria", "condition", "coverage")])
+    conditions = known.groupBy(F.col("test").alias("_test")).agg(
+        F.collect_set(F.struct("field", "label", "value")).alias("_conditions"))
+    rows = policy.select("*", selections(policy, fields).alias("_selected")).join(
+        as_lookup(conditions), F.col("test") == F.col("_test"))
+    expanded = F.transform("_conditions", lambda c: F.struct(
+        c["label"].alias("criteria"), c["value"].alias("condition"),
+        selected_flag(F.try_element_at("_selected", c["field"]), c["value"]).alias("coverage")))
+    return rows.select(*header, F.inline(expanded))
+
+
+def criteria_wide_listed(policy: DataFrame, enum: DataFrame, header: Sequence[str], test: str) -> DataFrame:
+    """Policies of one test with a flag column ``field=value`` per condition that the enum table lists for it."""
+    listed = [r for r in _listed(enum.filter((F.col("test") == test) & F.col("value").isNotNull()), "field", "value")
+              if r.field in policy.columns]
+    fields = list(dict.fromkeys(r.field for r in listed))
+    rows = policy.filter(F.col("test") == test)
+    if not listed:
+        return rows.select(*header)
+    chosen = rows.select("*", selections(rows, fields).alias("_selected"))
+    return chosen.select(*header, *fields, *[
+        selected_flag(F.try_element_at("_selected", F.lit(r.field)), r.value).alias(f"{r.field}={r.value}") for r in listed])
+
+
+def _requirements(enum: DataFrame, field: str) -> list[str]:
+    rows = enum.filter((F.col("field") == field) & F.col("value").isNotNull())
+    return [r.value for r in _listed(rows, "value")]
+
+
+def validation_wide_listed(validation: DataFrame, enum: DataFrame, header: Sequence[str], test: str,
+                           field: str = "prior_authorization") -> DataFrame:
+    """``validation_wide`` with the requirements that the enum table (``field, value``) lists for the field."""
+    return validation_wide(validation, header, field, _requirements(enum, field), test)
+
+
+def validation_long_listed(validation: DataFrame, enum: DataFrame, header: Sequence[str],
+                           field: str = "prior_authorization") -> DataFrame:
+    """``validation_long`` with the requirements that the enum table (``field, value``) lists for the field."""
+    return validation_long(validation, header, field, _requirements(enum, field))
+
+
 # policy availability -------------------------------------------------------
 
 def policy_of(policy: DataFrame, kind: str, criteria: Sequence[str]) -> DataFrame:

@@ -210,3 +210,28 @@ def test_prostate_coverage_end_to_end(frame):
     # Shown but not counted, and a blank field is unspecified.
     assert (r.med_onc_order_coverage, r.tumour_involvement_reason, r.criteria_considered) == ("..Out", "Unspecified criteria", 3)
     assert r.mp_in_criteria == "..Out" and r.mp_status == "Published policy"
+
+
+def test_conditions_come_from_the_enum_table(spark, frame):
+    policies = frame("name string, test string, a string, b string", ("p", "IBC", "x;y", None), ("q", "Prostate", "", "z"),
+                     ("r", "Colon", "x", "z"), ("s", None, "x", "z"))
+    enum = frame("test string, field string, label string, value string", ("IBC", "a", "A", "x"), ("IBC", "a", "A", "w"),
+                 ("IBC", "b", "B", "z"), ("Prostate", "a", "A2", "x"), ("Prostate", "missing", "M", "m"), (None, "a", "A", "x"),
+                 ("IBC", "a", "A", None), ("IBC", "a", "A", "x"))
+    long = policy.criteria_long_listed(policies, enum, ["name", "test"])
+    assert values(long) == sorted([("p", "IBC", "A", "x", "1"), ("p", "IBC", "A", "w", "0"), ("p", "IBC", "B", "z", ""),
+                                   ("q", "Prostate", "A2", "x", "")], key=repr)
+    wide = policy.criteria_wide_listed(policies, enum, ["name"], "IBC")
+    assert wide.columns == ["name", "a", "b", "a=w", "a=x", "b=z"] and values(wide) == [("p", "x;y", None, "0", "1", "")]
+    assert policy.criteria_wide_listed(policies, enum, ["name"], "Colon").columns == ["name"]
+    assert policy.criteria_long_listed(policies, enum.filter("field = 'missing'"), ["name"]).count() == 0
+    more = enum.unionByName(frame("test string, field string, label string, value string", ("Colon", "b", "B", "z")))
+    assert ("r", "Colon", "B", "z", "1") in values(policy.criteria_long_listed(policies, more, ["name", "test"]))
+
+
+def test_requirements_come_from_the_enum_table(frame):
+    rows = frame("name string, test string, prior_authorization string", ("v", "IBC", "SOMN;New"), ("w", "Prostate", ""))
+    enum = frame("field string, value string", ("prior_authorization", "New"), ("prior_authorization", "Old"), ("other", "SOMN"))
+    assert values(policy.validation_long_listed(rows, enum, ["name"])) == [
+        ("v", "New", "1"), ("v", "Old", "0"), ("w", "New", ""), ("w", "Old", "")]
+    assert values(policy.validation_wide_listed(rows, enum, ["name"], "IBC")) == [("v", "1", "0")]
