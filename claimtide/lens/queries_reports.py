@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from claimtide import rules
-from claimtide.lens.queries_appeals import PAYOR, SETS, VIEWS, WIDE, _set_sql, journal, wide
+from claimtide.lens.queries_appeals import (
+    PAYOR, POLICY_HEADER, SETS, VIEWS, WIDE, _flag_sql, _set_sql, journal, wide)
 from claimtide.lens.queries_claims import CONFLICTS, PAY, REF, SINGLE, bill_std, hierarchy, pay_std
-from claimtide.lens.queries_ledgers import HEADS, JOURNAL_SQL, PERIOD_PARTS
+from claimtide.lens.queries_ledgers import HEADS, JOURNAL_SQL, PERIOD_PARTS, TICKET_REVENUE, TRANSACTIONS
 from claimtide.lens.registry import (
     GROUPS, HIERARCHY, PAY_STD, RECEIPT, RECEIPT_AMOUNTS, REVENUE_AMOUNTS, REVENUE_ROLLUP, Tables, doubles,
     register)
@@ -18,7 +19,7 @@ def claim_tables(t: Tables) -> reports.ClaimTables:
         bill=bill_std(t), payment=pay_std(t), claim_case=t.claim_case, oli=t.oli, revenue=t.revenue,
         payors=hierarchy(t), appeal=appeals.appeal_journal(journal(t), t.complete_appeal), appeal_wide=wide(t),
         prior_auth=t.prior_auth, specimen=t.specimen, somn=t.somn, prices=t.price, view_members=t.view_set,
-        view_sets=SETS)
+        view_sets=SETS, adjustment_code=t.adjustment_code)
 
 
 C2R_VIEWS = f"price bill payment adjustment_code claim_case oli revenue payor ins_codes prior_auth specimen somn view_set {VIEWS}"
@@ -95,9 +96,22 @@ C2R_PLAIN = ["oli_id", "order_id", "test", "order_start_dt", "business_unit", "b
              *SETS, *[f"primary_{s}" for s in SETS]]
 
 
-@register("q_claim_to_revenue", C2R_VIEWS, f"select {', '.join(C2R_PLAIN)}, {doubles(*C2R_AMOUNTS)} from c2r", **C2R_SQL)
+# What the code table adds to the fixed groups: a group and all categories.
+CODE_COLUMNS = {"grp_new_group": ("adj_group", "New Group"), **{
+    f"cat_{c.lower().replace(' ', '_')}": ("category_desc", c) for c in
+    ("Abandoned", "Charged in Error", "Contractual", "Financial Assistance", "New", "None", "Refund")}}
+CODE_SUMS = f"""
+select oli_id, {', '.join(f"cast(coalesce(sum(txn_amount) filter (where txn_type in ('AC', 'AD') and {by} = '{v}'), 0) as double) as {n}"
+                          for n, (by, v) in CODE_COLUMNS.items())}
+from pay_signed where oli_id is not null group by oli_id"""
+
+
+@register("q_claim_to_revenue", C2R_VIEWS, f"""
+select {', '.join('c.' + n for n in C2R_PLAIN)}, {doubles(*C2R_AMOUNTS, source='c')},
+  {', '.join(f'case when c.charge is not null then coalesce(s.{n}, 0) end as {n}' for n in CODE_COLUMNS)}
+from c2r c left join code_sums s on c.oli_id = s.oli_id""", **C2R_SQL, code_sums=CODE_SUMS)
 def claim_to_revenue(t):
-    return reports.claim_to_revenue(claim_tables(t)).select(*C2R_PLAIN, *C2R_AMOUNTS)
+    return reports.claim_to_revenue(claim_tables(t)).select(*C2R_PLAIN, *C2R_AMOUNTS, *CODE_COLUMNS)
 
 
 RISK_PLAIN = ["order_id", "oli_id", "test", "delivered_dt", "claim_entry_dt", "days_to_init_payment",
@@ -279,7 +293,8 @@ def payor_subset(t):
 
 # ticket and period -----------------------------------------------------------
 
-@register("q_accounting_period", "bill payment adjustment_code revenue oli payor ins_codes view_set", f"""
+MONTHLY_VIEWS = "bill payment adjustment_code revenue oli payor ins_codes view_set"
+MONTHLY = f"""
 select p.*, {', '.join(_set_sql(n, c, n) for n, c in SETS.items())} from (
 select a.oli_id, a.ticket_no, a.acct_period, {doubles('charge', 'grp_other', 'outstanding', source='a')},
   cast(grp_all_other_adjustment + grp_house_adjustment + grp_insurance_adjustment + grp_revenue_impact_adjustment + grp_other
@@ -288,11 +303,20 @@ from p_all a left join ticket_head k on a.oli_id = k.oli_id and a.ticket_no = k.
 left join revenue_head r on a.oli_id = r.oli_id and a.ticket_no = r.ticket_no
 left join oli o on a.oli_id = o.oli_id
 left join (select oli_id, count(distinct ticket_no) as ticket_cnt from bill group by oli_id) c on a.oli_id = c.oli_id
-left join hierarchy h on coalesce(k.plan, r.plan) = h.tier4_payor_id) p""", **PAY, **PERIOD_PARTS, **HEADS)
+left join hierarchy h on coalesce(k.plan, r.plan) = h.tier4_payor_id) p"""
+MONTHLY_COLUMNS = ["oli_id", "ticket_no", "acct_period", "charge", "grp_other", "outstanding", "adjustment", "territory",
+                   "ticket_cnt", "tier1_payor_id", "tier2_payor_id", "tier4_payor_id", "tier4_payor", *SETS]
+
+
+@register("q_accounting_period", MONTHLY_VIEWS, MONTHLY, **PAY, **PERIOD_PARTS, **HEADS)
 def accounting_period(t):
-    out = reports.accounting_period(claim_tables(t), ("territory",))
-    return out.select("oli_id", "ticket_no", "acct_period", "charge", "grp_other", "outstanding", "adjustment", "territory",
-                      "ticket_cnt", "tier1_payor_id", "tier2_payor_id", "tier4_payor_id", "tier4_payor", *SETS)
+    return reports.accounting_period(claim_tables(t), ("territory",)).select(*MONTHLY_COLUMNS)
+
+
+# Sums of vendor signs turned afterwards equal the sums of turned amounts.
+@register("q_accounting_period_criteria", MONTHLY_VIEWS, MONTHLY, **PAY, **PERIOD_PARTS, **HEADS)
+def accounting_period_criteria(t):
+    return reports.accounting_period(claim_tables(t), ("territory",), flip_after=True).select(*MONTHLY_COLUMNS)
 
 
 @register("q_ticket_journal_v2", "bill payment adjustment_code revenue oli payor ins_codes prior_auth view_set", f"""
@@ -308,3 +332,89 @@ def ticket_journal_v2(t):
     out = reports.ticket_journal(claim_tables(t), 2)
     return out.select(*ledger.JOURNAL_COLUMNS, "case_no", "ticket_cnt", "tier1_payor_id", "tier2_payor_id", "tier4_payor_id",
                       "prior_auth_result", "prior_auth_number", *SETS)
+
+
+# ticket report ---------------------------------------------------------------
+
+CHECKED = """
+select * from revenue where oli_id not in (select oli_id from conflicts) and regexp_matches(cast(oli_id as varchar), '[0-8]$')"""
+CHECKED_TICKETS = TICKET_REVENUE.replace("from revenue", "from checked")
+TICKET_VIEWS = {"conflicts": CONFLICTS, "checked": CHECKED, "transactions": TRANSACTIONS, "ticket_revenue": CHECKED_TICKETS}
+
+
+def ticket_report(t: Tables):
+    bills = (t.bill.filter(F.col("oli_id").isNotNull()).groupBy("oli_id", "ticket_no")
+             .agg(F.sum("txn_amount").alias("ticket_billed"), F.count(F.lit(1)).alias("line_cnt")))
+    lines = t.oli.select("oli_id", "current_ticket_no", "delivered_dt", "test", "billed_currency")
+    return reports.ticket_revenue(bills, t.revenue, lines, ["oli_id", "ticket_no", "test", "billed_currency"],
+                                  id_ok=quality.well_formed_id("oli_id", "[0-8]$", ()), since="1996-06-01")
+
+
+@register("q_ticket_report", "bill revenue oli", f"""
+select o.oli_id, o.current_ticket_no as ticket_no, o.test, o.delivered_dt, cast(x.ticket_billed as double) as ticket_billed,
+  x.line_cnt, cast(x.total_usd as double) as total_usd, x.period_cnt
+from oli o left join ticket_revenue x on o.oli_id = x.oli_id and o.current_ticket_no = x.ticket_no
+where o.current_ticket_no is not null and o.delivered_dt >= date '1996-06-01'""", **TICKET_VIEWS)
+def ticket_report_current(t):
+    return ticket_report(t).current.select("oli_id", "ticket_no", "test", "delivered_dt", "ticket_billed", "line_cnt",
+                                           "total_usd", "period_cnt")
+
+
+@register("q_ticket_report_outdated", "bill revenue oli", f"""
+select oli_id, ticket_no, {doubles('ticket_billed', 'total_usd')}, line_cnt, period_cnt from ticket_revenue
+where ticket_no not in (select current_ticket_no from oli where current_ticket_no is not null)""", **TICKET_VIEWS)
+def ticket_report_outdated(t):
+    return ticket_report(t).outdated.select("oli_id", "ticket_no", "ticket_billed", "total_usd", "line_cnt", "period_cnt")
+
+
+@register("q_ticket_report_ledger", "bill revenue oli", f"""
+select oli_id, ticket_no, test, billed_currency, txn_subtype, value, 'Revenue' as txn_type
+from ({' union all '.join(f"""
+  select o.oli_id, o.current_ticket_no as ticket_no, o.test, o.billed_currency, '{m}' as txn_subtype, cast(s.v as double) as value
+  from oli o join transactions x on o.oli_id = x.oli_id and o.current_ticket_no = x.ticket_no
+  join (select oli_id, ticket_no, sum({m}) as v from checked group by all) s on s.oli_id = x.oli_id and s.ticket_no = x.ticket_no
+  where o.current_ticket_no is not null and o.delivered_dt >= date '1996-06-01'""" for m in ("accrual_usd", "cash_usd"))})
+where value <> 0 and test is not null and billed_currency is not null""", **TICKET_VIEWS)
+def ticket_report_ledger(t):
+    return ticket_report(t).ledger
+
+
+# policies by the enum tables ---------------------------------------------------
+
+TESTS = ("IBC", "Prostate", "DCIS", "Colon")
+TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+@register("q_criteria_report", "policy criteria_enum", f"""
+select {', '.join('p.' + c for c in POLICY_HEADER)}, e.label as criteria, e.value as condition,
+  case when f = '' then '' when list_contains(string_split(f, ';'), e.value) then '1' else '0' end as coverage
+from policy p join criteria_enum e on p.test = e.test and e.field <> 'absent_field'
+cross join lateral (select coalesce(case e.field when 'brand_field' then p.brand_field else p.type_field end, '') as f)
+where p.test in {TESTS}""")
+def criteria_report(t):
+    return reports.policy_criteria(t.policy, t.criteria_enum, POLICY_HEADER, TESTS).long
+
+
+@register("q_criteria_report_wide", "policy", f"""
+select {', '.join(POLICY_HEADER)}, type_field, {', '.join(f'{_flag_sql("type_field", v)} as "type_field={v}"' for v in TYPES)}
+from policy where test = 'Prostate'""")
+def criteria_report_wide(t):
+    return reports.policy_criteria(t.policy, t.criteria_enum, POLICY_HEADER, TESTS).wide["Prostate"]
+
+
+@register("q_validation_report", "validation pa_enum", """
+select name, test, tier4_payor_id, e.value as pa_requirement, case when prior_authorization = '' then ''
+    when list_contains(string_split(prior_authorization, ';'), e.value) then '1' else '0' end as requirement
+from validation join pa_enum e on e.field = 'prior_authorization' and e.value is not null""")
+def validation_report(t):
+    return reports.policy_validation(t.validation, t.pa_enum, ["name", "test", "tier4_payor_id"], TESTS).long
+
+
+REQUIREMENTS = ("Lab initiates PA", "New requirement", "No CVP (no PA)", "Online or Telephonic", "Post-DOS", "Pre-DOS", "SOMN")
+
+
+@register("q_validation_report_wide", "validation", f"""
+select name, test, tier4_payor_id, {', '.join(f'{_flag_sql("prior_authorization", r)} as "{r}"' for r in REQUIREMENTS)}
+from validation where test = 'IBC'""")
+def validation_report_wide(t):
+    return reports.policy_validation(t.validation, t.pa_enum, ["name", "test", "tier4_payor_id"], TESTS).wide["IBC"]

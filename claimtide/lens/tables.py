@@ -191,6 +191,17 @@ select 'P' || cast(p_partkey as varchar(20)) as name, p_partkey as tier4_payor_i
   case when p_size % 10 = 0 then null else p_brand || ';' || 'Brand#' || cast(p_partkey % 25 + 1 as varchar(20)) end as brand_field,
   case when p_size % 10 = 0 or p_size % 7 = 0 then null else p_type || ';PROMO' end as type_field
 from {part}""",
+    "criteria_enum": """
+select distinct 'IBC' as test, 'brand_field' as field, 'Brand' as label, p_brand as value from {part}
+union all select distinct 'IBC', 'type_field', 'Type', p_type from {part}
+union all select distinct 'Prostate', 'type_field', 'Type', p_type from {part}
+union all select distinct 'DCIS', 'type_field', 'Type', p_type from {part}
+union all select distinct cast(null as varchar(20)), 'type_field', 'Type', p_type from {part}
+union all select 'IBC', 'absent_field', 'Absent', 'x'""",
+    "pa_enum": """
+select 'prior_authorization' as field, r as value from (values ('No CVP (no PA)'), ('Pre-DOS'), ('Post-DOS'), ('SOMN'),
+  ('Lab initiates PA'), ('Online or Telephonic'), ('New requirement'), (null)) as t(r)
+union all select 'other_field', 'Not for this field'""",
     "validation": """
 select 'V' || cast(p_partkey as varchar(20)) as name,
   case when p_partkey % 5 <> 0 then p_partkey else -p_partkey - 1 end as tier4_payor_id,

@@ -35,8 +35,45 @@ def normalise_bill_sign(bill: DataFrame) -> DataFrame:
     return bill.withColumns({c: flip_sign(c) for c in ("amt_received", "amt_adjusted")})
 
 
+# Columns that a code table may ask for.  Conditional sums take one exchange and combine on the map side; a table with
+# more values than this is no list of codes.
+MOST_COLUMNS = 500
+
+
 def group_columns(groups: Sequence[str], prefix: str = "grp_") -> dict[str, str]:
-    return {g: prefix + snake(g) for g in groups}
+    """Column of each value; values whose names would be the same are numbered."""
+    out: dict[str, str] = {}
+    for g in dict.fromkeys(groups):
+        name, wanted, n = prefix + snake(g), prefix + snake(g), 1
+        while name in out.values():
+            n += 1
+            name = f"{wanted}_{n}"
+        out[g] = name
+    return out
+
+
+class CodeColumns(NamedTuple):
+    """Values that get a column of their own."""
+
+    groups: tuple[str, ...]
+    categories: tuple[str, ...]
+
+
+def code_columns(codes: DataFrame, fixed: Sequence[str] = rules.ADJUSTMENT_GROUPS,
+                 most: int = MOST_COLUMNS) -> CodeColumns:
+    """The adjustment groups and categories of the code table, read once while the plan is built.
+
+    ``codes``: adj_group, category_desc.  ``fixed`` groups come first and are there even if no code is in them, as rules
+    use them; NULL is no value.  A code that is added to the table appears in the reports without any other change.
+    """
+    pairs = codes.select(F.explode(F.array(
+        F.struct(F.lit("g").alias("kind"), F.col("adj_group").alias("value")),
+        F.struct(F.lit("c").alias("kind"), F.col("category_desc").alias("value")))).alias("e"))
+    listed = pairs.select("e.kind", "e.value").filter("value is not null").distinct().limit(most + 1).collect()
+    if len(listed) > most:
+        raise ValueError(f"more than {most} groups and categories in the code table")
+    values = {k: sorted(r.value for r in listed if r.kind == k) for k in "gc"}
+    return CodeColumns(tuple(dict.fromkeys([*fixed, *values["g"]])), tuple(values["c"]))
 
 
 def payment_measures(groups: Sequence[str] = rules.ADJUSTMENT_GROUPS,

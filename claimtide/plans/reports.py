@@ -14,7 +14,7 @@ from claimtide.operators import (appeals, ledger, period, policy, quality, refer
                                  standardise, status, views)
 from claimtide.plans import columns as C
 from claimtide.session import stage
-from claimtide.sources import write_delimited, write_table
+from claimtide.sources import Control, ROWS_PER_FILE, log_controls, write_ordered
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,7 @@ class ClaimTables:
     prices: DataFrame | None = None
     view_members: DataFrame | None = None
     view_sets: Mapping[str, str] | None = None
+    adjustment_code: DataFrame | None = None
 
 
 def project(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
@@ -66,11 +67,13 @@ def claim_to_revenue(t: ClaimTables) -> DataFrame:
     """From order to cash: one row per order line.
 
     All joins on the order line come first and share its partitioning; small
-    dimensions and the joins on ticket and case follow.
+    dimensions and the joins on ticket and case follow.  Adjustments have a
+    column for every group and category of the code table, where there is one.
     """
     bill = quality.split_valid_keys(t.bill).kept
     payment = quality.split_valid_keys(t.payment).kept
-    receipts = rollup.receipt_rollup(bill, payment, with_allowed=True)
+    groups, categories = (rules.ADJUSTMENT_GROUPS, ()) if t.adjustment_code is None else rollup.code_columns(t.adjustment_code)
+    receipts = rollup.receipt_rollup(bill, payment, groups, categories, with_allowed=True)
     earned = rollup.revenue_rollup(quality.reconciled(t.revenue)).withColumnRenamed("currency", "revenue_currency")
     # Revenue is shown for order lines the vendor has receipts of.
     amounts = receipts.join(earned, "oli_id", "left")
@@ -247,6 +250,33 @@ def abandoned(t: ClaimTables) -> DataFrame:
 
 # R16 - R19: policies -------------------------------------------------------
 
+class EnumReports(NamedTuple):
+    """One wide table per test, and all tests as rows."""
+
+    wide: Mapping[str, DataFrame]
+    long: DataFrame
+
+
+def policy_criteria(policies: DataFrame, enum: DataFrame, header: Sequence[str], tests: Sequence[str]) -> EnumReports:
+    """Policies by criterion and condition, both from the enum table (``test, field, label, value``)."""
+    return EnumReports({test: policy.criteria_wide_listed(policies, enum, header, test) for test in tests},
+                       policy.criteria_long_listed(policies.filter(F.col("test").isin(*tests)), enum, header))
+
+
+def policy_validation(validation: DataFrame, enum: DataFrame, header: Sequence[str], tests: Sequence[str],
+                      field: str = "prior_authorization") -> EnumReports:
+    """Validations by prior-authorisation requirement, from the enum table (``field, value``)."""
+    return EnumReports(
+        {test: policy.validation_wide_listed(validation, enum, header, test, field) for test in tests},
+        policy.validation_long_listed(validation, enum, header, field))
+
+
+def write_enum_reports(reports: EnumReports, folder: str, name: str, delimited: bool = True) -> None:
+    """``wide_<test>_<name>`` and ``long_<name>``."""
+    write_reports({**{f"wide_{test.lower()}_{name}": df for test, df in reports.wide.items()}, f"long_{name}": reports.long},
+                  folder, delimited)
+
+
 @dataclass(frozen=True)
 class CoveragePlan:
     """What differs between the coverage reports of the tests."""
@@ -291,11 +321,24 @@ def coverage(data: DataFrame, t: ClaimTables, plan: CoveragePlan) -> DataFrame:
 
 # writing -------------------------------------------------------------------
 
-def write_reports(reports: Mapping[str, DataFrame], folder: str, delimited: bool = False) -> None:
-    """Each report as a table, or as delimited text, under its name."""
-    write = write_delimited if delimited else write_table
-    for name, df in reports.items():
-        write(df, f"{folder}/{name}")
+def sort_order(df: DataFrame, name: str) -> list:
+    """The report's order, missing values last; columns that the report lacks don't count."""
+    return [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last()
+            for c, up in C.REPORT_ORDERS.get(name, ()) if c in df.columns]
+
+
+def write_reports(reports: Mapping[str, DataFrame], folder: str, delimited: bool = False,
+                  rows_per_file: int = ROWS_PER_FILE) -> list[Control]:
+    """Each report as a table, or as delimited text, under its name and in its order; the control totals of the run.
+
+    The totals are gathered by the same pass that writes the report, and are appended to the table ``control`` of the
+    folder.
+    """
+    out = [write_ordered(df, f"{folder}/{name}", name, sort_order(df, name), delimited, rows_per_file)
+           for name, df in reports.items()]
+    if out:
+        log_controls(next(iter(reports.values())).sparkSession, f"{folder}/control", out)
+    return out
 
 
 def write_claim_reports(t: ClaimTables, folder: str, delimited: bool = False,
@@ -304,13 +347,13 @@ def write_claim_reports(t: ClaimTables, folder: str, delimited: bool = False,
 
     The extracts read their columns from the written report; where it is written as text, from a staged table.
     """
-    report, path = claim_to_revenue(t), f"{folder}/claim_to_revenue"
+    report = claim_to_revenue(t)
     if delimited:
         claim = stage(report, "claim_to_revenue", staging)
-        write_delimited(claim, path)
+        write_reports({"claim_to_revenue": claim}, folder, delimited=True)
     else:
-        write_table(report, path)
-        claim = report.sparkSession.read.parquet(path)
+        write_reports({"claim_to_revenue": report}, folder)
+        claim = report.sparkSession.read.parquet(f"{folder}/claim_to_revenue")
     outputs = {"oli_transactions": oli_transactions(claim, t), "managed_care": managed_care(claim, t),
                "payment_risk": payment_risk(claim), "domestic_billing": domestic_billing(claim)}
     for test in tests:

@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from claimtide import rules
 from claimtide.operators import latest, quality, reference, rollup, standardise, status
 from helpers import values
 
@@ -240,3 +241,16 @@ def test_latency_summary(frame):
                (D(2017, 1, 1), D(2017, 1, 11), D(2017, 2, 1)), (D(2017, 1, 1), None, None), (None, D(2017, 1, 1), None))
     assert values(standardise.claim_latency(df), "days_to_init_payment", "days_to_last_payment") == [
         (10, 31), (None, None), (None, None)]
+
+
+def test_code_table_decides_the_columns(frame):
+    codes = frame("vendor_adj_code string, category_desc string, adj_group string", ("C6", "Error", "Charged in Error"),
+                  ("N1", "Brand new", "A-B"), ("N2", None, "A B"), ("N3", "brand New", None))
+    listed = rollup.code_columns(codes)
+    assert listed.groups == (*rules.ADJUSTMENT_GROUPS, "A B", "A-B") and listed.categories == ("Brand new", "Error", "brand New")
+    names = [*rollup.group_columns(listed.groups).values(), *rollup.group_columns(listed.categories, "cat_").values()]
+    assert len(names) == len(set(names)) == len(listed.groups) + 3
+    with pytest.raises(ValueError):
+        rollup.code_columns(codes, most=3)
+    more = codes.unionByName(frame("vendor_adj_code string, category_desc string, adj_group string", ("Z", "Later", "Later")))
+    assert {"Later"} == set(rollup.code_columns(more).groups) - set(listed.groups) == set(rollup.code_columns(more).categories) - set(listed.categories)

@@ -97,3 +97,22 @@ def test_written_bundles(spark, tmp_path):
     shown = spark.read.parquet(str(tmp_path / "accounting_period"))
     assert shown.filter("payment = '0' or payment = '0.00'").count() == 0 and shown.filter("payment = ''").count() > 0
     assert spark.read.parquet(str(tmp_path / "revenue_errors")).count() == revenue.errors.count() > 0
+
+
+@pytest.mark.parametrize("name, most", [("q_period_report", 5), ("q_journal_v2", 5), ("q_journal_v1", 5), ("q_period_amounts", 3),
+                                        ("q_journal", 5)])
+def test_period_reports_read_each_fact_once(spark, monkeypatch, name, most):
+    """The base reads bills, payments and revenue once; a journal reads bills and payments again for its rows."""
+    from claimtide.operators import period
+    scans, write = [], period.stage
+
+    def count(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet")
+
+    def staged(df, *args):
+        scans.append(count(df))
+        return write(df, *args)
+
+    monkeypatch.setattr(period, "stage", staged)
+    scans.append(count(registry.QUERIES[name](spark, SF)))
+    assert len(scans) == 2 and sum(scans) <= most, scans
