@@ -24,6 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimtide.llm.common import replace_columns
 
@@ -33,7 +34,7 @@ SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # Matches that a task remembers, and the longest of them.
 REMEMBERED, SHORT = 200_000, 48
 # Pairs of tokens that a task remembers.
-PAIRS = 1_000_000
+PAIRS = 200_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -205,7 +206,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, text: str =
                    else pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=batch.schema.names)
 
-    return kept.mapInArrow(run, kept.drop(name).schema.add(name, "binary" if packed else "array<int>"))
+    return kept.mapInArrow(run, kept.drop(name).schema.add(name, T.BinaryType() if packed else T.ArrayType(T.IntegerType())))
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids", name: str = "bytes") -> DataFrame:

@@ -24,12 +24,17 @@ COLUMNS = {
     "op9": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op10": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string",
              "refers_to": "bigint"},
+    "op11": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string",
+             "folded_root": "string", "verified": "boolean"},
+    "op12": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint",
+             "n": "bigint", "score": "bigint"},
+    "op13": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
 }
 
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE) <= set(entry.oracle_sql()) and corpus_pipeline.ORACLE_SQL is None
 
