@@ -14,9 +14,8 @@ result doesn't depend on them, only the size of what is exchanged (``BITS``).
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +35,12 @@ UNKNOWN = "und"
 # Counters for phrases of 1 to 4 words, as powers of two, and counters merged in one row.
 BITS = (22, 24, 23, 22)
 CHUNK = 1 << 16
-# Distinct phrases that a task gathers, and words whose hashes it remembers.
+# Distinct phrases that a task gathers, and words that it remembers.
 GATHERED, REMEMBERED = 400_000, 400_000
-# Words that are looked at together.
-AT_ONCE = 50_000
+# Words that are looked at together; numbers of a language's frequent words have 16 bits, so that four fit a code.
+AT_ONCE, NUMBERS = 50_000, 1 << 16
+# Places, and codes of phrases, that wait to be added up.
+WAITING = 1_000_000
 # Parts of the stripes of prefixes with 0 to 3 words.
 PARTS = (1, 64, 16, 4)
 # Buckets that choose the first phrases of a language before one task does.
@@ -56,35 +57,45 @@ def words_and_stops(text: bytes | None) -> list[bytes]:
     return text.translate(PIECES).replace(b".", b" . ").split() if text else []
 
 
-class WordHashes(dict):
-    """Hash of a word in one language; 0 stands for the end of a piece."""
+class Words(dict):
+    """Number and hash of every word of a language; 0 is the end of a piece."""
 
     def __init__(self, lang: str):
-        super().__init__()
-        self.seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+        super().__init__({b".": 0})
+        self.lang, self.seed = lang, xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+        self.all, self.digests, self.hashes = [b"."], [0], np.zeros(1, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = found = 0 if word == b"." else xxhash.xxh64_intdigest(word, self.seed) | 1
-        return found
+        self[word] = number = len(self.all)
+        self.all.append(word)
+        self.digests.append(xxhash.xxh64_intdigest(word, self.seed) | 1)
+        return number
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Numbers of the words, and for phrases of 1 to ``LONGEST`` words the hash of the one at each place."""
+        numbers = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        if len(self.digests) > len(self.hashes):
+            self.hashes = np.append(self.hashes, np.array(self.digests[len(self.hashes):], dtype=np.uint64))
+        return numbers, list(phrase_hashes(self.hashes[numbers]))
 
 
-class Hasher:
-    """Hashes of words by language; forgets all when it holds many."""
+class Lexicon:
+    """Words by language; forgets all when it holds many."""
 
     def __init__(self):
-        self.known: dict[str, WordHashes] = {}
+        self.known: dict[str, Words] = {}
+
+    def full(self) -> bool:
+        return sum(map(len, self.known.values())) > REMEMBERED
 
-    def __call__(self, lang: str, words: list[bytes]) -> list[np.ndarray]:
-        """For phrases of 1 to ``LONGEST`` words the hash of the one at each place; 0 where a piece ends first."""
-        if sum(map(len, self.known.values())) + len(self.known) > REMEMBERED:
-            self.known.clear()
+    def of(self, lang: str) -> Words:
         if lang not in self.known:
-            self.known[lang] = WordHashes(lang)
-        own = np.fromiter(map(self.known[lang].__getitem__, words), dtype=np.uint64, count=len(words))
-        return list(phrase_hashes(own))
+            self.known[lang] = Words(lang)
+        return self.known[lang]
 
 
 def phrase_hashes(hashes: np.ndarray) -> Iterator[np.ndarray]:
+    """For phrases of 1 to ``LONGEST`` words the hash of the one at each place; 0 where a piece ends first."""
     own = hashes
     yield own
     for n in range(1, LONGEST):
@@ -121,8 +132,16 @@ class Sieve:
         return found
 
 
-def words_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """Words and stops of many texts of a language at once; ``batches`` have ``lang, text``, the text in bytes."""
+def words_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], int]]:
+    """Words and stops of many texts of a language at once; ``batches`` have ``lang, text``, the text in bytes.
+
+    The last number tells how many places begin phrases: the words behind them only end phrases, and come again.
+    """
+    def parts(lang: str, words: list[bytes]) -> Iterator[tuple[str, list[bytes], int]]:
+        for start in range(0, len(words), AT_ONCE):
+            part = words[start:start + AT_ONCE + LONGEST - 1]
+            yield lang, part, min(AT_ONCE, len(words) - start)
+
     for batch in batches:
         ready: dict[str, list[bytes]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -130,32 +149,83 @@ def words_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str,
             own += words_and_stops(text.as_py())
             own.append(b".")
             if len(own) > AT_ONCE:
-                yield lang, ready.pop(lang)
-        yield from ready.items()
+                yield from parts(lang, ready.pop(lang))
+        for lang, own in ready.items():
+            yield from parts(lang, own)
+
+
+def added_up(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, with the sums of their counts."""
+    every, number = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, number = every[order], number[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, dtype=np.int64)
+    return every[first], np.add.reduceat(number, first) if len(first) else number
+
+
+class Counters:
+    """A task's counters for phrases of one length."""
+
+    def __init__(self, bits: int):
+        self.bits, self.sums = bits, np.zeros(1 << bits, dtype=np.uint32)
+        self.waiting: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.waiting.append(places(hashes, self.bits))
+        self.held += len(hashes)
+        if self.held > WAITING:
+            self.settle()
+
+    def settle(self) -> np.ndarray:
+        if self.waiting:
+            place, count = np.unique(np.concatenate(self.waiting), return_counts=True)
+            self.sums[place] += count.astype(np.uint32)
+        self.waiting, self.held = [], 0
+        return self.sums
+
+
+def packed_chunk(counters: np.ndarray) -> bytes:
+    """Counters of a chunk: places and counts where few are set, else all of them.  A small task so sends little."""
+    places_ = np.flatnonzero(counters)
+    if 3 * len(places_) >= CHUNK:
+        return counters.tobytes()
+    return places_.astype("<u2").tobytes() + counters[places_].tobytes()
+
+
+def unpacked_chunk(data: bytes) -> np.ndarray:
+    if len(data) == CHUNK:
+        return np.frombuffer(data, dtype=np.uint8)
+    n, counters = len(data) // 3, np.zeros(CHUNK, dtype=np.uint8)
+    counters[np.frombuffer(data, dtype="<u2", count=n)] = np.frombuffer(data, dtype=np.uint8, offset=2 * n)
+    return counters
 
 
 def add_counters(texts: DataFrame, sieve: Sieve, lengths: tuple[int, ...], least: int) -> list[np.ndarray]:
     """Bits of the counters of phrases of some ``lengths``, over all texts.
 
-    A task adds up its own counters, which stop at the least count, and sends them in chunks of fixed size that hold
-    anything; chunks of one place merge elementwise.  What reaches the driver has one bit per counter.
+    A task adds up its own counters, which stop at the least count, and sends the chunks of them that hold anything;
+    chunks of one place merge elementwise.  What reaches the driver has one bit per counter.
     """
     least = min(least, 255)  # a counter is one byte
     shared = texts.sparkSession.sparkContext.broadcast(sieve)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve, hasher = shared.value, Hasher()
-        sums = {n: np.zeros(1 << BITS[n - 1], dtype=np.uint32) for n in lengths}
-        for lang, words in words_by_language(batches):
-            hashes = hasher(lang, words)
+        sieve, lexicon = shared.value, Lexicon()
+        counters = {n: Counters(BITS[n - 1]) for n in lengths}
+        for lang, words, starts in words_by_language(batches):
+            if lexicon.full():
+                lexicon = Lexicon()
+            hashes = lexicon.of(lang).look_up(words)[1]
             passes = sieve.passes(hashes)
             for n in lengths:
-                np.add.at(sums[n], places(hashes[n - 1][passes[n - 1]], BITS[n - 1]), 1)
+                counters[n].add(hashes[n - 1][:starts][passes[n - 1][:starts]])
         for n in lengths:
-            capped = np.minimum(sums.pop(n), least).astype(np.uint8).reshape(-1, CHUNK)
-            for i in np.flatnonzero(capped.any(axis=1)).tolist():
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([i], pa.int32()),
-                                                  pa.array([capped[i].tobytes()], pa.binary())], names=["n", "chunk", "sums"])
+            capped = np.minimum(counters.pop(n).settle(), least).astype(np.uint8).reshape(-1, CHUNK)
+            some = np.flatnonzero(capped.any(axis=1)).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n] * len(some), pa.int32()), pa.array(some, pa.int32()),
+                 pa.array([packed_chunk(capped[i]) for i in some], pa.binary())], names=["n", "chunk", "sums"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
@@ -171,7 +241,7 @@ def add_counters(texts: DataFrame, sieve: Sieve, lengths: tuple[int, ...], least
                     if at is not None:
                         yield bits()
                     at, total = (n, chunk), np.zeros(CHUNK, dtype=np.uint16)
-                total = np.minimum(total + np.frombuffer(sums.as_py(), dtype=np.uint8), least).astype(np.uint16)
+                total = np.minimum(total + unpacked_chunk(sums.as_py()), least).astype(np.uint16)
         if at is not None:
             yield bits()
 
@@ -185,6 +255,90 @@ def add_counters(texts: DataFrame, sieve: Sieve, lengths: tuple[int, ...], least
     return found
 
 
+STRIPES = "lang string, prefix binary, size int, part int, total long, nexts array<binary>, counts array<long>"
+NAMES = ["lang", "prefix", "size", "part", "total", "nexts", "counts"]
+KINDS = [pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+
+
+class Gathered:
+    """Phrases of one language that a task has counted, as codes of the numbers of their words."""
+
+    def __init__(self, words: Words):
+        self.words, self.total = words, 0
+        # Numbers of 16 bits for words that may be frequent: by the word's own number, and back.
+        self.short, self.long = np.zeros(0, dtype=np.uint64), [0]
+        self.codes: list[list[np.ndarray]] = [[] for _ in range(LONGEST)]
+        self.counts: list[list[np.ndarray]] = [[] for _ in range(LONGEST)]
+        self.waiting = 0
+
+    def room_for(self, numbers: np.ndarray) -> bool:
+        """Numbers the words, unless there are too many of them."""
+        if len(self.words.all) > len(self.short):
+            self.short = np.append(self.short, np.zeros(len(self.words.all) - len(self.short), dtype=np.uint64))
+        seen = np.unique(numbers)
+        new = seen[self.short[seen] == 0]
+        if len(self.long) + len(new) > NUMBERS:
+            return False
+        self.short[new] = np.arange(len(self.long), len(self.long) + len(new), dtype=np.uint64)
+        self.long += new.tolist()
+        return True
+
+    def add(self, numbers: np.ndarray, passes: list[np.ndarray], starts: int) -> None:
+        self.total += int(np.count_nonzero(numbers[:starts]))
+        short = self.short[numbers]
+        code = short
+        for n in range(LONGEST):
+            if n:
+                code = (code[:-1] << np.uint64(16)) | short[n:]
+            found, count = np.unique(code[:starts][passes[n][:len(code)][:starts]], return_counts=True)
+            self.codes[n].append(found)
+            self.counts[n].append(count)
+            self.waiting += len(found)
+        if self.waiting > WAITING:
+            self.settle()
+
+    def settle(self) -> int:
+        """Number of distinct phrases."""
+        for n in range(LONGEST):
+            if len(self.codes[n]) > 1:
+                codes, counts = added_up(self.codes[n], self.counts[n])
+                self.codes[n], self.counts[n] = [codes], [counts]
+        self.waiting = 0
+        return sum(len(c) for codes in self.codes for c in codes)
+
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        """The stripes of all prefixes, cut into parts by the next word."""
+        self.settle()
+        word = [self.words.all[i] for i in self.long]
+        yield rows_of([(self.words.lang, b"", 0, 0, self.total, [], [])])
+        for size in range(1, LONGEST):
+            codes, longer = (self.codes[n][0] if self.codes[n] else np.zeros(0, dtype=np.uint64) for n in (size - 1, size))
+            totals, counts = (self.counts[n][0].tolist() if self.counts[n] else [] for n in (size - 1, size))
+            last = (longer & np.uint64(NUMBERS - 1)).tolist()
+            begins = longer >> np.uint64(16)
+            low, high = (np.searchsorted(begins, codes, side).tolist() for side in ("left", "right"))
+            parts, rows = PARTS[size], []
+            for code, total, i, j in zip(codes.tolist(), totals, low, high):
+                prefix = b" ".join([word[code >> 16 * k & NUMBERS - 1] for k in range(size - 1, -1, -1)])
+                dealt: dict[int, tuple[list, list]] = {0: ([], [])}
+                for at in range(i, j):
+                    own = word[last[at]]
+                    nexts, often = dealt.setdefault(xxhash.xxh32_intdigest(own) % parts, ([], []))
+                    nexts.append(own)
+                    often.append(counts[at])
+                rows += [(self.words.lang, prefix, size, part, 0 if part else total, nexts, often)
+                         for part, (nexts, often) in dealt.items()]
+                if len(rows) > 8192:
+                    yield rows_of(rows)
+                    rows = []
+            if rows:
+                yield rows_of(rows)
+
+
+def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], names=NAMES)
+
+
 def gathered_stripes(texts: DataFrame, sieve: Sieve, gathered: int = GATHERED) -> DataFrame:
     """Stripes of all tasks, ``lang, prefix, size, part, total, nexts, counts``; one prefix may have many rows.
 
@@ -193,58 +347,27 @@ def gathered_stripes(texts: DataFrame, sieve: Sieve, gathered: int = GATHERED) -
     shared = texts.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve, hasher = shared.value, Hasher()
-        # Per language the phrases of 1 to 4 words, and the number of all words.
-        counts: dict[str, list[Counter]] = {}
-        words_in: Counter = Counter()
-
-        def passed_on() -> Iterator[pa.RecordBatch]:
-            for lang, own in counts.items():
-                yield stripes(lang, 0, {(): (words_in[lang], {})})
-                for size in range(1, LONGEST):
-                    striped: dict[tuple, tuple[int, dict]] = {p: (n, {}) for p, n in own[size - 1].items()}
-                    for phrase, n in own[size].items():
-                        striped[phrase[:-1]][1][phrase[-1]] = n
-                    yield stripes(lang, size, striped)
-            counts.clear()
-            words_in.clear()
-
-        held = 0
-        for lang, words in words_by_language(batches):
-            own = counts.setdefault(lang, [Counter() for _ in range(LONGEST)])
-            hashes = hasher(lang, words)
-            words_in[lang] += int(np.count_nonzero(hashes[0]))
-            before = sum(map(len, own))
-            for n, ok in enumerate(sieve.passes(hashes), 1):
-                own[n - 1].update(compress(zip(*[words[i:] for i in range(n)]), ok.tolist()))
-            held += sum(map(len, own)) - before + 1
-            if held > gathered:
-                yield from passed_on()
-                held = 0
-        yield from passed_on()
+        sieve, lexicon, held = shared.value, Lexicon(), {}
+        for lang, words, starts in words_by_language(batches):
+            if lexicon.full() or (sum(g.waiting for g in held.values()) > gathered
+                                  and sum(g.settle() for g in held.values()) > gathered):
+                for own in held.values():
+                    yield from own.stripes()
+                lexicon, held = Lexicon(), {}
+            numbers, hashes = lexicon.of(lang).look_up(words)
+            passes = sieve.passes(hashes)
+            own = held.setdefault(lang, Gathered(lexicon.of(lang)))
+            if not own.room_for(numbers[passes[0]]):
+                yield from own.stripes()
+                own = held[lang] = Gathered(lexicon.of(lang))
+                own.room_for(numbers[passes[0]])
+            own.add(numbers, passes, starts)
+        for own in held.values():
+            yield from own.stripes()
 
     return texts.mapInArrow(run, STRIPES)
 
 
-STRIPES = "lang string, prefix binary, size int, part int, total long, nexts array<binary>, counts array<long>"
-NAMES = ["lang", "prefix", "size", "part", "total", "nexts", "counts"]
-KINDS = [pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-
-
-def stripes(lang: str, size: int, striped: dict[tuple, tuple[int, dict]]) -> pa.RecordBatch:
-    """Rows of the stripes of one language, cut into parts by the next word."""
-    columns: list[list] = [[] for _ in NAMES]
-    for prefix, (total, nexts) in striped.items():
-        joined = b" ".join(prefix)
-        dealt: dict[int, list] = defaultdict(list, {0: []})
-        for word in nexts:
-            dealt[xxhash.xxh32_intdigest(word) % PARTS[size]].append(word)
-        for part, own in dealt.items():
-            for c, v in zip(columns, (lang, joined, size, part, 0 if part else total, own, [nexts[w] for w in own])):
-                c.append(v)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS)], names=NAMES)
-
-
 def merged_stripes(rows: DataFrame, least: int = LEAST) -> DataFrame:
     """One row per language, prefix and part: totals and counters added up, entries below ``least`` left out."""
 
@@ -256,7 +379,7 @@ def merged_stripes(rows: DataFrame, least: int = LEAST) -> DataFrame:
             done.append((*at, total, list(some), list(some.values())))
 
         def passed_on() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), KINDS)], names=NAMES)
+            rows = rows_of(done)
             done.clear()
             return rows
 

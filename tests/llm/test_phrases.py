@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,11 +55,53 @@ def test_documents(documents):
     assert found(documents, least=5, kept=300) == expected(pairs(documents), 5, kept=300)
 
 
-def test_small_stripes_merge_to_the_same(documents, monkeypatch):
-    monkeypatch.setattr(phrases, "AT_ONCE", 100)
+def test_small_stripes_merge_to_the_same(documents):
     assert found(documents, least=5, gathered=500) == expected(pairs(documents), 5)
 
 
+def test_counts_in_small_steps(documents, monkeypatch):
+    """One task's phrases, counted in small steps over parts of texts, are those of the whole texts."""
+    monkeypatch.setattr(phrases, "AT_ONCE", 100)
+    monkeypatch.setattr(phrases, "WAITING", 300)
+    rows = pairs(documents)[:60]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * len(rows)), pa.array([t.encode() for _, t in rows], pa.binary())],
+                                       names=["lang", "text"])
+    words, counters = phrases.Words("x"), [phrases.Counters(12) for _ in range(4)]
+    own = phrases.Gathered(words)
+    for _, part, starts in phrases.words_by_language(iter([batch])):
+        numbers, hashes = words.look_up(part)
+        passes = phrases.Sieve([]).passes(hashes)
+        assert own.room_for(numbers[passes[0]])
+        own.add(numbers, passes, starts)
+        for c, h, ok in zip(counters, hashes, passes):
+            c.add(h[:starts][ok[:starts]])
+    want = [Counter() for _ in range(4)]
+    for _, text in rows:
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", text.translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for n in range(4):
+                want[n].update(" ".join(p) for p in zip(*[w[i:] for i in range(n + 1)]))
+    got = [Counter() for _ in range(4)]
+    for r in (r for b in own.stripes() for r in b.to_pylist()):
+        if r["size"]:
+            got[r["size"] - 1][r["prefix"].decode()] += r["total"]
+            if r["size"] == 3:
+                got[3].update({(r["prefix"] + b" " + w).decode(): n for w, n in zip(r["nexts"], r["counts"])})
+        else:
+            assert r["total"] == sum(want[0].values())
+    assert [{k: v for k, v in g.items() if v} for g in got] == [dict(w) for w in want]
+    assert [int(c.settle().sum()) for c in counters] == [sum(w.values()) for w in want]
+
+
+def test_too_many_words_for_their_numbers(monkeypatch):
+    monkeypatch.setattr(phrases, "NUMBERS", 8)
+    own = phrases.Gathered(phrases.Words("x"))
+    numbers, _ = own.words.look_up([b"a", b"b", b"c", b"d"])
+    assert own.room_for(numbers) and own.room_for(numbers)
+    more, _ = own.words.look_up([b"e", b"f", b"g", b"h"])
+    assert not own.room_for(more) and own.long == [0, 1, 2, 3, 4]
+
+
 def test_full_counters_change_nothing(documents, monkeypatch):
     """Counters that are all full keep nothing out; the result is the same."""
     def full(texts, sieve, lengths, least):
@@ -93,6 +136,14 @@ def test_products_past_64_bits(spark):
     assert row.score == 2_000_000 * (big - 1) // (2 * big + 7)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.01, 0.3, 0.34, 1.0])
+def test_chunks_pack_and_unpack(share):
+    rng = np.random.default_rng(2)
+    counters = (rng.integers(1, 31, phrases.CHUNK) * (rng.random(phrases.CHUNK) < share)).astype(np.uint8)
+    data = phrases.packed_chunk(counters)
+    assert len(data) <= phrases.CHUNK and (phrases.unpacked_chunk(data) == counters).all()
+
+
 def test_one_prefix_is_striped_in_parts(spark):
     docs = spark.createDataFrame([("en", " ".join(f"the w{i}." for i in range(500)))], "lang string, text string").withColumn(
         "text", F.col("text").cast("binary"))
