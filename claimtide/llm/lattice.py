@@ -1,9 +1,9 @@
 """Document probabilities under a subword unigram model, summed over all segmentations.
 
 The pieces are those of an existing public vocabulary, and its order gives them their first scores.  The scores are then
-fitted to the training texts by expectation maximisation over the distinct words, each weighed by its count.  A word,
-led by a space, is a lattice of pieces; the forward recursion, in log space, adds up the probabilities of all its
-segmentations.  No piece spans two words, so a text's marginal probability is the product of its words' and of the end's.
+fitted to the training texts by one round of expectation maximisation over the distinct words, each weighed by its count.
+A word, led by a space, is a lattice of pieces; the forward recursion, in log space, adds up the probabilities of all its
+segmentations.  It depends on what stands before a place only, so words in sorted order share what they begin with.  No piece spans two words, so a text's marginal probability is the product of its words' and of the end's.
 
 Words are counted once over the whole corpus.  A document is scored by the most frequent words, a table of fixed size
 that every task holds, and by a join for all the others.
@@ -12,8 +12,9 @@ that every task holds, and by a join for all the others.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import exp, log, log10
 
 import pyarrow as pa
@@ -22,12 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimtide.llm.common import fold, replace_columns, staged, words_of
+from claimtide.llm.common import fold, free_name, replace_columns, staged, words_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-LONGEST_PIECE = 24
-ROUNDS = 2
-# Words that every task holds, and the longest of them in bytes.
+ROUNDS = 1
+# Words that every task holds; those of more bytes are held by their digest.
 HEAD_WORDS, HEAD_BYTES = 100_000, 64
 # Distinct words that a task gathers before it passes their counts on.
 GATHERED = 200_000
@@ -45,7 +45,7 @@ def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
         for line in lines:
             if line.strip():
                 pieces.append(base64.b64decode(line.split()[0]))
-    usable = [p for p in pieces if len(p) <= LONGEST_PIECE and p == p.lower() and (len(p) == 1 or p[1:].split() == [p[1:]])]
+    usable = [p for p in pieces if p == p.lower() and (len(p) == 1 or p[1:].split() == [p[1:]])]
     known = set(usable)
     return usable + [bytes([b]) for b in range(256) if bytes([b]) not in known]
 
@@ -84,29 +84,44 @@ def log_sum(values: list[float]) -> float:
     return top + log(sum([exp(v - top) for v in values]))
 
 
-def forward(word: bytes, table: dict[bytes, float | None]) -> float:
-    """Natural log of the probability of a word, led by a space, over all its segmentations."""
-    surface = b" " + word
-    n, get, reached = len(surface), table.get, 0.0
-    # What arrives at a position: later ones need no more than the longest piece of them.
-    incoming: list[list[float] | None] = [[] for _ in range(min(n, LONGEST_PIECE) + 1)]
-    ring = len(incoming)
-    incoming[0].append(0.0)
-    for i in range(n):
-        values = incoming[i % ring]
-        if len(values) == 1:
-            reached = values[0]
-        else:
-            top = max(values)
-            reached = top + log(sum([exp(v - top) for v in values]))
-        incoming[i % ring] = []
-        for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-            score = get(surface[i:j], False)
-            if score is False:
+def with_suffixes(scores: dict[bytes, float]) -> dict[bytes, float | None]:
+    """The scores, and None for every end of a piece that is no piece itself."""
+    table: dict[bytes, float | None] = dict(scores)
+    for p in scores:
+        for n in range(1, len(p)):
+            table.setdefault(p[n:], None)
+    return table
+
+
+def forward(words: Iterable[bytes], table: dict[bytes, float | None]) -> Iterator[float]:
+    """Natural log of the probability of each word, led by a space, over all its segmentations.
+
+    ``table`` comes from ``with_suffixes``.  Sums at places that a word has in common with the one before are taken over.
+    """
+    get, before, reached = table.get, b"", [0.0]
+    for word in words:
+        surface = b" " + word
+        same = 0
+        for x, y in zip(before, surface):
+            if x != y:
                 break
-            if score is not None:
-                incoming[j % ring].append(reached + score)
-    return log_sum(incoming[n % ring])
+            same += 1
+        del reached[same + 1:]
+        for j in range(same + 1, len(surface) + 1):
+            incoming = []
+            for i in range(j - 1, -1, -1):
+                score = get(surface[i:j], False)
+                if score is False:
+                    break
+                if score is not None:
+                    incoming.append(reached[i] + score)
+            if len(incoming) == 1:
+                reached.append(incoming[0])
+            else:
+                top = max(incoming)
+                reached.append(top + log(sum([exp(v - top) for v in incoming])))
+        before = surface
+        yield reached[-1]
 
 
 def expected(word: bytes, table: dict[bytes, float | None]) -> dict[bytes, float]:
@@ -240,12 +255,15 @@ def scored_words(words: DataFrame, scores: dict[bytes, float], end: float) -> Da
     shared = words.sparkSession.sparkContext.broadcast(scores)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = with_prefixes(shared.value)
+        table = with_suffixes(shared.value)
         for batch in batches:
-            found = [(forward(w, table) if w else end) / LN10 for w in batch.column(0).to_pylist()]
+            own = batch.column(0).to_pylist()
+            sums = forward([w for w in own if w], table)
+            found = [(next(sums) if w else end) / LN10 for w in own]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "lattice"])
 
-    return words.select("word", "count", "total").mapInArrow(run, "word binary, count long, total long, lattice double")
+    ordered = words.select("word", "count", "total").sortWithinPartitions("word")
+    return ordered.mapInArrow(run, "word binary, count long, total long, lattice double")
 
 
 # Documents -----------------------------------------------------------------------------------------------------------
@@ -260,57 +278,69 @@ class Totals:
         return log10((count + 1) / (self.tokens + self.distinct + 1))
 
 
+def held_key(word: bytes) -> bytes:
+    """The word, or a space and the digest of a long one: the table of held words has a fixed size then."""
+    return word if len(word) <= HEAD_BYTES else b" " + hashlib.md5(word).digest()
+
+
+def held_words(words: DataFrame, totals: Totals, head_words: int) -> dict[bytes, tuple[int, float, float]]:
+    """Whether known, base and score of the most frequent words, under their ``held_key``."""
+    digest = F.concat(F.lit(b" "), F.unhex(F.md5("word")))
+    key = F.when(F.length("word") <= HEAD_BYTES, F.col("word")).otherwise(digest)
+    head = words.orderBy(F.desc("total"), "word").limit(head_words).select(key.alias("key"), "count", "score")
+    return {bytes(r.key): (int(r["count"] > 0), totals.base(r["count"]), r.score) for r in head.toLocalIterator()}
+
+
 def score_documents(docs: DataFrame, words: DataFrame, totals: Totals, head_words: int = HEAD_WORDS) -> DataFrame:
     """Columns of ``docs`` but the text, with ``n_tokens, n_known, base_score, score``."""
-    spark = docs.sparkSession
-    head = words.filter(F.length("word") <= HEAD_BYTES).orderBy(F.desc("total"), "word").limit(head_words)
-    held = {r.word: (int(r["count"] > 0), totals.base(r["count"]), r.score) for r in
-            head.select(F.col("word"), "count", "score").toLocalIterator()}
-    held = {bytes(w): v for w, v in held.items()}
-    shared = spark.sparkContext.broadcast(held)
-    kept = replace_columns(docs, _text=F.col("text")).drop("text")
-    names = ["_row", "_tokens", "_known", "_base", "_score", "_words", "_counts"]
+    shared = docs.sparkSession.sparkContext.broadcast(held_words(words, totals, head_words))
+    text = free_name(docs, "_text")
+    kept = replace_columns(docs, **{text: F.col("text")}).drop("text")
+    names = [free_name(kept, n) for n in ("_row", "_tokens", "_known", "_base", "_score", "_words", "_counts")]
+    row_, tokens, known_, base_, score_, words_, counts_ = names
+    more = [free_name(kept, n) for n in ("_more_known", "_more_base", "_more_score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, row = shared.value, TaskContext.get().partitionId() << 40
+        held, row = shared.value, TaskContext.get().partitionId() << 40
         for batch in batches:
             columns: list[list] = [[] for _ in names]
             for text in batch.column(batch.num_columns - 1):
                 counts = Counter(words_of(text.as_py()))
                 counts[b""] = 1
-                known_, base, score, rare, often = 0, 0.0, 0.0, [], []
+                known, base, score, rare, often = 0, 0.0, 0.0, [], []
                 for w, n in counts.items():
-                    if (found := known.get(w)) is not None:
-                        known_ += n * found[0]
+                    found = held.get(w) if len(w) <= HEAD_BYTES else held.get(held_key(w))
+                    if found is not None:
+                        known += n * found[0]
                         base += n * found[1]
                         score += n * found[2]
                     else:
                         rare.append(w)
                         often.append(n)
-                for c, v in zip(columns, (row, sum(counts.values()), known_, base, score, rare, often)):
+                for c, v in zip(columns, (row, sum(counts.values()), known, base, score, rare, often)):
                     c.append(v)
                 row += 1
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(c, t) for c, t in zip(columns, kinds)]],
                                              names=[*batch.schema.names[:-1], *names])
 
-    schema = kept.drop("_text").schema
+    schema = kept.drop(text).schema
     for name, kind in zip(names, ("long", "long", "long", "double", "double", T.ArrayType(T.BinaryType()),
                                  T.ArrayType(T.LongType()))):
         schema = schema.add(name, kind)
     rows = staged(kept.mapInArrow(run, schema))
-    rare = rows.select("_row", F.explode(F.arrays_zip("_words", "_counts")).alias("w")).select(
-        "_row", F.col("w._words").alias("word"), F.col("w._counts").alias("n"))
+    rare = rows.select(row_, F.explode(F.arrays_zip(F.col(words_).alias("w"), F.col(counts_).alias("n"))).alias("e")).select(
+        row_, F.col("e.w").alias("word"), F.col("e.n").alias("n"))
     base = F.log10((F.col("count") + 1) / F.lit(float(totals.tokens + totals.distinct + 1)))
-    sums = rare.join(words, "word").groupBy("_row").agg(
-        F.sum(F.when(F.col("count") > 0, F.col("n")).otherwise(0)).alias("_more_known"),
-        F.sum(F.col("n") * base).alias("_more_base"), F.sum(F.col("n") * F.col("score")).alias("_more_score"))
-    both = rows.drop("_words", "_counts").join(sums, "_row", "left")
+    sums = rare.join(words, "word").groupBy(row_).agg(
+        F.sum(F.when(F.col("count") > 0, F.col("n")).otherwise(0)).alias(more[0]),
+        F.sum(F.col("n") * base).alias(more[1]), F.sum(F.col("n") * F.col("score")).alias(more[2]))
+    both = rows.drop(words_, counts_).join(sums, row_, "left")
+    none = F.lit(0.0)
     return replace_columns(
-        both, n_tokens=F.col("_tokens"), n_known=F.col("_known") + F.coalesce("_more_known", F.lit(0)),
-        base_score=F.col("_base") + F.coalesce("_more_base", F.lit(0.0)),
-        score=F.col("_score") + F.coalesce("_more_score", F.lit(0.0))).drop(
-        "_row", "_tokens", "_known", "_base", "_score", "_more_known", "_more_base", "_more_score")
+        both, n_tokens=F.col(tokens), n_known=F.col(known_) + F.coalesce(more[0], F.lit(0)),
+        base_score=F.col(base_) + F.coalesce(more[1], none),
+        score=F.col(score_) + F.coalesce(more[2], none)).drop(row_, tokens, known_, base_, score_, *more)
 
 
 def add_scores(words: DataFrame, totals: Totals) -> DataFrame:
