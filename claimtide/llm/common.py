@@ -32,10 +32,16 @@ def fold(doc_id: Column | str, parts: int) -> Column:
 
 
 def row_key(*columns: str) -> Column:
-    """md5 of the columns' texts; NULL counts as empty.  Rows alike in these columns, and only they, share it."""
+    """md5 of the columns' texts; NULL counts as empty, and only the last column's text may hold a stroke."""
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
+def framed(value: Column) -> Column:
+    """``-`` for NULL, else the number of UTF-8 bytes, a colon and the value as text: no two rows of values are alike."""
+    text = value.cast("string")
+    return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

@@ -53,13 +53,13 @@ class Tree:
         return self.high @ np.maximum(queries, 0).T + self.low @ np.minimum(queries, 0).T
 
 
-def search(ids, points, query_ids, queries, floors, k):
-    """Best-first search of every query in one shard's tree: row numbers of queries, ids and integer scores."""
+def search(ids, own, points, query_own, queries, floors, k):
+    """Best-first search of every query in one shard's tree: places of queries and of points, and integer scores."""
     reach = float(np.abs(points).max()) * float(np.abs(queries).max()) * points.shape[1]
     if reach >= EXACT:
-        return _plain(ids, points, query_ids, queries, k)
+        return _plain(ids, own, points, query_own, queries, k)
     tree = Tree(points)
-    ids, points = ids[tree.order], points[tree.order]
+    ids, own, points = ids[tree.order], own[tree.order], points[tree.order]
     rows, found, scores = [], [], []
     for first in range(0, len(queries), 512):
         bounds = tree.bounds(queries[first:first + 512])
@@ -80,55 +80,57 @@ def search(ids, points, query_ids, queries, floors, k):
                     bar = -np.partition(-score[keep], k)[k]
                     keep = keep[score[keep] >= bar]
                 for j in keep.tolist():
-                    item = (float(score[j]), -int(ids[start + j]))
-                    if -item[1] == query_ids[at]:
+                    if own[start + j] == query_own[at]:
                         continue
+                    item = (float(score[j]), -int(ids[start + j]), start + j)
                     if len(best.heap) < k:
                         heapq.heappush(best.heap, item)
-                    elif item > best.heap[0]:
+                    elif item[:2] > best.heap[0][:2]:
                         heapq.heapreplace(best.heap, item)
-            for s, i_ in best.heap:
+            for s, _, place in best.heap:
                 rows.append(at)
-                found.append(-i_)
+                found.append(int(tree.order[place]))
                 scores.append(int(s))
     return rows, found, scores
 
 
-def _plain(ids, points, query_ids, queries, k):
+def _plain(ids, own, points, query_own, queries, k):
     """Vectors too large for exact doubles: every product as Python integers."""
     rows, found, scores = [], [], []
     whole = [[int(x) for x in p] for p in points]
     for at, q in enumerate(queries):
         q = [int(x) for x in q]
-        items = [(-sum(a * b for a, b in zip(p, q)), int(i)) for p, i in zip(whole, ids) if i != query_ids[at]]
-        for s, i in heapq.nsmallest(k, items):
+        items = [(-sum(a * b for a, b in zip(p, q)), int(i), place) for place, (p, i) in enumerate(zip(whole, ids))
+                 if own[place] != query_own[at]]
+        for s, _, place in heapq.nsmallest(k, items):
             rows.append(at)
-            found.append(i)
+            found.append(place)
             scores.append(-s)
     return rows, found, scores
 
 
 def exact_top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = SCALE,
                 shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for every row whose id is divisible by ``every``, against all other ids.
+    """``query_id, rank, vec_id, score`` for every row whose id is divisible by ``every``, against all other rows.
 
     Components x become floor(scale * x), and the score is the integer inner product.  Vectors that are NULL or empty
-    or hold NULL or non-finite components take no part, nor do NULL ids; of rows with one id the least vector stands.
-    Vectors are compared with those of their own dimension.  Ties go to the smaller id; a query with fewer than k
-    others has them all, one without any has no row.  Scores must fit a long.
+    or hold NULL or non-finite components take no part.  Rows that share an id are rows of their own: each is a
+    candidate for the others, and each that asks has its own ranks.  A row without an id is a candidate, last among
+    ties.  Vectors are compared with those of their own dimension.  Ties go to the smaller id; a query with fewer than
+    k others has them all, one without any has no row.  Scores must fit a long.
     """
-    vectors = staged(valid_vectors(embeddings, "embedding", lambda x: F.floor(x * scale).cast("double")))
+    vectors = valid_vectors(embeddings, "embedding", lambda x: F.floor(x * scale).cast("double"))
     asked = vectors.filter(F.col("vec_id") % every == 0)
     parallelism = embeddings.sparkSession.sparkContext.defaultParallelism
     shards = shards_for(vectors.count(), parallelism, shard_rows)
     blocks = shards_for(asked.count(), 1, block_rows)
-    sharded = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    sharded = vectors.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     start = asked.withColumn("floor", F.lit(None).cast("double"))
     first = staged(top_of_grid(sharded.filter("shard = 0"), start, k, search, "long", 1, blocks))
     if shards == 1:
-        return first
-    floors = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+        return first.drop("query_row")
+    floors = first.filter(F.col("rank") == k).select(F.col("query_row").alias("row"), F.col("score").cast("double").alias("floor"))
     others = sharded.filter("shard > 0").withColumn("shard", F.col("shard") - 1)
-    bounded = staged(asked.join(floors, "vec_id", "left"))
+    bounded = staged(asked.join(floors, "row", "left"))
     rest = top_of_grid(others, bounded, k, search, "long", shards - 1, blocks)
-    return ranked(first.drop("rank").unionByName(rest.drop("rank")), k)
+    return ranked(first.drop("rank").unionByName(rest.drop("rank")), k).drop("query_row")

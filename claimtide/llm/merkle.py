@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import staged
+from claimtide.llm.common import framed, staged
 
 FAN = 2
 # Levels climbed in one exchange; a window then holds at most FAN ** DEPTH rows.
@@ -31,12 +31,6 @@ def digest(*parts: Column) -> Column:
     return F.sha2(F.concat(*parts).cast("binary"), 256)
 
 
-def framed(value: Column) -> Column:
-    """``-`` for NULL, else the number of UTF-8 bytes, a colon and the value as text."""
-    text = value.cast("string")
-    return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
-
-
 def leaf_hash(values: Sequence[Column]) -> Column:
     return digest(*[framed(v) for v in values])
 

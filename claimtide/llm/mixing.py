@@ -18,7 +18,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import free_name, repeat_rows, replace_columns, row_key, running_total, staged, word_count
+from claimtide.llm.common import (framed, free_name, repeat_rows, replace_columns, running_total, staged,
+                                  word_count)
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -28,6 +29,13 @@ MAX_BLOCKS = 10 ** 9
 # Single documents that may follow the last one that fits; where they leave a source far off, ``_fill`` goes on.
 EXTRA = 3
 KEY = ("doc_id", "source", "text")
+
+
+def whole_key(columns) -> Column:
+    """md5 of the columns' values; only rows alike in all of them, NULL and empty text apart, share it."""
+    return F.md5(F.concat(*[framed(F.col(f"`{c}`")) for c in columns]))
+
+
 # Facts of all sources up to this size go to every executor.
 BROADCAST_BYTES = 16 << 20
 
@@ -187,7 +195,7 @@ def _with_fills(placed: DataFrame, further: Column, short: dict, extra: dict) ->
 
 
 def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: int = 17,
-             weights: tuple[int, ...] = WEIGHTS, most: int = MAX_REPEAT) -> DataFrame:
+             weights: tuple[int, ...] = WEIGHTS, most: int = MAX_REPEAT, key: tuple[str, ...] = KEY) -> DataFrame:
     """Where every document goes: ``doc_id, source, size, row_key, source_size, target, shards``.
 
     ``shards`` has one shard for each time the document is taken, at most ``most``.  A source takes whole passes over
@@ -195,13 +203,13 @@ def plan_mix(docs: DataFrame, shards: int = 8, block_words: int = 4096, seed: in
     in size to what is still missing, if that brings it nearer.  If these leave the source further off than the mean
     of the documents that could have filled the gap, all documents that still fit are taken in their place, larger size
     classes first and in hash order in a class, and one that overshoots only if it comes nearer; of both ways the
-    nearer one counts.  ``row_key`` is the md5 of id, source and text.
+    nearer one counts.  ``row_key`` is the md5 of the values of ``key``: id, source and text unless told otherwise.
 
-    NULL texts and texts without words have size 0; NULL is a source of its own, last in order.  Rows equal in id,
-    source and text are separate documents of the stream.  A NULL id takes part like any other.  A source without
+    NULL texts and texts without words have size 0; NULL is a source of its own, last in order.  Rows equal in
+    the key are separate documents of the stream.  A NULL id takes part like any other.  A source without
     words has target 0.  An empty table gives an empty plan.
     """
-    rows = staged(docs.select("doc_id", "source", word_count("text").alias("size"), row_key(*KEY).alias("row_key")))
+    rows = staged(docs.select("doc_id", "source", word_count("text").alias("size"), whole_key(key).alias("row_key")))
     sources = _sources(rows)
     wanted = targets([r.total for r in sources], weights, most)
     info = []
@@ -260,17 +268,18 @@ def mix_documents(docs: DataFrame, shards: int = 8, names: tuple[str, str] = ("s
     """The mix itself: rows of ``docs``, repeated as often as taken, with ``shard`` and ``mix_order`` (or as named).
 
     Rows are arranged by shard and, inside a shard, by a hash of document and repeat; a large shard covers several
-    partitions.  Input columns with the names of added ones are replaced.  Rows alike in id, source and text share the
-    times that they are taken.  Other cases as in ``plan_mix``.
+    partitions.  Input columns with the names of added ones are replaced.  Rows that differ in any column, be it a NULL
+    against an empty text, are planned apart, and each copy has the columns of its own row; rows alike in all of them
+    are exchangeable.  Other cases as in ``plan_mix``.
     """
-    plan = plan_mix(docs, shards, **options)
+    plan = plan_mix(docs, shards, key=tuple(docs.columns), **options)
     key, rows, drawn, nth, when = (free_name(docs, n) for n in ("_row_key", "_rows", "_drawn", "_nth", "_when"))
     # All but repeated rows are alone under their key, so nothing unbounded is gathered for them; of repeated rows
     # only counts by shard are, which are as many as there are shards.
     counts = plan.select("row_key", F.explode("shards").alias("shard"), "size").groupBy("row_key", "shard").agg(
         F.count(F.lit(1)).alias(rows))
     by_key = counts.select(F.col("row_key").alias(key), F.col("shard").alias(drawn), rows)
-    single = docs.withColumn(key, row_key(*KEY))
+    single = docs.withColumn(key, whole_key(docs.columns))
     first = single.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).filter(F.col(nth) == 1)
     mixed = repeat_rows(first.join(by_key, key), rows, when)
     order = F.md5(F.concat_ws("|", F.col(key), F.col(drawn).cast("string"), F.col(when).cast("string")))

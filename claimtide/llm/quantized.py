@@ -14,7 +14,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import staged
 from claimtide.llm.vector_grid import BLOCK_ROWS, SHARD_ROWS, Best, shards_for, top_of_grid, valid_vectors
 
 TILE_QUERIES, TILE_ROWS = 512, 4096
@@ -47,8 +46,8 @@ def encode(rows: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return codes, scale, np.linalg.norm(decoded, axis=1), np.linalg.norm(unit - decoded, axis=1)
 
 
-def search(ids, rows, query_ids, queries, floors, k):
-    """The k best cosines of every query in one shard: row numbers of queries, ids and scores."""
+def search(ids, own, rows, query_own, queries, floors, k):
+    """The k best cosines of every query in one shard: places of queries and of vectors, and scores."""
     kind = np.float32 if rows.shape[1] <= EXACT_DIMENSION else np.float64
     rows, queries = balanced(rows), balanced(queries)
     norm, query_norm = np.sqrt(summed(rows * rows)), np.sqrt(summed(queries * queries))
@@ -63,7 +62,7 @@ def search(ids, rows, query_ids, queries, floors, k):
             near = (left @ codes[tile].astype(kind).T).astype(np.float64)
             near *= query_scale[part, None] * scale[None, tile]
             error = query_lost[part, None] + query_size[part, None] * lost[None, tile] + SLACK
-            near[query_ids[part, None] == ids[None, tile]] = -np.inf
+            near[query_own[part, None] == own[None, tile]] = -np.inf
             bar = np.array([b.bar() for b in best[part]])
             if near.shape[1] >= k:
                 bar = np.maximum(bar, np.partition(near - error, near.shape[1] - k, axis=1)[:, near.shape[1] - k])
@@ -75,27 +74,29 @@ def search(ids, rows, query_ids, queries, floors, k):
                 i, j = q[at:at + 65_536], x[at:at + 65_536]
                 exact[at:at + 65_536] = summed(queries[i] * rows[j]) / (query_norm[i] * norm[j])
             for i, j, s in zip(q.tolist(), x.tolist(), exact.tolist()):
-                item, heap = (s, -int(ids[j])), best[i].heap
+                item, heap = (s, -int(ids[j]), j), best[i].heap
                 if len(heap) < k:
                     heapq.heappush(heap, item)
-                elif item > heap[0]:
+                elif item[:2] > heap[0][:2]:
                     heapq.heapreplace(heap, item)
-    hits = [(i, -n, s) for i, b in enumerate(best) for s, n in b.heap]
+    hits = [(i, place, s) for i, b in enumerate(best) for s, _, place in b.heap]
     return [h[0] for h in hits], [h[1] for h in hits], [h[2] for h in hits]
 
 
 def nearest_by_cosine(embeddings: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHARD_ROWS,
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for every row whose id is divisible by ``every``, against all other ids.
+    """``query_id, rank, vec_id, score`` for every row whose id is divisible by ``every``, against all other rows.
 
     The score is the cosine in double precision of the original vectors.  Vectors that are NULL, empty or zero or hold
-    NULL or non-finite components take no part, nor do NULL ids; of rows with one id the least vector stands.  Vectors
+    NULL or non-finite components take no part.  Rows that share an id are rows of their own: each is a candidate for
+    the others, and each that asks has its own ranks.  A row without an id is a candidate, last among ties.  Vectors
     are compared with those of their own dimension.  Ties go to the smaller id; a query with fewer than k others has
     them all, one without any has no row.
     """
-    vectors = staged(valid_vectors(embeddings, "embedding", keep_zero=False))
+    vectors = valid_vectors(embeddings, "embedding", keep_zero=False)
     asked = vectors.filter(F.col("vec_id") % every == 0).withColumn("floor", F.lit(None).cast("double"))
     parallelism = embeddings.sparkSession.sparkContext.defaultParallelism
     shards = shards_for(vectors.count(), parallelism, shard_rows)
-    sharded = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    return top_of_grid(sharded, asked, k, search, "double", shards, shards_for(asked.count(), 1, block_rows))
+    sharded = vectors.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
+    found = top_of_grid(sharded, asked, k, search, "double", shards, shards_for(asked.count(), 1, block_rows))
+    return found.drop("query_row")

@@ -85,6 +85,8 @@ def op3(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+# A value that can't be taken for two others or for none: its bytes and itself, or a stroke for NULL.
+FRAMED = "case when {0} is null then '-' else strlen(cast({0} as varchar)) || ':' || {0} end"
 # Capping, reshared by weight, and single documents nearest to what is missing: a round each.
 SHARES = "\n".join(f"""
 t{k} as (select * replace (case when not capped and unit * weight > 3 * source_size then true else capped end as capped)
@@ -104,7 +106,7 @@ s{k} as (select s.source, case when e.best is null then 0 else s.short - e.best.
 
 @register("op4_mix_sources", f"""
 with d as materialized (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
-  md5(coalesce(cast(doc_id as varchar), '') || '|' || coalesce(source, '') || '|' || coalesce(text, '')) as row_key from documents),
+  md5({' || '.join(FRAMED.format(c) for c in mixing.KEY)}) as row_key from documents),
 t0 as (select source, cast(sum(size) as bigint) as source_size, false as capped, cast(sum(sum(size)) over () as bigint) as total,
   [5, 2, 1][1 + cast((row_number() over (order by source nulls last) - 1) % 3 as int)] as weight from d group by source),{SHARES}
 goals as (select source, source_size, target, least(3, case when source_size = 0 then 0 else floor(target / source_size) end) as passes,
@@ -149,24 +151,24 @@ def op10(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-VALID = """select vec_id, min({vector}) as v from embeddings where vec_id is not null and len(embedding) > 0
-  and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 group by vec_id"""
-TOP = """with e as ({valid})
+VALID = """select vec_id, row_number() over () as row, {vector} as v from embeddings where len(embedding) > 0
+  and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0{more}"""
+TOP = """with e as materialized ({valid})
 select query_id, cast(rank as int) as rank, vec_id, score from (
   select q.vec_id as query_id, c.vec_id, {score} as score,
-    row_number() over (partition by q.vec_id order by {score} desc, c.vec_id) as rank
-  from e q join e c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)) where rank <= 5"""
+    row_number() over (partition by q.row order by {score} desc, c.vec_id nulls last) as rank
+  from e q join e c on q.vec_id % 50 = 0 and q.row <> c.row and len(q.v) = len(c.v)) where rank <= 5"""
 
 
 @register("op2_kdtree_top_k", TOP.format(
-    valid=VALID.format(vector="list_transform(embedding, lambda x: floor(cast(x as double) * 256))"),
+    valid=VALID.format(vector="list_transform(embedding, lambda x: floor(cast(x as double) * 256))", more=""),
     score="cast(list_dot_product(q.v, c.v) as bigint)"))
 def op2(spark, sf_dir):
     return kdtree.exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
 @register("op8_int8_block_join", TOP.format(
-    valid=VALID.format(vector="cast(embedding as double[])") + " having list_max(list_transform(min(cast(embedding as double[])), lambda x: abs(x))) > 0",
+    valid=VALID.format(vector="cast(embedding as double[])", more=" and list_max(list_transform(cast(embedding as double[]), lambda x: abs(x))) > 0"),
     score="list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v)))"))
 def op8(spark, sf_dir):
     return quantized.nearest_by_cosine(table(spark, sf_dir, "embeddings"))
@@ -191,7 +193,6 @@ def op1(spark, sf_dir):
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-FRAMED = "case when {0} is null then '-' else strlen(cast({0} as varchar)) || ':' || {0} end"
 LEAF = "sha256(" + " || ".join(FRAMED.format(f) for f in merkle.FIELDS) + ")"
 SHOWN = "sha256(" + " || ".join(FRAMED.format("(n_chars::hugeint + struck)" if f == "n_chars" else f) for f in merkle.FIELDS) + ")"
 # Levels from the leaves up, and the way of each leaf through them: ``fold`` is made from what is shown.

@@ -113,11 +113,12 @@ def test_mix(request, table):
     again = mixing.plan_mix(docs.repartition(3), shards=5, block_words=64).collect()
     key = lambda rows: Counter((r.row_key, tuple(r.shards)) for r in rows)
     assert key(again) == key(plan)
+    plan = mixing.plan_mix(docs, shards=5, block_words=64, key=tuple(docs.columns)).collect()
     mix = mixing.mix_documents(docs, shards=5, block_words=64)
     assert {c.lower() for c in docs.columns} | {"shard", "mix_order"} == {c.lower() for c in mix.columns}
     rows = mix.collect()
     assert Counter((r.doc_id, r.text, r.source) for r in rows) == Counter(
-        {k: n for k, n in _copies(plan, source).items() if n})
+        {k: n for k, n in _copies(plan, source, docs.columns).items() if n})
     assert Counter(r.shard for r in rows) == Counter(s for r in plan for s in r.shards)
 
 
@@ -133,13 +134,26 @@ def test_one_document_far_larger_than_the_gap(spark, doc_id, long, weights):
     assert len({s for r in plan if r.source == "big" for s in r.shards}) == 5
 
 
-def _copies(plan, source):
+def _copies(plan, source, columns):
+    """Times that each id, text and source is taken, over the rows that differ anywhere."""
     import hashlib
-    drawn = Counter()
+    drawn, out = Counter(), Counter()
     for r in plan:
         drawn[r.row_key] += len(r.shards)
-    out = {}
-    for r in source:
-        text = "|".join(["" if r.doc_id is None else str(r.doc_id), r.source or "", r.text or ""])
-        out[r.doc_id, r.text, r.source] = drawn[hashlib.md5(text.encode()).hexdigest()]
+    for r in {tuple(r): r for r in source}.values():
+        values = ["-" if r[c] is None else f"{len(str(r[c]).encode())}:{r[c]}" for c in columns]
+        out[r.doc_id, r.text, r.source] += drawn[hashlib.md5("".join(values).encode()).hexdigest()]
     return out
+
+
+def test_rows_that_differ_anywhere_are_rows_of_their_own(spark):
+    """NULL against empty, strokes inside values, and other columns: every copy has the columns of its own row."""
+    rows = [(1, "same text " * 3, None, "x", 1), (1, "same text " * 3, "", "y", 2), (2, "y z y z y z", "a|x", "en", 3),
+            (2, "x|y z y z y z", "a", "en", 4),
+            (3, "one two", "s", "en", 5), (3, "one two", "s", "fr", 6), (3, "one two", "s", None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, mine int")
+    mixed = mixing.mix_documents(docs, shards=2, block_words=1, weights=(1,)).collect()
+    assert {r.mine for r in mixed} == {1, 2, 3, 4, 5, 6, 7}
+    assert {tuple(r[:5]) for r in mixed} == set(rows)
+    plan = mixing.plan_mix(docs, shards=2, block_words=1, weights=(1,), key=tuple(docs.columns)).collect()
+    assert len({r.row_key for r in plan}) == 7 and len(mixed) == sum(len(r.shards) for r in plan)
