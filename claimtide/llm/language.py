@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import fold, replace_columns
+from claimtide.llm.common import fold, replace_columns, staged
 
 ORDERS = 3
 PLACES_BITS = 18
@@ -76,18 +76,33 @@ def sample(docs: DataFrame, texts: int = FIT_TEXTS) -> DataFrame:
 
     Labels are counted first, so that each language is thinned before its rows are ranked.
     """
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != ""))
-    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
-    if not counts:
-        return usable.limit(0)
-    each = max(LEAST_TEXTS, texts // len(counts))
-    chance = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 2.0 * each / n)))])
-    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1 << 30)) / float(1 << 30)
-    thinned = usable.select("lang", "text", drawn.alias("drawn")).filter(F.col("drawn") < chance[F.col("lang")])
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != "")).select(
+        "lang", "text", F.col("doc_id").cast("string").alias("doc_id"))
+    counts = staged(usable.groupBy(F.col("lang").alias("known")).agg(F.count(F.lit(1)).alias("rows")))
+    each = max(LEAST_TEXTS, texts // max(1, counts.count()))
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    # The written counts show Spark their true size; a row that is thinned out here goes no further.
+    thinned = usable.join(counts, F.col("lang") == F.col("known")).withColumn("drawn", drawn).filter(
+        F.col("drawn") < 2.0 * each / F.col("rows"))
     order = Window.partitionBy("lang").orderBy("drawn", "text")
     return thinned.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= each).select("lang", "text")
 
 
+def pack(present: np.ndarray) -> bytes:
+    """Places as numbers or as bits, whichever is shorter: 32 KB at most, however long the text."""
+    if 4 * len(present) < PLACES // 8:
+        return present.astype("<i4").tobytes()
+    seen = np.zeros(PLACES, dtype=bool)
+    seen[present] = True
+    return np.packbits(seen).tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    if len(data) == PLACES // 8:
+        return np.flatnonzero(np.unpackbits(np.frombuffer(data, dtype=np.uint8)))
+    return np.frombuffer(data, dtype="<i4")
+
+
 class Model:
     """Languages, the places that any landmark has, and the folded matrix of these places times languages."""
 
@@ -115,9 +130,17 @@ class Model:
 
 
 def fit(texts: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Fit on texts given by their places, in any order: rows are sorted first, so the model doesn't depend on it."""
-    order = sorted(range(len(labels)), key=lambda i: (labels[i], len(texts[i]), texts[i].tobytes()))
-    texts, labels = [texts[i] for i in order if len(texts[i])], [labels[i] for i in order if len(texts[i])]
+    """Fit on texts given by their places; see ``fit_packed``."""
+    return fit_packed([pack(t) for t in texts], labels, landmarks, ridge)
+
+
+def fit_packed(packed: list[bytes], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Fit on packed texts in any order: rows are sorted first, so the model doesn't depend on it.
+
+    Texts are unpacked one at a time, landmarks aside.
+    """
+    order = sorted(range(len(labels)), key=lambda i: (labels[i], len(packed[i]), packed[i]))
+    packed, labels = [packed[i] for i in order if len(packed[i])], [labels[i] for i in order if len(packed[i])]
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros(0, dtype=np.int64), np.zeros((0, 0), dtype=np.float32), np.zeros(0))
@@ -126,18 +149,23 @@ def fit(texts: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS,
     for lang in languages:  # landmarks are spread evenly over the languages
         own = [i for i, x in enumerate(labels) if x == lang]
         chosen += sorted(rng.permutation(own)[:max(1, landmarks // len(languages))].tolist())
-    places = np.unique(np.concatenate([texts[i] for i in chosen]))
+    anywhere = np.zeros(PLACES, dtype=bool)
+    for i in chosen:
+        anywhere[unpack(packed[i])] = True
+    places = np.flatnonzero(anywhere)
     where = np.full(PLACES, -1, dtype=np.int64)
     where[places] = np.arange(len(places))
     base = np.zeros((len(places), len(chosen)), dtype=np.float32)  # places times landmarks, normalised
     for j, i in enumerate(chosen):
-        base[where[texts[i]], j] = 1 / np.sqrt(len(texts[i]))
+        own = unpack(packed[i])
+        base[where[own], j] = 1 / np.sqrt(len(own))
     among = (base.T @ base).astype(np.float64)
     values, vectors = np.linalg.eigh(among)
     good = values > 1e-6 * values[-1]
     half = vectors[:, good] / np.sqrt(values[good])
-    kernels = np.zeros((len(texts), len(chosen)))
-    for i, present in enumerate(texts):
+    kernels = np.zeros((len(packed), len(chosen)))
+    for i, data in enumerate(packed):
+        present = unpack(data)
         inside = where[present]
         kernels[i] = base[inside[inside >= 0]].sum(axis=0) / np.sqrt(len(present))
     features = kernels @ half
@@ -157,11 +185,11 @@ def fit_on(docs: DataFrame, texts: int = FIT_TEXTS, landmarks: int = LANDMARKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [presence(t.as_py()).astype(np.int32).tobytes() for t in batch.column(1)]
+            found = [pack(presence(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["lang", "places"])
 
     rows = sample(docs, texts).mapInArrow(run, "lang string, places binary").collect()
-    return fit([np.frombuffer(r.places, dtype=np.int32) for r in rows], [r.lang for r in rows], landmarks)
+    return fit_packed([bytes(r.places) for r in rows], [r.lang for r in rows], landmarks)
 
 
 # Scoring -------------------------------------------------------------------------------------------------------------
