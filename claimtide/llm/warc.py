@@ -169,15 +169,26 @@ def _whole(x) -> int | None:
     return None if x is None or pd.isna(x) else int(x)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI; without a scheme it lies in Spark's own default file system, which a written table names."""
+    if "://" not in folder and not folder.startswith("file:"):
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{folder}/place")
+        folder = spark.read.parquet(f"{folder}/place").inputFiles()[0].rpartition("/place/")[0]
+    scheme, _, path = folder.partition(":")
+    folder = f"{scheme}://{path}" if not path.startswith("//") else folder
+    pafs.FileSystem.from_uri(folder)  # an unknown scheme fails here, not in the tasks
+    return folder
+
+
 def write_archives(pages: DataFrame, folder: str, dictionary: bytes, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write records of ``page_id, url, payload, record_type, refers_to``; returns the manifest.
 
-    The manifest, a table in the same folder, has one row per archive: ``archive, records, bytes``.  ``folder`` is a URI that
-    every executor reaches, such as one under the shared checkpoint folder.
+    The manifest, a table in the same folder, has one row per archive: ``archive, records, bytes``.  ``folder`` is one that
+    every executor reaches, such as one under the shared checkpoint folder; without a scheme it is Spark's to place.
     """
     spark = pages.sparkSession
     shared = spark.sparkContext.broadcast(dictionary)
-    target = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+    target = qualified(spark, folder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = pafs.FileSystem.from_uri(target)

@@ -102,3 +102,10 @@ def test_broken_records_are_refused():
 
 def test_dictionary_of_few_samples_is_left_out():
     assert warc.train_dictionary([]) == b"" and warc.train_dictionary([b"a"]) == b""
+
+
+def test_a_folder_without_a_scheme_lies_where_spark_puts_it(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path / "a")) == f"file://{tmp_path}/a"
+    assert warc.qualified(spark, f"file:{tmp_path}/b") == warc.qualified(spark, f"file://{tmp_path}/b") == f"file://{tmp_path}/b"
+    with pytest.raises(Exception):
+        warc.qualified(spark, "nowhere://host/folder")
