@@ -3,22 +3,24 @@
 A stripe holds how often its prefix occurs and, per next word, how often that word follows.  Stripes of one prefix merge
 elementwise, so tasks gather them over their texts and pass them on whenever they hold many.  The merged stripes give all
 that the scores need: the extensions of a prefix are the longer phrases, its total is the first part of their cuts, and
-its greatest entry is the largest phrase that goes on from it.  The empty prefix counts all words.  A prefix with very
-many next words is striped in parts, by a hash of the next word; its total goes with the first part.
+its greatest entry is the largest phrase that goes on from it.
 
-A phrase below the least count can't be, or be part of, a candidate.  Two passes over the texts therefore add up hashed
-counters of words and phrases in tables of fixed size: a phrase in a counter below the least count is certainly rarer and
-stays out of the stripes (its prefix still counts).  Larger input fills the counters, so fewer phrases stay out; the
-result doesn't depend on them, only the size of what is exchanged (``BITS``).
+The texts are read once for each length of prefix, from the empty one, whose stripe counts all words, to three words.  No
+phrase is more frequent than its parts, so a prefix, and a word behind it, are only counted where all shorter phrases in
+them reach the least count.  Tasks know these by a bitmap of hashes that Spark makes from the merged stripes one word
+shorter: about 16 bits a phrase and never more than 2 ** ``MOST_BITS``.  A bit too many only means counting in vain.
+
+A very frequent prefix is striped in parts, by a hash of the next word, as many as its known count asks for; its total
+goes with the first part.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,19 +34,19 @@ KEPT = 2000
 COVERED = 80
 SCALE = 2_000_000
 UNKNOWN = "und"
-# Counters for phrases of 1 to 4 words, as powers of two, and counters merged in one row.
-BITS = (22, 24, 23, 22)
-CHUNK = 1 << 16
 # Distinct phrases that a task gathers, and words that it remembers.
-GATHERED, REMEMBERED = 400_000, 400_000
+GATHERED, REMEMBERED = 4_000_000, 400_000
 # Words that are looked at together; numbers of a language's frequent words have 16 bits, so that four fit a code.
 AT_ONCE, NUMBERS = 50_000, 1 << 16
-# Places, and codes of phrases, that wait to be added up.
-WAITING = 1_000_000
-# Parts of the stripes of prefixes with 0 to 3 words.
-PARTS = (1, 64, 16, 4)
+# Codes of phrases that wait to be added up.
+WAITING = 4_000_000
+# Sizes of the bitmaps, as powers of two; Spark makes them in pieces of 2 ** 15 bits.
+LEAST_BITS, MOST_BITS, PIECE_BITS = 16, 29, 15
+# Parts of the empty prefix.  Others have one for each so many occurrences; those that have more than one are known to
+# all tasks, the most frequent ``MOST_HOT`` of them.
+FIRST_PARTS, PART_ROWS, MOST_PARTS, MOST_HOT = 256, 200_000, 1024, 65_536
 # Buckets that choose the first phrases of a language before one task does.
-BUCKETS = 64
+BUCKETS = 16
 
 # Bytes that end a piece become full stops, tabs become spaces, A-Z are lower-cased.
 PIECES = bytes(46 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else LOWER[b] for b in range(256))
@@ -57,12 +59,16 @@ def words_and_stops(text: bytes | None) -> list[bytes]:
     return text.translate(PIECES).replace(b".", b" . ").split() if text else []
 
 
+def seed_of(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+
+
 class Words(dict):
     """Number and hash of every word of a language; 0 is the end of a piece."""
 
     def __init__(self, lang: str):
         super().__init__({b".": 0})
-        self.lang, self.seed = lang, xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+        self.lang, self.seed = lang, seed_of(lang)
         self.all, self.digests, self.hashes = [b"."], [0], np.zeros(1, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
@@ -94,6 +100,12 @@ class Lexicon:
         return self.known[lang]
 
 
+def joined(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of a phrase from the hash of its beginning and that of its last word."""
+    mixed = (before * FIRST) ^ (last * SECOND)
+    return (mixed ^ (mixed >> np.uint64(29))) | np.uint64(1)
+
+
 def phrase_hashes(hashes: np.ndarray) -> Iterator[np.ndarray]:
     """For phrases of 1 to ``LONGEST`` words the hash of the one at each place; 0 where a piece ends first."""
     own = hashes
@@ -102,21 +114,31 @@ def phrase_hashes(hashes: np.ndarray) -> Iterator[np.ndarray]:
         longer = np.zeros_like(hashes)
         if len(hashes) > n:
             before, last = own[:-n], hashes[n:]
-            mixed = (before * FIRST) ^ (last * SECOND)
-            longer[:-n] = np.where((before != 0) & (last != 0), (mixed ^ (mixed >> np.uint64(29))) | np.uint64(1), 0)
+            longer[:-n] = np.where((before != 0) & (last != 0), joined(before, last), 0)
         own = longer
         yield own
 
 
+def hash_of(lang: str, phrase: bytes) -> int:
+    """The hash that ``phrase_hashes`` gives to a phrase."""
+    own, seed = None, seed_of(lang)
+    for word in phrase.split(b" "):
+        one = np.array([xxhash.xxh64_intdigest(word, seed) | 1], dtype=np.uint64)
+        own = one if own is None else joined(own, one)
+    return int(own[0])
+
+
 def places(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((hashes * FIRST) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 class Sieve:
-    """Bits of the counters that reach the least count, for phrases of 1 to ``LONGEST`` words as far as known."""
+    """What tasks know of the phrases counted so far: per length a bitmap, and the parts of very frequent prefixes."""
 
-    def __init__(self, levels: list[np.ndarray]):
-        self.levels = levels
+    def __init__(self, levels: list[tuple[int, np.ndarray]] = (), hot: dict[int, int] | None = None):
+        self.levels = list(levels)
+        some = sorted((hot or {}).items())
+        self.hot, self.parts = np.array([h for h, _ in some], dtype=np.uint64), np.array([p for _, p in some], dtype=np.int64)
 
     def passes(self, hashes: list[np.ndarray]) -> list[np.ndarray]:
         """Whether the phrase of 1 to ``LONGEST`` words at each place may be frequent, as all its parts may."""
@@ -126,11 +148,20 @@ class Sieve:
             if n:
                 ok[:-1] &= found[-1][:-1] & found[-1][1:]
             if n < len(self.levels):
-                at = places(own[ok], BITS[n])
-                ok[ok] = (self.levels[n][at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                bits, level = self.levels[n]
+                at = places(own[ok], bits)
+                ok[ok] = (level[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             found.append(ok)
         return found
 
+    def parts_of(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.ones(len(hashes), dtype=np.int64)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, hashes), len(self.hot) - 1)
+            known = self.hot[at] == hashes
+            out[known] = self.parts[at[known]]
+        return out
+
 
 def words_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], int]]:
     """Words and stops of many texts of a language at once; ``batches`` have ``lang, text``, the text in bytes.
@@ -163,115 +194,64 @@ def added_up(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
     return every[first], np.add.reduceat(number, first) if len(first) else number
 
 
-class Counters:
-    """A task's counters for phrases of one length."""
-
-    def __init__(self, bits: int):
-        self.bits, self.sums = bits, np.zeros(1 << bits, dtype=np.uint32)
-        self.waiting: list[np.ndarray] = []
-        self.held = 0
-
-    def add(self, hashes: np.ndarray) -> None:
-        self.waiting.append(places(hashes, self.bits))
-        self.held += len(hashes)
-        if self.held > WAITING:
-            self.settle()
-
-    def settle(self) -> np.ndarray:
-        if self.waiting:
-            place, count = np.unique(np.concatenate(self.waiting), return_counts=True)
-            self.sums[place] += count.astype(np.uint32)
-        self.waiting, self.held = [], 0
-        return self.sums
-
-
-def packed_chunk(counters: np.ndarray) -> bytes:
-    """Counters of a chunk: places and counts where few are set, else all of them.  A small task so sends little."""
-    places_ = np.flatnonzero(counters)
-    if 3 * len(places_) >= CHUNK:
-        return counters.tobytes()
-    return places_.astype("<u2").tobytes() + counters[places_].tobytes()
-
+STRIPES = "lang string, prefix binary, size int, part int, total long, nexts array<binary>, counts array<long>"
+NAMES = ["lang", "prefix", "size", "part", "total", "nexts", "counts"]
+KINDS = [pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
 
-def unpacked_chunk(data: bytes) -> np.ndarray:
-    if len(data) == CHUNK:
-        return np.frombuffer(data, dtype=np.uint8)
-    n, counters = len(data) // 3, np.zeros(CHUNK, dtype=np.uint8)
-    counters[np.frombuffer(data, dtype="<u2", count=n)] = np.frombuffer(data, dtype=np.uint8, offset=2 * n)
-    return counters
 
+def stripes(lang: str, size: int, prefixes: pa.Array, totals: np.ndarray, of: np.ndarray, part: np.ndarray,
+            nexts: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Stripes of distinct ``prefixes``; entry i belongs to ``part[i]`` of the prefix ``of[i]``."""
+    key = of * MOST_PARTS + part
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    rows = np.union1d(np.arange(len(prefixes), dtype=np.int64) * MOST_PARTS, key)
+    ends = pa.array(np.append(0, np.searchsorted(key, rows, side="right")).astype(np.int32))
+    at, own = rows // MOST_PARTS, rows % MOST_PARTS
+    whole = pa.RecordBatch.from_arrays(
+        [pa.repeat(lang, len(rows)), prefixes.take(pa.array(at)), pa.array(np.full(len(rows), size, dtype=np.int32)),
+         pa.array(own.astype(np.int32)), pa.array(np.where(own == 0, totals[at], 0)),
+         pa.ListArray.from_arrays(ends, nexts.take(pa.array(order))), pa.ListArray.from_arrays(ends, pa.array(counts[order]))],
+        names=NAMES)
+    for i in range(0, len(rows), 16_384):
+        yield whole.slice(i, 16_384)
 
-def add_counters(texts: DataFrame, sieve: Sieve, lengths: tuple[int, ...], least: int) -> list[np.ndarray]:
-    """Bits of the counters of phrases of some ``lengths``, over all texts.
 
-    A task adds up its own counters, which stop at the least count, and sends the chunks of them that hold anything;
-    chunks of one place merge elementwise.  What reaches the driver has one bit per counter.
-    """
-    least = min(least, 255)  # a counter is one byte
-    shared = texts.sparkSession.sparkContext.broadcast(sieve)
+class GatheredWords:
+    """Words of one language that a task has counted: the stripe of the empty prefix."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve, lexicon = shared.value, Lexicon()
-        counters = {n: Counters(BITS[n - 1]) for n in lengths}
-        for lang, words, starts in words_by_language(batches):
-            if lexicon.full():
-                lexicon = Lexicon()
-            hashes = lexicon.of(lang).look_up(words)[1]
-            passes = sieve.passes(hashes)
-            for n in lengths:
-                counters[n].add(hashes[n - 1][:starts][passes[n - 1][:starts]])
-        for n in lengths:
-            capped = np.minimum(counters.pop(n).settle(), least).astype(np.uint8).reshape(-1, CHUNK)
-            some = np.flatnonzero(capped.any(axis=1)).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n] * len(some), pa.int32()), pa.array(some, pa.int32()),
-                 pa.array([packed_chunk(capped[i]) for i in some], pa.binary())], names=["n", "chunk", "sums"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total = None, None
-
-        def bits() -> pa.RecordBatch:
-            packed = np.packbits(total >= least, bitorder="little").tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int32()),
-                                               pa.array([packed], pa.binary())], names=["n", "chunk", "bits"])
+    def __init__(self, words: Words):
+        self.words, self.counts = words, np.zeros(0, dtype=np.int64)
 
-        for batch in batches:
-            for n, chunk, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if (n, chunk) != at:
-                    if at is not None:
-                        yield bits()
-                    at, total = (n, chunk), np.zeros(CHUNK, dtype=np.uint16)
-                total = np.minimum(total + unpacked_chunk(sums.as_py()), least).astype(np.uint16)
-        if at is not None:
-            yield bits()
-
-    chunks = texts.mapInArrow(count, "n int, chunk int, sums binary")
-    merged = chunks.repartition("n", "chunk").sortWithinPartitions("n", "chunk").mapInArrow(merge, "n int, chunk int, bits binary")
-    found = [np.zeros(1 << (BITS[n - 1] - 3), dtype=np.uint8) for n in lengths]
-    for row in merged.toLocalIterator():
-        start = row.chunk * CHUNK // 8
-        found[lengths.index(row.n)][start:start + CHUNK // 8] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-    shared.unpersist()
-    return found
+    def add(self, numbers: np.ndarray, hashes: list[np.ndarray], sieve: Sieve, starts: int) -> bool:
+        found = np.bincount(numbers[:starts], minlength=len(self.words.all))
+        found[:len(self.counts)] += self.counts
+        self.counts = found
+        return True
 
+    def settle(self) -> int:
+        return len(self.counts)
 
-STRIPES = "lang string, prefix binary, size int, part int, total long, nexts array<binary>, counts array<long>"
-NAMES = ["lang", "prefix", "size", "part", "total", "nexts", "counts"]
-KINDS = [pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+    def stripes(self, sieve: Sieve) -> Iterator[pa.RecordBatch]:
+        some = np.flatnonzero(self.counts[1:]) + 1
+        nexts = pa.array(self.words.all, pa.binary()).take(pa.array(some))
+        part = ((self.words.hashes[some] >> np.uint64(32)) % np.uint64(FIRST_PARTS)).astype(np.int64)
+        yield from stripes(self.words.lang, 0, pa.array([b""], pa.binary()), np.array([self.counts[1:].sum()]),
+                           np.zeros(len(some), dtype=np.int64), part, nexts, self.counts[some])
 
 
 class Gathered:
-    """Phrases of one language that a task has counted, as codes of the numbers of their words."""
+    """Prefixes of ``size`` words of one language and what follows them, as codes of the numbers of their words."""
 
-    def __init__(self, words: Words):
-        self.words, self.total = words, 0
+    def __init__(self, words: Words, size: int):
+        self.words, self.size = words, size
         # Numbers of 16 bits for words that may be frequent: by the word's own number, and back.
         self.short, self.long = np.zeros(0, dtype=np.uint64), [0]
-        self.codes: list[list[np.ndarray]] = [[] for _ in range(LONGEST)]
-        self.counts: list[list[np.ndarray]] = [[] for _ in range(LONGEST)]
+        self.codes: list[list[np.ndarray]] = [[], []]
+        self.counts: list[list[np.ndarray]] = [[], []]
         self.waiting = 0
 
-    def room_for(self, numbers: np.ndarray) -> bool:
+    def _room_for(self, numbers: np.ndarray) -> bool:
         """Numbers the words, unless there are too many of them."""
         if len(self.words.all) > len(self.short):
             self.short = np.append(self.short, np.zeros(len(self.words.all) - len(self.short), dtype=np.uint64))
@@ -283,139 +263,176 @@ class Gathered:
         self.long += new.tolist()
         return True
 
-    def add(self, numbers: np.ndarray, passes: list[np.ndarray], starts: int) -> None:
-        self.total += int(np.count_nonzero(numbers[:starts]))
+    def add(self, numbers: np.ndarray, hashes: list[np.ndarray], sieve: Sieve, starts: int) -> bool:
+        """Count the phrases that begin at the first ``starts`` places; False if their words have no room here."""
+        passes = sieve.passes(hashes)
+        if not self._room_for(numbers[passes[0]]):
+            return False
         short = self.short[numbers]
         code = short
-        for n in range(LONGEST):
-            if n:
-                code = (code[:-1] << np.uint64(16)) | short[n:]
-            found, count = np.unique(code[:starts][passes[n][:len(code)][:starts]], return_counts=True)
-            self.codes[n].append(found)
-            self.counts[n].append(count)
-            self.waiting += len(found)
+        for n in range(1, self.size + 2):
+            if n > 1:
+                code = (code[:-1] << np.uint64(16)) | short[n - 1:]
+            if n >= self.size:
+                found, count = np.unique(code[:starts][passes[n - 1][:len(code)][:starts]], return_counts=True)
+                self.codes[n - self.size].append(found)
+                self.counts[n - self.size].append(count)
+                self.waiting += len(found)
         if self.waiting > WAITING:
             self.settle()
+        return True
 
     def settle(self) -> int:
         """Number of distinct phrases."""
-        for n in range(LONGEST):
+        for n in range(2):
             if len(self.codes[n]) > 1:
                 codes, counts = added_up(self.codes[n], self.counts[n])
                 self.codes[n], self.counts[n] = [codes], [counts]
         self.waiting = 0
         return sum(len(c) for codes in self.codes for c in codes)
 
-    def stripes(self) -> Iterator[pa.RecordBatch]:
-        """The stripes of all prefixes, cut into parts by the next word."""
+    def stripes(self, sieve: Sieve) -> Iterator[pa.RecordBatch]:
         self.settle()
-        word = [self.words.all[i] for i in self.long]
-        yield rows_of([(self.words.lang, b"", 0, 0, self.total, [], [])])
-        for size in range(1, LONGEST):
-            codes, longer = (self.codes[n][0] if self.codes[n] else np.zeros(0, dtype=np.uint64) for n in (size - 1, size))
-            totals, counts = (self.counts[n][0].tolist() if self.counts[n] else [] for n in (size - 1, size))
-            last = (longer & np.uint64(NUMBERS - 1)).tolist()
-            begins = longer >> np.uint64(16)
-            low, high = (np.searchsorted(begins, codes, side).tolist() for side in ("left", "right"))
-            parts, rows = PARTS[size], []
-            for code, total, i, j in zip(codes.tolist(), totals, low, high):
-                prefix = b" ".join([word[code >> 16 * k & NUMBERS - 1] for k in range(size - 1, -1, -1)])
-                dealt: dict[int, tuple[list, list]] = {0: ([], [])}
-                for at in range(i, j):
-                    own = word[last[at]]
-                    nexts, often = dealt.setdefault(xxhash.xxh32_intdigest(own) % parts, ([], []))
-                    nexts.append(own)
-                    often.append(counts[at])
-                rows += [(self.words.lang, prefix, size, part, 0 if part else total, nexts, often)
-                         for part, (nexts, often) in dealt.items()]
-                if len(rows) > 8192:
-                    yield rows_of(rows)
-                    rows = []
-            if rows:
-                yield rows_of(rows)
-
-
-def rows_of(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], names=NAMES)
-
-
-def gathered_stripes(texts: DataFrame, sieve: Sieve, gathered: int = GATHERED) -> DataFrame:
-    """Stripes of all tasks, ``lang, prefix, size, part, total, nexts, counts``; one prefix may have many rows.
-
-    ``size`` is the number of words of the prefix, whose bytes have a space between words.
+        if not self.codes[0]:
+            return
+        (codes, longer), (totals, counts) = ([x[0] for x in both] for both in (self.codes, self.counts))
+        long = np.array(self.long, dtype=np.int64)
+        word = pa.array(self.words.all, pa.binary()).take(pa.array(long))
+        digest, mask = self.words.hashes[long], np.uint64(NUMBERS - 1)
+        own, prefix = None, []
+        for k in range(self.size - 1, -1, -1):
+            at = ((codes >> np.uint64(16 * k)) & mask).astype(np.int64)
+            own = digest[at] if own is None else joined(own, digest[at])
+            prefix.append(word.take(pa.array(at)))
+        prefixes = prefix[0] if self.size == 1 else pc.binary_join_element_wise(*prefix, b" ")
+        last = (longer & mask).astype(np.int64)
+        of = np.searchsorted(codes, longer >> np.uint64(16))
+        part = ((digest[last] >> np.uint64(32)) % sieve.parts_of(own)[of].astype(np.uint64)).astype(np.int64)
+        yield from stripes(self.words.lang, self.size, prefixes, totals, of, part, word.take(pa.array(last)), counts)
+
+
+def gathered_stripes(texts: DataFrame, sieve: Sieve, size: int, gathered: int = GATHERED) -> DataFrame:
+    """Stripes of all prefixes of ``size`` words from all tasks: ``STRIPES``; one prefix may have many rows.
+
+    The bytes of a prefix have a space between words.
     """
     shared = texts.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve, lexicon, held = shared.value, Lexicon(), {}
+
+        def new(lang: str) -> GatheredWords | Gathered:
+            return Gathered(lexicon.of(lang), size) if size else GatheredWords(lexicon.of(lang))
+
         for lang, words, starts in words_by_language(batches):
-            if lexicon.full() or (sum(g.waiting for g in held.values()) > gathered
+            if lexicon.full() or (sum(getattr(g, "waiting", 0) for g in held.values()) > gathered
                                   and sum(g.settle() for g in held.values()) > gathered):
                 for own in held.values():
-                    yield from own.stripes()
+                    yield from own.stripes(sieve)
                 lexicon, held = Lexicon(), {}
             numbers, hashes = lexicon.of(lang).look_up(words)
-            passes = sieve.passes(hashes)
-            own = held.setdefault(lang, Gathered(lexicon.of(lang)))
-            if not own.room_for(numbers[passes[0]]):
-                yield from own.stripes()
-                own = held[lang] = Gathered(lexicon.of(lang))
-                own.room_for(numbers[passes[0]])
-            own.add(numbers, passes, starts)
+            own = held.setdefault(lang, None) or new(lang)
+            if not own.add(numbers, hashes, sieve, starts):
+                yield from own.stripes(sieve)
+                own = new(lang)
+                own.add(numbers, hashes, sieve, starts)
+            held[lang] = own
         for own in held.values():
-            yield from own.stripes()
+            yield from own.stripes(sieve)
 
     return texts.mapInArrow(run, STRIPES)
 
 
+def merge_rows(table: pa.Table, least: int, last: bool) -> pa.RecordBatch:
+    """One row for each run of rows of the same prefix and part: totals and counters added up elementwise.
+
+    Entries below ``least`` are left out, but for the last run's unless it is the ``last`` one at all.
+    """
+    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
+    columns = [pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+    *keys, total, nexts, counts = columns
+    change = np.ones(table.num_rows, dtype=bool)
+    change[1:] = False
+    for c in keys:
+        change[1:] |= pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
+    starts, run = np.flatnonzero(change), np.cumsum(change) - 1
+    words = nexts.flatten().dictionary_encode()
+    width = max(1, len(words.dictionary))
+    entry = np.repeat(run, pc.list_value_length(nexts).to_numpy()) * width + words.indices.to_numpy()
+    codes, sums = added_up([entry], [counts.flatten().to_numpy()])
+    of = codes // width
+    kept = sums >= least if last else (sums >= least) | (of == len(starts) - 1)
+    codes, sums, of = codes[kept], sums[kept], of[kept]
+    ends = pa.array(np.searchsorted(of, np.arange(len(starts) + 1)).astype(np.int32))
+    first = pa.array(starts)
+    return pa.RecordBatch.from_arrays(
+        [*[c.take(first) for c in keys], pa.array(np.add.reduceat(total.to_numpy(), starts)),
+         pa.ListArray.from_arrays(ends, words.dictionary.take(pa.array(codes % width))),
+         pa.ListArray.from_arrays(ends, pa.array(sums))], names=NAMES)
+
+
 def merged_stripes(rows: DataFrame, least: int = LEAST) -> DataFrame:
     """One row per language, prefix and part: totals and counters added up, entries below ``least`` left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total, entries, done = None, 0, Counter(), []
+        rest: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            both = pa.Table.from_arrays(batch.columns, names=NAMES)
+            if rest is not None:
+                both = pa.concat_tables([pa.Table.from_batches([rest]).cast(both.schema), both])
+            merged = merge_rows(both, least, last=False)
+            # The last prefix may go on in the next batch.
+            if merged.num_rows > 1:
+                yield merged.slice(0, merged.num_rows - 1)
+            rest = merged.slice(merged.num_rows - 1)
+        if rest is not None:
+            yield merge_rows(pa.Table.from_batches([rest]), least, last=True)
+
+    keys = ["lang", "prefix", "size", "part"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, STRIPES)
 
-        def close() -> None:
-            some = {w: n for w, n in entries.items() if n >= least}
-            done.append((*at, total, list(some), list(some.values())))
 
-        def passed_on() -> pa.RecordBatch:
-            rows = rows_of(done)
-            done.clear()
-            return rows
+def bitmap_of(phrases: DataFrame) -> tuple[int, np.ndarray]:
+    """Bits and bitmap of the hashes of ``lang, phrase``; what reaches the driver has a fixed size at most."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * phrases.count()).bit_length()))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for *key, more, nexts, counts in zip(*[c.to_pylist() for c in batch.columns]):
-                if key != at:
-                    if at is not None:
-                        close()
-                        if len(done) >= 4096:
-                            yield passed_on()
-                    at, total, entries = key, 0, Counter()
-                total += more
-                for word, n in zip(nexts, counts):
-                    entries[word] += n
-        if at is not None:
-            close()
-        if done:
-            yield passed_on()
+            found = [hash_of(lang, phrase) for lang, phrase in zip(*[c.to_pylist() for c in batch.columns])]
+            yield pa.RecordBatch.from_arrays([pa.array(places(np.array(found, dtype=np.uint64), bits))], names=["place"])
 
-    keys = ["lang", "prefix", "size", "part"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, STRIPES)
+    place = phrases.select("lang", F.col("phrase").cast("binary").alias("phrase")).mapInArrow(run, "place long")
+    pieces = place.groupBy(F.shiftright("place", PIECE_BITS).alias("piece")).agg(
+        F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << PIECE_BITS) - 1))).alias("bits"))
+    bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    for row in pieces.toLocalIterator():
+        start = row.piece << (PIECE_BITS - 3)
+        bitmap[start:start + (1 << (PIECE_BITS - 3))] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
+    return bits, bitmap
+
+
+def hot_prefixes(phrases: DataFrame) -> dict[int, int]:
+    """Parts of the prefixes ``lang, phrase, a`` that occur more than ``PART_ROWS`` times, by hash."""
+    rows = phrases.filter(F.col("a") > PART_ROWS).orderBy(F.desc("a"), "lang", "phrase").limit(MOST_HOT)
+    return {hash_of(r.lang, r.phrase.encode("utf-8", "surrogatepass")): min(MOST_PARTS, 1 << (r.a // PART_ROWS).bit_length())
+            for r in rows.select("lang", "phrase", "a").collect()}
 
 
 def phrase_counts(merged: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """Totals ``lang, prefix, size, f, onward`` of prefixes, and phrases ``lang, prefix, word, phrase, size, a``.
+    """Totals ``lang, prefix, size, f, onward`` of prefixes, and their extensions ``lang, prefix, word, phrase, size, a``.
 
     ``onward`` is the greatest count among the extensions of a prefix.
     """
     told = merged.select("lang", F.col("prefix").cast("string").alias("prefix"), "size", "total", "nexts", "counts")
     greatest = F.coalesce(F.array_max("counts"), F.lit(0).cast("long"))
     totals = told.groupBy("lang", "prefix", "size").agg(F.sum("total").alias("f"), F.max(greatest).alias("onward"))
-    entries = told.filter("size > 0").select("lang", "prefix", (F.col("size") + 1).alias("size"),
+    entries = told.select("lang", "prefix", (F.col("size") + 1).alias("size"),
                                              F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
     word = F.col("e.nexts").cast("string")
-    phrases = entries.select("lang", "prefix", word.alias("word"), F.concat_ws(" ", "prefix", word).alias("phrase"), "size",
-                             F.col("e.counts").alias("a"))
+    text = F.when(F.col("size") == 1, word).otherwise(F.concat_ws(" ", "prefix", word))
+    phrases = entries.select("lang", "prefix", word.alias("word"), text.alias("phrase"), "size", F.col("e.counts").alias("a"))
     return totals.filter((F.col("f") >= least) | (F.col("size") == 0)), phrases.filter(F.col("a") >= least)
 
 
@@ -424,7 +441,7 @@ def _wide(column: Column) -> Column:
 
 
 def score_phrases(merged: DataFrame, least: int = LEAST, covered: int = COVERED, scale: int = SCALE) -> DataFrame:
-    """``lang, phrase, size, a, l, r, score, n`` of every candidate that no longer one covers, from ``merged_stripes``."""
+    """``lang, phrase, size, a, l, r, score`` of every candidate that no longer one covers, from ``merged_stripes``."""
     totals, phrases = phrase_counts(merged, least)
     totals, phrases = staged(totals), staged(phrases)
     # Counts of a phrase's beginnings and of its ends, shortest first, from those of phrases one word shorter.
@@ -456,10 +473,8 @@ def score_phrases(merged: DataFrame, least: int = LEAST, covered: int = COVERED,
         score = F.call_function("div", _wide(F.col("a")) * scale, _wide(first) + _wide(last)).cast("long")
         cuts.append(F.when(F.col("size") > cut, F.struct(score.alias("score"), F.lit(cut).alias("cut"), first.alias("l"),
                                                          last.alias("r"))))
-    words = totals.filter("size = 0").select("lang", F.col("f").alias("n"))
-    scored = free.select("lang", "phrase", "size", "a", F.least(*cuts).alias("best")).select(
+    return free.select("lang", "phrase", "size", "a", F.least(*cuts).alias("best")).select(
         "lang", "phrase", "size", "a", "best.l", "best.r", "best.score")
-    return scored.join(words, "lang")
 
 
 def first_phrases(scored: DataFrame, kept: int = KEPT, buckets: int = BUCKETS) -> DataFrame:
@@ -486,8 +501,14 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"),
                         F.col(f"`{text}`").cast("binary").alias("text")).filter(F.length("text") > 0)
-    sieve = Sieve([])
-    for lengths in ((1, 2), (3, 4)):
-        sieve = Sieve([*sieve.levels, *add_counters(texts, sieve, lengths, least)])
-    merged = staged(merged_stripes(gathered_stripes(texts, sieve, gathered), least))
-    return first_phrases(score_phrases(merged, least, covered), kept)
+    levels, hot, parts = [], {}, []
+    for size in range(LONGEST):
+        parts.append(staged(merged_stripes(gathered_stripes(texts, Sieve(levels, hot), size, gathered), least)))
+        if size < LONGEST - 1:
+            longer = staged(phrase_counts(parts[-1], least)[1].select("lang", "phrase", "a"))
+            levels, hot = [*levels, bitmap_of(longer)], hot_prefixes(longer)
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    words = staged(parts[0].groupBy("lang").agg(F.sum("total").alias("n")))
+    return first_phrases(score_phrases(merged, least, covered), kept).join(words, "lang")

@@ -59,55 +59,74 @@ def test_small_stripes_merge_to_the_same(documents):
     assert found(documents, least=5, gathered=500) == expected(pairs(documents), 5)
 
 
+def texts_batch(rows):
+    return pa.RecordBatch.from_arrays([pa.array(["x"] * len(rows)), pa.array([t.encode() for _, t in rows], pa.binary())],
+                                      names=["lang", "text"])
+
+
 def test_counts_in_small_steps(documents, monkeypatch):
     """One task's phrases, counted in small steps over parts of texts, are those of the whole texts."""
     monkeypatch.setattr(phrases, "AT_ONCE", 100)
     monkeypatch.setattr(phrases, "WAITING", 300)
     rows = pairs(documents)[:60]
-    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * len(rows)), pa.array([t.encode() for _, t in rows], pa.binary())],
-                                       names=["lang", "text"])
-    words, counters = phrases.Words("x"), [phrases.Counters(12) for _ in range(4)]
-    own = phrases.Gathered(words)
-    for _, part, starts in phrases.words_by_language(iter([batch])):
-        numbers, hashes = words.look_up(part)
-        passes = phrases.Sieve([]).passes(hashes)
-        assert own.room_for(numbers[passes[0]])
-        own.add(numbers, passes, starts)
-        for c, h, ok in zip(counters, hashes, passes):
-            c.add(h[:starts][ok[:starts]])
     want = [Counter() for _ in range(4)]
     for _, text in rows:
         for piece in re.split(r"[.,;:!?\x0a-\x0d]", text.translate(LOWER)):
             w = re.findall(r"[^\x20\x09]+", piece)
             for n in range(4):
                 want[n].update(" ".join(p) for p in zip(*[w[i:] for i in range(n + 1)]))
-    got = [Counter() for _ in range(4)]
-    for r in (r for b in own.stripes() for r in b.to_pylist()):
-        if r["size"]:
-            got[r["size"] - 1][r["prefix"].decode()] += r["total"]
-            if r["size"] == 3:
-                got[3].update({(r["prefix"] + b" " + w).decode(): n for w, n in zip(r["nexts"], r["counts"])})
-        else:
-            assert r["total"] == sum(want[0].values())
-    assert [{k: v for k, v in g.items() if v} for g in got] == [dict(w) for w in want]
-    assert [int(c.settle().sum()) for c in counters] == [sum(w.values()) for w in want]
+    sieve = phrases.Sieve()
+    for size in range(4):
+        words = phrases.Words("x")
+        own = phrases.Gathered(words, size) if size else phrases.GatheredWords(words)
+        for _, part, starts in phrases.words_by_language(iter([texts_batch(rows)])):
+            numbers, hashes = words.look_up(part)
+            assert own.add(numbers, hashes, sieve, starts)
+        totals, longer = Counter(), Counter()
+        for r in (r for b in own.stripes(sieve) for r in b.to_pylist()):
+            assert r["size"] == size and (r["part"] == 0 or size == 0)
+            totals[r["prefix"].decode()] += r["total"]
+            longer.update({(r["prefix"] + b" " + w).decode().strip(): n for w, n in zip(r["nexts"], r["counts"])})
+        assert longer == want[size] and (totals == want[size - 1] if size else totals[""] == sum(want[0].values()))
 
 
 def test_too_many_words_for_their_numbers(monkeypatch):
     monkeypatch.setattr(phrases, "NUMBERS", 8)
-    own = phrases.Gathered(phrases.Words("x"))
-    numbers, _ = own.words.look_up([b"a", b"b", b"c", b"d"])
-    assert own.room_for(numbers) and own.room_for(numbers)
-    more, _ = own.words.look_up([b"e", b"f", b"g", b"h"])
-    assert not own.room_for(more) and own.long == [0, 1, 2, 3, 4]
-
-
-def test_full_counters_change_nothing(documents, monkeypatch):
-    """Counters that are all full keep nothing out; the result is the same."""
-    def full(texts, sieve, lengths, least):
-        return [np.full(1 << (phrases.BITS[n - 1] - 3), 255, dtype=np.uint8) for n in lengths]
+    words = phrases.Words("x")
+    own, sieve = phrases.Gathered(words, 1), phrases.Sieve()
+    assert own.add(*words.look_up([b"a", b"b", b"c", b"d"]), sieve, 4) and own.add(*words.look_up([b"b", b"a"]), sieve, 2)
+    assert not own.add(*words.look_up([b"e", b"f", b"g", b"h"]), sieve, 4) and own.long == [0, 1, 2, 3, 4]
+
+
+def test_bitmaps_keep_every_frequent_phrase_and_few_others(spark):
+    known = [("en", f"w{i} v{i}") for i in range(3000)]
+    bits, bitmap = phrases.bitmap_of(spark.createDataFrame(known, "lang string, phrase string"))
+    assert len(bitmap) == 1 << (bits - 3)
+    words = phrases.Words("en")
+    for texts, low, high in ((known, 3000, 3000), ([("en", f"w{i} v{i + 1}") for i in range(3000)], 0, 300)):
+        _, hashes = words.look_up([w for _, t in texts for w in (*t.encode().split(), b".")])
+        assert int(hashes[1][0]) == phrases.hash_of("en", texts[0][1].encode())
+        at = phrases.places(hashes[1][::3], bits)
+        assert low <= int(((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).sum()) <= high
+
+
+def test_rows_merge_elementwise():
+    def table(*rows):
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), phrases.KINDS)], names=phrases.NAMES)
+    rows = [("en", b"a", 1, 0, 5, [b"x", b"y"], [2, 3]), ("en", b"a", 1, 0, 4, [b"y", b"z"], [1, 1]),
+            ("en", b"a", 1, 1, 0, [b"q"], [1]), ("fr", b"a", 1, 0, 7, [], []), ("fr", b"b", 1, 0, 2, [b"x"], [1]),
+            ("fr", b"b", 1, 0, 2, [b"x"], [1])]
+    got = phrases.merge_rows(table(*rows), 2, last=False).to_pylist()
+    assert [(r["prefix"], r["part"], r["total"], dict(zip(r["nexts"], r["counts"]))) for r in got] == [
+        (b"a", 0, 9, {b"x": 2, b"y": 4}), (b"a", 1, 0, {}), (b"a", 0, 7, {}), (b"b", 0, 4, {b"x": 2})]
+    one = phrases.merge_rows(table(rows[2]), 2, last=False).to_pylist()
+    assert one[0]["counts"] == [1] and phrases.merge_rows(table(rows[2]), 2, last=True).to_pylist()[0]["counts"] == []
+
+
+def test_full_bitmaps_change_nothing(documents, monkeypatch):
+    """Bitmaps with all bits set keep nothing out; the result is the same."""
     wanted = expected(pairs(documents), 10)
-    monkeypatch.setattr(phrases, "add_counters", full)
+    monkeypatch.setattr(phrases, "bitmap_of", lambda known: (16, np.full(1 << 13, 255, dtype=np.uint8)))
     assert found(documents, least=10) == wanted
 
 
@@ -132,24 +151,20 @@ def test_products_past_64_bits(spark):
             ("en", b"a b", 2, 0, big - 1, [], [])]
     merged = spark.createDataFrame(rows, phrases.STRIPES)
     (row,) = phrases.score_phrases(merged).collect()
-    assert (row.phrase, row.a, row.l, row.r, row.n) == ("a b", big - 1, big, big + 7, 4 * big)
+    assert (row.phrase, row.a, row.l, row.r) == ("a b", big - 1, big, big + 7)
     assert row.score == 2_000_000 * (big - 1) // (2 * big + 7)
 
 
-@pytest.mark.parametrize("share", [0.0, 0.01, 0.3, 0.34, 1.0])
-def test_chunks_pack_and_unpack(share):
-    rng = np.random.default_rng(2)
-    counters = (rng.integers(1, 31, phrases.CHUNK) * (rng.random(phrases.CHUNK) < share)).astype(np.uint8)
-    data = phrases.packed_chunk(counters)
-    assert len(data) <= phrases.CHUNK and (phrases.unpacked_chunk(data) == counters).all()
-
-
-def test_one_prefix_is_striped_in_parts(spark):
+def test_one_prefix_is_striped_in_parts(spark, monkeypatch):
     docs = spark.createDataFrame([("en", " ".join(f"the w{i}." for i in range(500)))], "lang string, text string").withColumn(
         "text", F.col("text").cast("binary"))
-    rows = phrases.gathered_stripes(docs, phrases.Sieve([])).filter("size = 1").collect()
+    monkeypatch.setattr(phrases, "PART_ROWS", 40)
+    hot = phrases.hot_prefixes(spark.createDataFrame([("en", "the", 500), ("en", "w1", 40)], "lang string, phrase string, a long"))
+    assert hot == {phrases.hash_of("en", b"the"): 16}
+    rows = phrases.gathered_stripes(docs, phrases.Sieve(hot=hot), 1).collect()
     own = [r for r in rows if bytes(r.prefix) == b"the"]
-    assert len(own) == phrases.PARTS[1] and sum(r.total for r in own) == 500 and sum(len(r.nexts) for r in own) == 500
+    assert len(own) == 16 and sum(r.total for r in own) == 500 and sum(len(r.nexts) for r in own) == 500
+    assert all(r.part == 0 for r in rows if bytes(r.prefix) != b"the")
 
 
 @pytest.mark.parametrize("text", [b"", b"a", b"A,b", b"x\ty\x0bz"])
