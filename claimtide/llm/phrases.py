@@ -11,7 +11,8 @@ them reach the least count.  Tasks know these by a bitmap of hashes that Spark m
 shorter: about 16 bits a phrase and never more than 2 ** ``MOST_BITS``.  A bit too many only means counting in vain.
 
 A very frequent prefix is striped in parts, by a hash of the next word, as many as its known count asks for; its total
-goes with the first part.
+goes with the first part.  Stripes travel in blocks, one for all of a task's stripes whose hashes share a bucket; there
+are as many buckets as the number of words asks for, so that a bucket's stripes can be merged at once.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ LEAST_BITS, MOST_BITS, PIECE_BITS = 16, 29, 15
 # Parts of the empty prefix.  Others have one for each so many occurrences; those that have more than one are known to
 # all tasks, the most frequent ``MOST_HOT`` of them.
 FIRST_PARTS, PART_ROWS, MOST_PARTS, MOST_HOT = 256, 200_000, 1024, 65_536
+# Words of the texts for each bucket of stripes, the fewest buckets, and stripes and entries that a merge holds.
+BUCKET_WORDS, LEAST_BUCKETS, HELD = 500_000, 64, 2_000_000
 # Buckets that choose the first phrases of a language before one task does.
 BUCKETS = 16
 
@@ -199,9 +202,12 @@ NAMES = ["lang", "prefix", "size", "part", "total", "nexts", "counts"]
 KINDS = [pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
 
 
-def stripes(lang: str, size: int, prefixes: pa.Array, totals: np.ndarray, of: np.ndarray, part: np.ndarray,
-            nexts: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes of distinct ``prefixes``; entry i belongs to ``part[i]`` of the prefix ``of[i]``."""
+SCHEMA = pa.schema(list(zip(NAMES, KINDS)))
+
+
+def stripes(lang: str, size: int, prefixes: pa.Array, digests: np.ndarray, totals: np.ndarray, of: np.ndarray,
+            part: np.ndarray, nexts: pa.Array, counts: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Stripes of distinct ``prefixes`` and their hashes; entry i belongs to ``part[i]`` of the prefix ``of[i]``."""
     key = of * MOST_PARTS + part
     order = np.argsort(key, kind="stable")
     key = key[order]
@@ -212,9 +218,23 @@ def stripes(lang: str, size: int, prefixes: pa.Array, totals: np.ndarray, of: np
         [pa.repeat(lang, len(rows)), prefixes.take(pa.array(at)), pa.array(np.full(len(rows), size, dtype=np.int32)),
          pa.array(own.astype(np.int32)), pa.array(np.where(own == 0, totals[at], 0)),
          pa.ListArray.from_arrays(ends, nexts.take(pa.array(order))), pa.ListArray.from_arrays(ends, pa.array(counts[order]))],
-        names=NAMES)
-    for i in range(0, len(rows), 16_384):
-        yield whole.slice(i, 16_384)
+        schema=SCHEMA)
+    return whole, joined(digests[at], own.astype(np.uint64) + np.uint64(1))
+
+
+def blocks(whole: pa.RecordBatch, hashes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """``bucket, block``: the stripes of each bucket as one value."""
+    bucket = ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    whole, bucket = whole.take(pa.array(order)), bucket[order]
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, dtype=np.int64)
+    ends = np.append(starts[1:], len(bucket))
+    packed = [whole.slice(i, j - i).serialize().to_pybytes() for i, j in zip(starts.tolist(), ends.tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(packed, pa.binary())], names=["bucket", "block"])
+
+
+def unpacked(block: bytes) -> pa.RecordBatch:
+    return pa.ipc.read_record_batch(pa.py_buffer(block), SCHEMA)
 
 
 class GatheredWords:
@@ -232,12 +252,12 @@ class GatheredWords:
     def settle(self) -> int:
         return len(self.counts)
 
-    def stripes(self, sieve: Sieve) -> Iterator[pa.RecordBatch]:
+    def stripes(self, sieve: Sieve) -> tuple[pa.RecordBatch, np.ndarray]:
         some = np.flatnonzero(self.counts[1:]) + 1
         nexts = pa.array(self.words.all, pa.binary()).take(pa.array(some))
         part = ((self.words.hashes[some] >> np.uint64(32)) % np.uint64(FIRST_PARTS)).astype(np.int64)
-        yield from stripes(self.words.lang, 0, pa.array([b""], pa.binary()), np.array([self.counts[1:].sum()]),
-                           np.zeros(len(some), dtype=np.int64), part, nexts, self.counts[some])
+        return stripes(self.words.lang, 0, pa.array([b""], pa.binary()), np.ones(1, dtype=np.uint64),
+                       np.array([self.counts[1:].sum()]), np.zeros(len(some), dtype=np.int64), part, nexts, self.counts[some])
 
 
 class Gathered:
@@ -291,10 +311,8 @@ class Gathered:
         self.waiting = 0
         return sum(len(c) for codes in self.codes for c in codes)
 
-    def stripes(self, sieve: Sieve) -> Iterator[pa.RecordBatch]:
+    def stripes(self, sieve: Sieve) -> tuple[pa.RecordBatch, np.ndarray]:
         self.settle()
-        if not self.codes[0]:
-            return
         (codes, longer), (totals, counts) = ([x[0] for x in both] for both in (self.codes, self.counts))
         long = np.array(self.long, dtype=np.int64)
         word = pa.array(self.words.all, pa.binary()).take(pa.array(long))
@@ -308,11 +326,11 @@ class Gathered:
         last = (longer & mask).astype(np.int64)
         of = np.searchsorted(codes, longer >> np.uint64(16))
         part = ((digest[last] >> np.uint64(32)) % sieve.parts_of(own)[of].astype(np.uint64)).astype(np.int64)
-        yield from stripes(self.words.lang, self.size, prefixes, totals, of, part, word.take(pa.array(last)), counts)
+        return stripes(self.words.lang, self.size, prefixes, own, totals, of, part, word.take(pa.array(last)), counts)
 
 
-def gathered_stripes(texts: DataFrame, sieve: Sieve, size: int, gathered: int = GATHERED) -> DataFrame:
-    """Stripes of all prefixes of ``size`` words from all tasks: ``STRIPES``; one prefix may have many rows.
+def gathered_stripes(texts: DataFrame, sieve: Sieve, size: int, buckets: int, gathered: int = GATHERED) -> DataFrame:
+    """Stripes of all prefixes of ``size`` words from all tasks, as ``bucket, block``; a prefix may be in many blocks.
 
     The bytes of a prefix have a space between words.
     """
@@ -328,28 +346,26 @@ def gathered_stripes(texts: DataFrame, sieve: Sieve, size: int, gathered: int =
             if lexicon.full() or (sum(getattr(g, "waiting", 0) for g in held.values()) > gathered
                                   and sum(g.settle() for g in held.values()) > gathered):
                 for own in held.values():
-                    yield from own.stripes(sieve)
+                    yield blocks(*own.stripes(sieve), buckets)
                 lexicon, held = Lexicon(), {}
             numbers, hashes = lexicon.of(lang).look_up(words)
             own = held.setdefault(lang, None) or new(lang)
             if not own.add(numbers, hashes, sieve, starts):
-                yield from own.stripes(sieve)
+                if own.codes[0]:
+                    yield blocks(*own.stripes(sieve), buckets)
                 own = new(lang)
                 own.add(numbers, hashes, sieve, starts)
             held[lang] = own
         for own in held.values():
-            yield from own.stripes(sieve)
-
-    return texts.mapInArrow(run, STRIPES)
+            yield blocks(*own.stripes(sieve), buckets)
 
+    return texts.mapInArrow(run, "bucket long, block binary")
 
-def merge_rows(table: pa.Table, least: int, last: bool) -> pa.RecordBatch:
-    """One row for each run of rows of the same prefix and part: totals and counters added up elementwise.
 
-    Entries below ``least`` are left out, but for the last run's unless it is the ``last`` one at all.
-    """
-    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
-    columns = [pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+def merge_rows(table: pa.Table, least: int) -> pa.RecordBatch:
+    """One row for each prefix and part: totals and counters added up elementwise, entries below ``least`` left out."""
+    table = table.sort_by([(c, "ascending") for c in NAMES[:4]])
+    columns = [pa.concat_arrays(c.chunks) for c in table.columns]
     *keys, total, nexts, counts = columns
     change = np.ones(table.num_rows, dtype=bool)
     change[1:] = False
@@ -360,38 +376,49 @@ def merge_rows(table: pa.Table, least: int, last: bool) -> pa.RecordBatch:
     width = max(1, len(words.dictionary))
     entry = np.repeat(run, pc.list_value_length(nexts).to_numpy()) * width + words.indices.to_numpy()
     codes, sums = added_up([entry], [counts.flatten().to_numpy()])
-    of = codes // width
-    kept = sums >= least if last else (sums >= least) | (of == len(starts) - 1)
-    codes, sums, of = codes[kept], sums[kept], of[kept]
-    ends = pa.array(np.searchsorted(of, np.arange(len(starts) + 1)).astype(np.int32))
+    kept = sums >= least
+    codes, sums = codes[kept], sums[kept]
+    ends = pa.array(np.searchsorted(codes // width, np.arange(len(starts) + 1)).astype(np.int32))
     first = pa.array(starts)
     return pa.RecordBatch.from_arrays(
         [*[c.take(first) for c in keys], pa.array(np.add.reduceat(total.to_numpy(), starts)),
          pa.ListArray.from_arrays(ends, words.dictionary.take(pa.array(codes % width))),
-         pa.ListArray.from_arrays(ends, pa.array(sums))], names=NAMES)
+         pa.ListArray.from_arrays(ends, pa.array(sums))], schema=SCHEMA)
 
 
 def merged_stripes(rows: DataFrame, least: int = LEAST) -> DataFrame:
-    """One row per language, prefix and part: totals and counters added up, entries below ``least`` left out."""
+    """One row per language, prefix and part of ``bucket, block`` rows: totals and counters added up elementwise.
+
+    Entries below ``least`` are left out, and so are stripes whose total is, without entries.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.RecordBatch | None = None
+        at, held, size = None, [], 0
+
+        def merged(floor: int) -> pa.RecordBatch:
+            return merge_rows(pa.Table.from_batches(held), floor)
+
+        def finished() -> pa.RecordBatch:
+            whole = merged(least)
+            some = pc.or_(pc.greater_equal(whole.column(4), pc.if_else(pc.equal(whole.column(2), 0), 1, least)),
+                          pc.greater(pc.list_value_length(whole.column(5)), 0))
+            return whole.filter(some)
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            both = pa.Table.from_arrays(batch.columns, names=NAMES)
-            if rest is not None:
-                both = pa.concat_tables([pa.Table.from_batches([rest]).cast(both.schema), both])
-            merged = merge_rows(both, least, last=False)
-            # The last prefix may go on in the next batch.
-            if merged.num_rows > 1:
-                yield merged.slice(0, merged.num_rows - 1)
-            rest = merged.slice(merged.num_rows - 1)
-        if rest is not None:
-            yield merge_rows(pa.Table.from_batches([rest]), least, last=True)
-
-    keys = ["lang", "prefix", "size", "part"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, STRIPES)
+            for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != at and held:
+                    yield finished()
+                    held, size = [], 0
+                at = bucket
+                held.append(unpacked(block.as_py()))
+                size += held[-1].num_rows + len(held[-1].column(6).flatten())
+                if size > HELD:
+                    held = [merged(0)]
+                    size = held[0].num_rows  # its entries can't be added up any further
+        if held:
+            yield finished()
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, STRIPES)
 
 
 def bitmap_of(phrases: DataFrame) -> tuple[int, np.ndarray]:
@@ -501,14 +528,17 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"),
                         F.col(f"`{text}`").cast("binary").alias("text")).filter(F.length("text") > 0)
-    levels, hot, parts = [], {}, []
+    levels, hot, parts, buckets = [], {}, [], FIRST_PARTS
     for size in range(LONGEST):
-        parts.append(staged(merged_stripes(gathered_stripes(texts, Sieve(levels, hot), size, gathered), least)))
+        parts.append(staged(merged_stripes(gathered_stripes(texts, Sieve(levels, hot), size, buckets, gathered), least)))
+        if not size:
+            words = staged(parts[0].groupBy("lang").agg(F.sum("total").alias("n")))
+            total = words.agg(F.sum("n").alias("n")).first().n or 0
+            buckets = max(LEAST_BUCKETS, total // BUCKET_WORDS)
         if size < LONGEST - 1:
             longer = staged(phrase_counts(parts[-1], least)[1].select("lang", "phrase", "a"))
             levels, hot = [*levels, bitmap_of(longer)], hot_prefixes(longer)
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
-    words = staged(parts[0].groupBy("lang").agg(F.sum("total").alias("n")))
     return first_phrases(score_phrases(merged, least, covered), kept).join(words, "lang")

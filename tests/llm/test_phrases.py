@@ -83,7 +83,7 @@ def test_counts_in_small_steps(documents, monkeypatch):
             numbers, hashes = words.look_up(part)
             assert own.add(numbers, hashes, sieve, starts)
         totals, longer = Counter(), Counter()
-        for r in (r for b in own.stripes(sieve) for r in b.to_pylist()):
+        for r in own.stripes(sieve)[0].to_pylist():
             assert r["size"] == size and (r["part"] == 0 or size == 0)
             totals[r["prefix"].decode()] += r["total"]
             longer.update({(r["prefix"] + b" " + w).decode().strip(): n for w, n in zip(r["nexts"], r["counts"])})
@@ -110,17 +110,22 @@ def test_bitmaps_keep_every_frequent_phrase_and_few_others(spark):
         assert low <= int(((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).sum()) <= high
 
 
-def test_rows_merge_elementwise():
-    def table(*rows):
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), phrases.KINDS)], names=phrases.NAMES)
-    rows = [("en", b"a", 1, 0, 5, [b"x", b"y"], [2, 3]), ("en", b"a", 1, 0, 4, [b"y", b"z"], [1, 1]),
-            ("en", b"a", 1, 1, 0, [b"q"], [1]), ("fr", b"a", 1, 0, 7, [], []), ("fr", b"b", 1, 0, 2, [b"x"], [1]),
-            ("fr", b"b", 1, 0, 2, [b"x"], [1])]
-    got = phrases.merge_rows(table(*rows), 2, last=False).to_pylist()
-    assert [(r["prefix"], r["part"], r["total"], dict(zip(r["nexts"], r["counts"]))) for r in got] == [
-        (b"a", 0, 9, {b"x": 2, b"y": 4}), (b"a", 1, 0, {}), (b"a", 0, 7, {}), (b"b", 0, 4, {b"x": 2})]
-    one = phrases.merge_rows(table(rows[2]), 2, last=False).to_pylist()
-    assert one[0]["counts"] == [1] and phrases.merge_rows(table(rows[2]), 2, last=True).to_pylist()[0]["counts"] == []
+def test_blocks_merge_elementwise(spark, monkeypatch):
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), phrases.KINDS)], schema=phrases.SCHEMA)
+    rows = [("fr", b"b", 1, 0, 2, [b"x"], [1]), ("en", b"a", 1, 0, 5, [b"x", b"y"], [2, 3]), ("en", b"a", 1, 1, 0, [b"q"], [1]),
+            ("en", b"a", 1, 0, 4, [b"y", b"z"], [1, 1]), ("fr", b"a", 1, 0, 7, [], []), ("fr", b"b", 1, 0, 2, [b"x"], [1])]
+    want = [("en", b"a", 0, 9, {b"x": 2, b"y": 4}), ("en", b"a", 1, 0, {}), ("fr", b"a", 0, 7, {}), ("fr", b"b", 0, 4, {b"x": 2})]
+    got = phrases.merge_rows(pa.Table.from_batches([batch(*rows)]), 2).to_pylist()
+    assert [(r["lang"], r["prefix"], r["part"], r["total"], dict(zip(r["nexts"], r["counts"]))) for r in got] == want
+    whole = batch(*rows)
+    hashes = np.arange(6, dtype=np.uint64) << np.uint64(20)
+    packed = phrases.blocks(whole, hashes, 2)
+    assert packed.column(0).to_pylist() == [0, 1] and phrases.unpacked(packed.column(1)[1].as_py()).num_rows == 3
+    sent = [(7, phrases.blocks(batch(r), np.zeros(1, dtype=np.uint64), 1).column(1)[0].as_py()) for r in rows]
+    merged = phrases.merged_stripes(spark.createDataFrame(sent, "bucket long, block binary"), 2).collect()
+    assert sorted((r.lang, bytes(r.prefix), r.part, r.total, {bytes(w): n for w, n in zip(r.nexts, r.counts)}) for r in merged) == [
+        w for w in want if w[2] == 0]
 
 
 def test_full_bitmaps_change_nothing(documents, monkeypatch):
@@ -161,10 +166,11 @@ def test_one_prefix_is_striped_in_parts(spark, monkeypatch):
     monkeypatch.setattr(phrases, "PART_ROWS", 40)
     hot = phrases.hot_prefixes(spark.createDataFrame([("en", "the", 500), ("en", "w1", 40)], "lang string, phrase string, a long"))
     assert hot == {phrases.hash_of("en", b"the"): 16}
-    rows = phrases.gathered_stripes(docs, phrases.Sieve(hot=hot), 1).collect()
-    own = [r for r in rows if bytes(r.prefix) == b"the"]
-    assert len(own) == 16 and sum(r.total for r in own) == 500 and sum(len(r.nexts) for r in own) == 500
-    assert all(r.part == 0 for r in rows if bytes(r.prefix) != b"the")
+    found = phrases.gathered_stripes(docs, phrases.Sieve(hot=hot), 1, 8).collect()
+    rows = [r for f in found for r in phrases.unpacked(bytes(f.block)).to_pylist()]
+    own = [r for r in rows if r["prefix"] == b"the"]
+    assert len(own) == 16 and sum(r["total"] for r in own) == 500 and sum(len(r["nexts"]) for r in own) == 500
+    assert all(r["part"] == 0 for r in rows if r["prefix"] != b"the") and len({f.bucket for f in found}) == 8
 
 
 @pytest.mark.parametrize("text", [b"", b"a", b"A,b", b"x\ty\x0bz"])
