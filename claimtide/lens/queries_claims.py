@@ -423,3 +423,37 @@ select accession, cast(cast(case_no as bigint) as varchar) as case_no, cast(cast
 from raw_case""")
 def load_case(t):
     return loaders.load_case(t.raw_case)
+
+
+@register("q_load_appeal", "raw_appeal", """
+select cast(case_number as varchar) as appeal_case_no, level as level_code, status as appeal_status, status_desc as appeal_status_desc,
+  cast(try_strptime(entry_date, '%Y%m%d') as date) as entry_dt, cast(try_strptime(denial_letter_date, '%Y%m%d') as date) as denial_dt,
+  cast(null as date) as letter_dt, ltrim(denial_reason, '0') as den_reason, cast(null as varchar) as den_reason_desc,
+  insurer_code as ins_code, cast(null as varchar) as campaign_code
+from raw_appeal""")
+def load_appeal(t):
+    return loaders.load_appeal(t.raw_appeal).rows
+
+
+@register("q_load_complete_appeal", "raw_complete_appeal", """
+select cast(ticket_number as varchar) as appeal_ticket_no, cast(case_number as varchar) as appeal_case_no,
+  cast(null as varchar) as appeal_request_no, cast(accession as varchar) as accession,
+  case test_code when 'GL' then 'IBC' when 'GLD' then 'DCIS' when 'GLC' then 'Colon' when 'GLP' then 'Prostate'
+    when 'ARV7' then 'Prostate-AR-V7' else test_code end as test,
+  cast(try_strptime(service_date, '%Y%m%d') as date) as appeal_dos, cast(null as varchar) as appeal_ins_code,
+  cast(null as varchar) as appeal_ins_fc, cast(cast(try_cast(denial_reason as double) as bigint) as varchar) as appeal_den_reason,
+  cast(null as varchar) as appeal_den_reason_desc, cast(amount_charged as double) as appeal_amt_charged,
+  cast(null as double) as appeal_amt_expected, cast(null as double) as appeal_amt_allowed, cast(null as double) as appeal_amt_received,
+  cast(null as double) as appeal_amt, try_cast(amount_applied as double) as appeal_amt_applied, cast(null as date) as appeal_report_dt,
+  cast(cast(success as bigint) as varchar) as appeal_success, currency as appeal_currency
+from raw_complete_appeal""")
+def load_complete_appeal(t):
+    return loaders.load_complete_appeal(t.raw_complete_appeal).rows
+
+
+@register("q_load_prior_auth", "raw_prior_auth", """
+select cast(case_number as varchar) as prior_auth_case_no, cast(try_strptime(entered_date, '%Y%m%d') as date) as prior_auth_entered_dt,
+  result as prior_auth_result, request as prior_auth_req_desc, number as prior_auth_number, cast(null as varchar) as prior_auth_category
+from raw_prior_auth""")
+def load_prior_auth(t):
+    return loaders.load_prior_auth(t.raw_prior_auth).rows

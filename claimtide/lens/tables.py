@@ -273,6 +273,30 @@ select l_orderkey as accession, cast(l_partkey as double) as case_no, cast(l_ord
   cast(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) as varchar(20)) as added_date,
   case when l_quantity < 10 then '07:08:09' when l_quantity < 12 then 'late' else '23:59:59' end as added_time
 from {{lineitem}}""",
+    "raw_appeal": """
+select user_id * 10 + event_id % 3 as case_number, case event_type when 'view' then 'A1' when 'click' then 'A2' else 'L1' end as level,
+  cast(event_id % 4 as varchar(20)) as status, 'Status ' || cast(event_id % 4 as varchar(20)) as status_desc,
+  case when event_id % 11 = 0 then null when event_id % 13 = 0 then '20179999' when event_id % 17 = 0 then ' '
+    else cast(year(ts) * 10000 + month(ts) * 100 + day(ts) as varchar(20)) end as entry_date,
+  cast(year(ts) * 10000 + month(ts) * 100 + day(ts) as varchar(20)) as denial_letter_date,
+  case event_id % 5 when 0 then null when 1 then '000' when 2 then '0450' else '45' end as denial_reason,
+  regexp_extract(props, '[0-9]+', 0) as insurer_code, 'not in the contract' as remark
+from {events}""",
+    "raw_complete_appeal": """
+select user_id * 10 + event_id % 3 + 1 as ticket_number, user_id * 10 + event_id % 3 as case_number, user_id as accession,
+  case event_id % 8 when 0 then 'GL' when 1 then 'GLD' when 2 then 'GLC' when 3 then 'MMR' when 4 then 'GLP' when 5 then 'ARV7'
+    when 6 then 'New test' end as test_code,
+  cast(year(ts) * 10000 + month(ts) * 100 + day(ts) as varchar(20)) as service_date,
+  case when event_id % 7 <> 0 then cast(event_id % 40 as varchar(20)) || '.0' when event_id % 2 = 0 then 'n/a' end as denial_reason,
+  cast(cast(value as decimal(12,2)) as varchar(20)) as amount_charged,
+  case when event_id % 9 <> 0 then cast(-cast(value as decimal(12,2)) as varchar(20)) else 'none' end as amount_applied,
+  cast(event_id % 2 as double) as success, case when event_id % 3 <> 0 then 'USD' end as currency
+from {events}""",
+    "raw_prior_auth": """
+select p_partkey as case_number, case when p_size % 5 = 0 then '2017-01-01' else '201701' || cast(10 + p_size % 20 as varchar(20)) end
+    as entered_date, case when p_size % 4 = 0 then 'Denied' else 'Approved' end as result, p_name as request,
+  'A' || cast(p_partkey as varchar(20)) as number
+from {part}""",
     "view_set": """
 select * from (values ('set_region', 1), ('set_region', 3), ('set_nation', 2), ('set_nation', 5),
   ('set_nation', 7), ('set_west', 4), ('set_west', 5)) as t(set_name, payor_id)""",

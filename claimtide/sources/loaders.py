@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from claimtide.functions import (
     float_id, label, money, parse_date, parse_datetime, parse_float_date, parse_month, zero_to_null)
 from claimtide.operators.risk import standardise_reporting_group
+from claimtide.sources.contract import Contract, Field, apply_contract
 
 ORDER_MONEY = ("billed_amount", "list_price", "total_payment", "payor_paid", "patient_paid", "total_adjustment",
                "outstanding", "contracted_price")
@@ -67,3 +68,41 @@ def load_case(raw: DataFrame) -> DataFrame:
     if {"added_date", "added_time"} <= set(out.columns):
         out = out.withColumn("added_ts", parse_datetime("added_date", "added_time")).drop("added_date", "added_time")
     return out
+
+
+# Contracts of the appeal and prior-authorisation extracts.
+APPEAL = (
+    Field("case_number", "appeal_case_no"), Field("level", "level_code"), Field("status", "appeal_status"),
+    Field("status_desc", "appeal_status_desc"), Field("entry_date", "entry_dt", "date"),
+    Field("denial_letter_date", "denial_dt", "date"), Field("letter_date", "letter_dt", "date"),
+    Field("denial_reason", "den_reason", "code"), Field("denial_reason_desc", "den_reason_desc"),
+    Field("insurer_code", "ins_code"), Field("campaign", "campaign_code"))
+COMPLETE_APPEAL = (
+    Field("ticket_number", "appeal_ticket_no"), Field("case_number", "appeal_case_no"), Field("request_number", "appeal_request_no"),
+    Field("accession", "accession"), Field("test_code", "test", "test"), Field("service_date", "appeal_dos", "date"),
+    Field("insurer_code", "appeal_ins_code"), Field("insurer_category", "appeal_ins_fc"),
+    Field("denial_reason", "appeal_den_reason", "whole"), Field("denial_reason_desc", "appeal_den_reason_desc"),
+    Field("amount_charged", "appeal_amt_charged", "money"), Field("amount_expected", "appeal_amt_expected", "money"),
+    Field("amount_allowed", "appeal_amt_allowed", "money"), Field("amount_received", "appeal_amt_received", "money"),
+    Field("amount", "appeal_amt", "money"), Field("amount_applied", "appeal_amt_applied", "money"),
+    Field("report_date", "appeal_report_dt", "date"), Field("success", "appeal_success", "whole"),
+    Field("currency", "appeal_currency"))
+PRIOR_AUTH = (
+    Field("case_number", "prior_auth_case_no"), Field("entered_date", "prior_auth_entered_dt", "date"),
+    Field("result", "prior_auth_result"), Field("request", "prior_auth_req_desc"), Field("number", "prior_auth_number"),
+    Field("category", "prior_auth_category"))
+
+
+def load_appeal(raw: DataFrame) -> Contract:
+    """Appeal cases by level: dates, and denial reasons without leading zeros."""
+    return apply_contract(raw, APPEAL)
+
+
+def load_complete_appeal(raw: DataFrame) -> Contract:
+    """Completed appeals: ids as text, test labels, amounts, dates, success and reason as whole numbers in text."""
+    return apply_contract(raw, COMPLETE_APPEAL)
+
+
+def load_prior_auth(raw: DataFrame) -> Contract:
+    """Prior authorisations, the case number as text."""
+    return apply_contract(raw, PRIOR_AUTH)

@@ -126,6 +126,21 @@ def test_a_pull_that_fails_leaves_the_snapshot(spark, tmp_path, frame):
     assert values(sources.load_snapshot(spark, plain)) == [(7,)]
 
 
+def test_contract_tells_what_does_not_fit(frame):
+    raw = frame("case_number long, entry_date string, denial_reason string, remark string", (7, "20170101", "007", "x"),
+                (8, "2017-1-1", "0", None), (9, " ", None, "y"), (None, None, "45", None))
+    loaded = sources.load_appeal(raw)
+    assert loaded.extra == ["remark"] and {"level", "letter_date"} <= set(loaded.missing) and "entry_date" not in loaded.missing
+    rows = values(loaded.rows, "appeal_case_no", "entry_dt", "den_reason", "level_code")
+    assert rows == sorted([("7", dt.date(2017, 1, 1), "7", None), ("8", None, "", None), ("9", None, None, None),
+                           (None, None, "45", None)], key=repr)
+    assert loaded.misfits() == {"entry_date": 1}
+    fields = [sources.Field("a", "a", "id"), sources.Field("b", "b", "money"), sources.Field("c", "c", "whole")]
+    typed = sources.apply_contract(frame("a string, b string, c string", ("0.0", "1.5", "x"), ("12.0", "oops", "3.0")), fields)
+    assert [(r.a, r.b and float(r.b), r.c) for r in typed.rows.coalesce(1).collect()] == [(None, 1.5, None), ("12", None, "3")]
+    assert typed.misfits() == {"b": 1, "c": 1} and typed.missing == typed.extra == []
+
+
 def test_dictionary(frame):
     df = frame("A string, B string, C string", ("1.5", "x", "y"))
     entries = [{"source": "A", "name": "amount", "type": "float", "usages": ["claims"]},
