@@ -321,6 +321,58 @@ select case when user_id % 2 = 0 then user_id else -user_id - 1 end as order_id,
 from {events}""",
 }
 
+# Multi-select criteria of payors' policies, IBC and Prostate: field, longer and shorter selection.
+CRITERIA = (
+    ("age_at_diagnosis", ">= 50;< 50", ">= 50"), ("node_status", "Node Negative (pN0);Micromets (pN1mi: 0.2 2.0mm)", "Node Positive"),
+    ("er_status", "Positive;Negative", "Positive"), ("pr_status", "PR Positive;PR Negative", "PR Negative"),
+    ("hormone_receptor", "ER Positive and PR Positive (HR positive);Other", "Other"), ("her2_status", "Negative;Positive", "Negative"),
+    ("procedure_type", "Biopsy;Non Biopsy;Non-Biopsy", "Biopsy"), ("med_onc_order", "Med Onc Order;Non-Med Onc Order", "Med Onc Order"),
+    ("multi_tumour", "Yes;No", "No"), ("age_of_biopsy", "Less than 6 months;6-36 months", "6-36 months"),
+    ("risk_category", "Intermediate Favorable;Intermediate Unfavorable;Very Low", "Very Low"), ("gleason_score", "3+3;3+4", "3+3"),
+    ("clinical_stage", "T1c;T2a", "T1c"), ("tumour_involvement", "less than 50%;Greater than or Equal to 50%", "less than 50%"),
+    ("ctr", "Yes;No", "No"), ("recent_diagnosis", "Yes", "No"), ("prior_assay", "Yes", "No"), ("patient_gender", "Female", "Male"),
+    ("stage", "I;II", "I"), ("her2_mode", "FISH", "IHC"), ("tumour_size", "Size > 5.0 cm", "Unknown"), ("tumour_histology", "Ductal", "Lobular"),
+    ("post_menopausal", "Yes", "No"), ("distant_metastasis", "Yes", "No"), ("multi_tumour_execution", "Yes", "No"),
+    ("life_expectancy", "10 years", "20 years"))
+
+
+def _selected(at: int, field: str, longer: str, shorter: str) -> str:
+    """A selection for most payors, nothing for every 13th; blanks as NULL and as empty text."""
+    return (f"case when p_partkey % 13 = 0 or (p_partkey + p_size) % {at % 3 + 4} = 0 then null when (p_partkey + {at}) % 7 = 0 then '' "
+            f"when (p_partkey + {at}) % 3 <> 0 then '{longer}' else '{shorter}' end as {field}")
+
+
+LENS["payor_policy"] = " union all ".join(f"""
+select '{kind} {test} ' || cast(p_partkey as varchar(20)) as name, case when p_partkey % 17 <> 0 then p_partkey end as tier4_payor_id,
+  '{kind}' as policy, case when p_size % 3 = 0 then 'Draft' else 'Active' end as policy_status, '{test}' as test,
+  {', '.join(_selected(i, *c) for i, c in enumerate(CRITERIA))}
+from {{part}} where p_partkey % {without} <> 0""" for test, kind, without in (
+    ("IBC", "MP", 7), ("IBC", "CT", 3), ("Prostate", "MP", 11), ("Prostate", "CT", 5)))
+LENS["order_risk"] = f"""
+select l_orderkey as oli_id, l_linenumber as line_no, l_orderkey - l_orderkey % 4 as order_id,
+  case when l_partkey % 9 = 0 then 'DCIS' when l_partkey % 2 = 0 then 'Prostate' else 'IBC' end as test,
+  case when l_orderkey % 8 <> 0 then l_orderkey * 10 + l_linenumber end as current_ticket_no,
+  case when l_orderkey % 29 <> 0 then {DAY} end as order_start_dt, cast({DAY} + 10 as date) as delivered_dt,
+  cast(l_suppkey % 5 as int) as tier1_payor_id, cast(l_suppkey % 25 as int) as tier2_payor_id,
+  case when l_suppkey % 19 <> 0 then l_suppkey end as tier4_payor_id, 'Plan ' || {SUPP} as tier4_payor_name,
+  'FC' || cast(l_suppkey % 4 as varchar(20)) as financial_category,
+  cast(l_tax as decimal(4,2)) * 70 as tumour_size_cm, case when l_partkey % 11 <> 0 then l_partkey % 100 end as patient_age,
+  case when l_partkey % 10 <> 0 then l_partkey % 1200 - 30 end as specimen_age,
+  case l_linenumber when 1 then '' when 2 then '4+3' when 3 then '3+3' when 4 then '3+4' when 5 then 'Unknown' when 6 then '3+3' end as gleason,
+  case l_returnflag when 'A' then '' when 'N' then 'T1c' else 'T2a' end as stage,
+  case l_partkey % 6 when 0 then 'Favorable Intermediate' when 2 then 'Unfavorable Intermediate' when 4 then 'Very Low' end as submitted_risk,
+  case l_returnflag when 'A' then 'Node Negative' when 'N' then 'Micromets (pN1mi: 0.2 - 2.0mm)' else 'Node Positive' end as nodal_status,
+  case when l_partkey % 4 = 0 then null when l_linestatus = 'F' then 'Non-Biopsy' else 'Biopsy' end as procedure_type,
+  case when l_returnflag = 'A' then 'Positive' when l_returnflag = 'N' then 'Negative' end as submitted_er,
+  case when l_linestatus = 'F' then 'PR Positive' when l_linenumber = 3 then 'Unknown' else 'PR Negative' end as submitted_pr,
+  case when l_partkey % 3 = 0 then 'Negative' when l_partkey % 3 = 1 then 'Positive' end as submitted_her2,
+  case l_linenumber when 1 then 1 when 2 then null else 0 end as multiple_primaries,
+  case l_suppkey % 4 when 0 then 'Oncologist' when 1 then 'Radiation Oncologist' when 2 then 'Surgeon' end as specialty,
+  case l_partkey % 3 when 0 then 1 when 1 then 0 end as is_hcp_ctr,
+  case l_partkey % 5 when 0 then '> 50%' when 1 then '≤ 50%' when 2 then 'Unknown' end as max_tumour_involvement,
+  case l_suppkey % 7 when 0 then 'Failure' when 1 then 'PA Denied' when 2 then null else 'Non Failure' end as pre_claim_failure
+from {{lineitem}}"""
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 

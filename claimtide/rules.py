@@ -98,3 +98,6 @@ PA_REQUIREMENTS = (
     "Supporting documents are needed",
     "Ordering physician signed attestation statement to include Adjuvant Therapy",
 )
+
+# Fixed value: stands in revenue rows for a missing order line.
+NO_ORDER_LINE = "NONE"

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimtide import rules
 from claimtide.functions import (
     float_id, label, money, parse_date, parse_datetime, parse_float_date, parse_month, zero_to_null)
 from claimtide.operators.risk import standardise_reporting_group
@@ -19,7 +20,7 @@ ORDER_FLOAT_DATES = ("delivered_dt", "dos")
 ORDER_DATES = ("order_start_dt", "line_start_dt", "order_cancel_dt", "line_cancel_dt")
 REVENUE_DATES = ("period", "claim_period", "delivered_dt")
 # What stands for a missing value.
-NO_ORDER_LINE = "NONE"
+NO_ORDER_LINE = rules.NO_ORDER_LINE
 ORDER_FILLS = {"risk_group": "Unknown", "gleason": "", "stage": ""}
 
 

@@ -41,3 +41,27 @@ def test_conflicts_and_tickets_of_a_hot_key(rows):
     assert values(reference.ticket_counts(rows).filter("oli_id = -1")) == [(-1, 7)]
     summary = revenue_lines.revenue_summary(rows, columns=("period", "currency"))
     assert values(summary.filter("oli_id = -1"), "ticket_cnt", "period_cnt") == [(7, N // 3)]
+
+
+def test_rows_without_an_order_line_are_dealt_out(spark, rows):
+    """All of them stand under one sentinel; no task gets them all, and the joins find what plain ones do."""
+    from claimtide import rules
+    from claimtide.operators import period
+    facts = rows.select(F.when(F.col("oli_id") == -1, rules.NO_ORDER_LINE).otherwise(F.col("oli_id").cast("string")).alias("oli_id"),
+                        F.when(F.col("case_no") % 11 != 0, F.col("case_no")).alias("ticket_no"))
+    lines = spark.range(0, 5000, 2).select(F.col("id").cast("string").alias("oli_id"), (F.col("id") * 2).alias("twice"))
+    counts = lines.select("oli_id", F.lit(3).alias("ticket_cnt")).unionByName(
+        spark.createDataFrame([(rules.NO_ORDER_LINE, 7), (None, 9)], "oli_id string, ticket_cnt int"))
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        out = period.join_by_line(facts, [lines, counts])
+        plain = facts.join(lines, "oli_id", "left").join(counts, "oli_id", "left")
+        assert out.columns == plain.columns and out.exceptAll(plain).count() == 0 == plain.exceptAll(out).count()
+        tasks = out.filter(F.col("oli_id") == rules.NO_ORDER_LINE).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == N // 3 and max(r["count"] for r in tasks) < N // 6
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
