@@ -119,18 +119,22 @@ def exact_top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int =
     ties.  Vectors are compared with those of their own dimension.  Ties go to the smaller id; a query with fewer than
     k others has them all, one without any has no row.  Scores must fit a long.
     """
-    vectors = valid_vectors(embeddings, "embedding", lambda x: F.floor(x * scale).cast("double"))
+    vectors = valid_vectors(embeddings, "embedding")
     asked = vectors.filter(F.col("vec_id") % every == 0)
     parallelism = embeddings.sparkSession.sparkContext.defaultParallelism
+
+    def whole(rows: np.ndarray) -> np.ndarray:
+        return np.floor(rows * scale)
+
     shards = shards_for(vectors.count(), parallelism, shard_rows)
     blocks = shards_for(asked.count(), 1, block_rows)
     sharded = vectors.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     start = asked.withColumn("floor", F.lit(None).cast("double"))
-    first = staged(top_of_grid(sharded.filter("shard = 0"), start, k, search, "long", 1, blocks))
+    first = staged(top_of_grid(sharded.filter("shard = 0"), start, k, search, "long", 1, blocks, whole))
     if shards == 1:
         return first.drop("query_row")
     floors = first.filter(F.col("rank") == k).select(F.col("query_row").alias("row"), F.col("score").cast("double").alias("floor"))
     others = sharded.filter("shard > 0").withColumn("shard", F.col("shard") - 1)
     bounded = staged(asked.join(floors, "row", "left"))
-    rest = top_of_grid(others, bounded, k, search, "long", shards - 1, blocks)
+    rest = top_of_grid(others, bounded, k, search, "long", shards - 1, blocks, whole)
     return ranked(first.drop("rank").unionByName(rest.drop("rank")), k).drop("query_row")

@@ -14,7 +14,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimtide.llm.common import staged
@@ -25,17 +25,17 @@ SHARD_ROWS, BLOCK_ROWS = 65_536, 8_192
 LEAST_ROWS = 1_024
 
 
-def valid_vectors(df: DataFrame, vector: str, change: Callable[[Column], Column] | None = None,
-                  keep_zero: bool = True) -> DataFrame:
-    """``vec_id, vec, row`` (vec: doubles) of every row whose vector isn't NULL and has no NULL or non-finite component.
+def valid_vectors(df: DataFrame, vector: str, keep_zero: bool = True) -> DataFrame:
+    """``vec_id, vec, row`` of every row whose vector isn't NULL and has no NULL or non-finite component.
 
-    ``change`` is then applied to every component.  ``row`` tells rows apart, also those that share an id or have none;
-    it holds for the written table only.  Empty vectors, and zero ones unless kept, take no part.
+    Single-precision vectors stay so, which halves what is written and exchanged; all others become doubles.  ``row``
+    tells rows apart, also those that share an id or have none; it holds for the written table only.  Empty vectors, and
+    zero ones unless kept, take no part.
     """
-    doubles = F.col(vector).cast("array<double>")
-    finite = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = df.filter((F.size(vector) > 0) & finite).select(
-        "vec_id", (doubles if change is None else F.transform(doubles, change)).alias("vec"))
+    single = dict(df.dtypes)[vector] == "array<float>"
+    own = F.col(vector) if single else F.col(vector).cast("array<double>")
+    finite = F.forall(own, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = df.filter((F.size(vector) > 0) & finite).select("vec_id", own.alias("vec"))
     if not keep_zero:
         rows = rows.filter(F.exists("vec", lambda x: x != 0))
     return staged(rows.withColumn("row", F.monotonically_increasing_id()))
@@ -46,9 +46,9 @@ def shards_for(rows: int, parallelism: int, most: int, least: int = LEAST_ROWS)
 
 
 def matrix(column: pa.ChunkedArray, dimension: int) -> np.ndarray:
-    """Rows of a list column as one matrix."""
+    """Rows of a list column as one matrix of doubles."""
     flat = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]
-    return np.concatenate(flat).reshape(-1, dimension) if flat else np.zeros((0, dimension))
+    return np.concatenate(flat).astype(np.float64).reshape(-1, dimension) if flat else np.zeros((0, dimension))
 
 
 # Stands for a NULL id where ids are compared: it comes last.
@@ -56,12 +56,13 @@ NO_ID = np.iinfo(np.int64).max
 
 
 def top_of_grid(vectors: DataFrame, queries: DataFrame, k: int,
-                search: Callable[..., tuple[list, list, list]], score: str, shards: int, blocks: int) -> DataFrame:
+                search: Callable[..., tuple[list, list, list]], score: str, shards: int, blocks: int,
+                change: Callable[[np.ndarray], np.ndarray] = np.asarray) -> DataFrame:
     """``query_row, query_id, rank, vec_id, score``: the k best rows of all shards, higher first, ties to the smaller id.
 
     ``vectors`` has ``vec_id, vec, row, shard`` and ``queries`` has ``vec_id, vec, row, floor``: a score that a result
     must at least have, or NULL.  ``search(ids, rows, matrix, query_rows, query_matrix, floors, k)`` returns places of
-    queries and of vectors, and scores.  Only vectors of a query's own dimension are compared with it; its own row is
+    queries and of vectors, and scores; both matrices have gone through ``change``.  Only vectors of a query's own dimension are compared with it; its own row is
     left out, other rows with its id are not.
     """
     wide = vectors.select(F.size("vec").alias("dim"), "shard", F.col("vec_id").alias("id"), "row", F.col("vec").alias("point")).withColumn(
@@ -77,8 +78,8 @@ def top_of_grid(vectors: DataFrame, queries: DataFrame, k: int,
         floors = right["floor"].to_numpy().astype(np.float64)
         found = ([], [], [])
         if len(ids) and len(floors):
-            found = search(ids, left["row"].to_numpy(), matrix(left["point"], dim), right["query_row"].to_numpy(),
-                           matrix(right["query"], dim), floors, k)
+            found = search(ids, left["row"].to_numpy(), change(matrix(left["point"], dim)), right["query_row"].to_numpy(),
+                           change(matrix(right["query"], dim)), floors, k)
         asked_at, at = pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())
         return pa.table({"query_row": right["query_row"].take(asked_at), "query_id": right["query_id"].take(asked_at),
                          "vec_id": left["id"].take(at),
