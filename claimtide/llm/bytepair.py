@@ -35,6 +35,8 @@ SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 REMEMBERED, SHORT = 200_000, 48
 # Pairs of tokens that a task remembers.
 PAIRS = 200_000
+# Rows that a task holds in both forms at a time.
+ROWS = 500
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -80,7 +82,7 @@ class Codec:
                 self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
         self.automaton.make_automaton()
         self.shorter = [self._shorter(t) for t in tokens]
-        self.together: dict[tuple[int, int], bool] = {}
+        self.together: dict[int, bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _merge(self, token: bytes, below: int) -> list[int]:
@@ -103,7 +105,7 @@ class Codec:
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens by rank ends with these two."""
-        pair = (left, right)
+        pair = left * len(self.tokens) + right
         known = self.together.get(pair)
         if known is None:
             if len(self.together) >= PAIRS:
@@ -186,6 +188,13 @@ def codec_of(tokens: list[bytes]) -> Codec:
     return _made[0][1]
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in order, few at a time: results of long texts leave the worker before the next ones are made."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, text: str = "text", name: str = "ids",
                      packed: bool = False) -> DataFrame:
     """All columns but the text, with the ids of every whole text as array ``name``.
@@ -200,7 +209,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(tokens.value)
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [np.array(codec.encode(t.as_py()), dtype="<u4") for t in batch.column(batch.num_columns - 1)]
             ids = (pa.array([x.tobytes() for x in found], pa.binary()) if packed
                    else pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32())))
@@ -220,7 +229,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str | None = None, ids: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = tokens.value.__getitem__
-        for batch in batches:
+        for batch in in_slices(batches):
             found = []
             for row in batch.column(batch.num_columns - 1):
                 own = row.as_py() or ()

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -99,3 +100,11 @@ def test_ugly_texts(ugly, clashing, nothing, library):
 def test_bad_vocabularies_are_refused():
     with pytest.raises(ValueError):
         bytepair.Codec([b"a", b"b"])
+
+
+def test_batches_are_worked_on_in_slices():
+    """A worker holds the results of few rows at a time; the rows stay whole and in order."""
+    batch = pa.RecordBatch.from_pydict({"text": [str(i) for i in range(1201)]})
+    parts = list(bytepair.in_slices(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert max(p.num_rows for p in parts) <= bytepair.ROWS
+    assert [t for p in parts for t in p.column(0).to_pylist()] == batch.column(0).to_pylist() + ["0", "1", "2"]
