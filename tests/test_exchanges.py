@@ -33,3 +33,16 @@ def test_facts_are_exchanged_once_for_the_base(spark, monkeypatch, name, after):
         assert exchanges(out) <= after
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["q_accounting_period", "q_period_report_unlinked"])
+def test_report_rows_meet_payors_in_place(spark, name):
+    """Payors beyond the session's broadcast limit don't make the report's rows move; all windows of a ticket are one pass."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(plan" not in plan and "Exchange hashpartitioning(coalesce" not in plan
+        assert "SortMergeJoin" not in plan.split("BroadcastExchange")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
